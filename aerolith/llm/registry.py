@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from .secrets import op3_secrets
 from .winnowing import op10_winnowing
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op10_winnowing": op10_winnowing,
 }
 ORACLE_SQL: dict[str, str] = {}
