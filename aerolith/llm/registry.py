@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from .language import op8_language
 from .secrets import op3_secrets
 from .winnowing import op10_winnowing
 
 QUERIES = {
     "op3_secrets": op3_secrets,
+    "op8_language": op8_language,
     "op10_winnowing": op10_winnowing,
 }
 ORACLE_SQL: dict[str, str] = {}
