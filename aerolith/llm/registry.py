@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .language import op8_language
+from .mixing import op2_mixing
 from .secrets import op3_secrets
 from .winnowing import op10_winnowing
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op8_language": op8_language,
     "op10_winnowing": op10_winnowing,
