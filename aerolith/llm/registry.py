@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from .html import op5_html
 from .language import op8_language
 from .mixing import op2_mixing
+from .packing import op4_packing
 from .secrets import op3_secrets
+from .urlfilter import OP6_SQL, op6_urls
 from .winnowing import op10_winnowing
 
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
+    "op4_packing": op4_packing,
+    "op5_html": op5_html,
+    "op6_urls": op6_urls,
     "op8_language": op8_language,
     "op10_winnowing": op10_winnowing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_urls": OP6_SQL}
