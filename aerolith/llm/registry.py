@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .html import op5_html
+from .jaccard import OP9_SQL, op9_jaccard
 from .language import op8_language
 from .mixing import op2_mixing
 from .packing import op4_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_html": op5_html,
     "op6_urls": op6_urls,
     "op8_language": op8_language,
+    "op9_jaccard": op9_jaccard,
     "op10_winnowing": op10_winnowing,
 }
-ORACLE_SQL: dict[str, str] = {"op6_urls": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_urls": OP6_SQL, "op9_jaccard": OP9_SQL}
