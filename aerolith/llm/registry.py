@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .covertree import op7_covertree
 from .html import op5_html
 from .jaccard import OP9_SQL, op9_jaccard
 from .language import op8_language
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_html": op5_html,
     "op6_urls": op6_urls,
+    "op7_covertree": op7_covertree,
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_winnowing": op10_winnowing,
