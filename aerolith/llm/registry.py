@@ -6,6 +6,7 @@ from .covertree import op7_covertree
 from .html import op5_html
 from .jaccard import OP9_SQL, op9_jaccard
 from .language import op8_language
+from .linededup import op1_lines
 from .mixing import op2_mixing
 from .packing import op4_packing
 from .secrets import op3_secrets
@@ -13,6 +14,7 @@ from .urlfilter import OP6_SQL, op6_urls
 from .winnowing import op10_winnowing
 
 QUERIES = {
+    "op1_lines": op1_lines,
     "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_packing": op4_packing,
