@@ -7,9 +7,13 @@ their sets' Jaccard similarity is at least num / den. The join is exact:
 2. Under one order of all shingles (frequent ones last, then by hash), linked
    sets share a shingle among their first ``n - ceil(n * num / den) + 1``. Sets
    that share such a shingle are dealt to one forest part by it.
+   Of shingles that the same sets share, one part is enough.
 3. In each part, sets stand in a signature tree: a node holds the OR of its
    sets' token bitmaps and their range of sizes. A dual traversal from the root
-   prunes pairs of nodes whose sizes or greatest possible overlap rule a link out.
+   prunes pairs of nodes whose sizes or greatest possible overlap rule a link
+   out. A part of at most ``LEAF`` sets is one leaf, and its pairs are held
+   bitmap against bitmap. A bitmap has at least two bits a token; sets of
+   unlike widths meet at the smaller one, to which the larger is folded.
 4. What is left is verified on the whole sets. A first traversal keeps each
    set's best partner only; the second leaves out pairs that already are in one
    component, so a large group of near copies does not become all its pairs. A
@@ -37,8 +41,10 @@ from .components import components
 from .storage import cut, table
 from .textarrays import Words, mix, shingles, slices, text_buffers
 
-#: Words of a node's bitmap, children of a node, sets of a block, and the bound on the list of frequent shingles.
-BITMAP_WORDS, FANOUT, BLOCK, FREQUENT = 32, 4, 4096, 50_000
+#: Sets of a leaf that stands alone, children of a node, sets of a block, and the bound on the list of frequent shingles.
+LEAF, FANOUT, BLOCK, FREQUENT = 16, 4, 4096, 50_000
+#: Least and greatest bits of a bitmap.
+NARROW, WIDE = 256, 1 << 16
 _SALTS = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _PAIRS = 1 << 15
 
@@ -59,6 +65,56 @@ def _digests(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _bitmaps(hashes: np.ndarray, owners: np.ndarray, n: np.ndarray) -> list[bytes | None]:
+    """Each row's bitmap, of the least power of two of bits that is twice its size, in bounds."""
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64), NARROW, WIDE)
+    out: list[bytes | None] = [None] * len(n)
+    places = (hashes >> np.uint64(20)).astype(np.int64)
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero((width == w) & (n > 0))
+        for s in range(0, len(rows), max(1, (1 << 22) // w)):
+            some = rows[s : s + max(1, (1 << 22) // w)]
+            grid = np.zeros((len(some), w), bool)
+            number = np.full(len(n), -1)
+            number[some] = np.arange(len(some))
+            mine = number[owners] >= 0
+            grid[number[owners[mine]], places[mine] % w] = True
+            for r, bits in zip(some.tolist(), np.packbits(grid, axis=1, bitorder="little"), strict=True):
+                out[r] = bits.tobytes()
+    return out
+
+
+def _folded(bits: list[bytes], width: int) -> np.ndarray:
+    """Bitmaps as words, those wider than ``width`` bits folded to it."""
+    out = np.empty((len(bits), width // 64), np.uint64)
+    sizes = np.array([len(b) for b in bits])
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        rows = np.frombuffer(b"".join([bits[i] for i in at]), np.uint64).reshape(len(at), -1, width // 64)
+        out[at] = np.bitwise_or.reduce(rows, axis=1)
+    return out
+
+
+def _slack(sizes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Tokens beyond set bits: so many more than their common bits two sets can share."""
+    return sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
+
+
+def may_link(bits_a: list[bytes], bits_b: list[bytes], n_a: np.ndarray, n_b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which pairs of sets the bitmaps do not rule out."""
+    out = np.zeros(len(n_a), bool)
+    width = np.minimum([len(b) for b in bits_a], [len(b) for b in bits_b]) * 8
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        for s in range(0, len(at), max(1, (1 << 25) // w)):
+            some = at[s : s + max(1, (1 << 25) // w)]
+            x, y = _folded([bits_a[i] for i in some], w), _folded([bits_b[i] for i in some], w)
+            m, n = n_a[some], n_b[some]
+            common = np.bitwise_count(x & y).sum(1, dtype=np.int64) + np.minimum(_slack(m, x), _slack(n, y))
+            out[some] = np.minimum(common, np.minimum(m, n)) * (num + den) >= num * (m + n)
+    return out
+
+
 def frequent_shingles(docs: DataFrame, k: int, text_col: str = "text", most: int = FREQUENT) -> np.ndarray:
     """The ``most`` most frequent of the shingles that are frequent in some batch of rows, counted over all rows."""
 
@@ -81,7 +137,6 @@ def frequent_shingles(docs: DataFrame, k: int, text_col: str = "text", most: int
 def profiles(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
     """(doc_id, n, d1, d2, prefix, bits) of every row: set size, digests, the first shingles in order, bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT numbers
-    width = BITMAP_WORDS * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = shared.value
@@ -90,9 +145,7 @@ def profiles(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray)
             for lo, hi, hashes, owners, bounds in _sets(raw, ends, k):
                 n = np.diff(bounds)
                 first, second = _digests(hashes, bounds)
-                grid = np.zeros((hi - lo, width), bool)
-                grid[owners, (hashes >> np.uint64(20)).astype(np.int64) % width] = True
-                bits = np.packbits(grid, axis=1, bitorder="little")
+                bits = _bitmaps(hashes, owners, n)
                 order = hashes
                 if len(late) and len(hashes):
                     is_late = late[np.minimum(np.searchsorted(late, hashes), len(late) - 1)] == hashes
@@ -101,7 +154,7 @@ def profiles(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray)
                 size = np.where(n > 0, n + (-n * num) // den + 1, 0)
                 place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(bounds[:-1], size)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(order[place].view(np.int64)))
-                blobs = pa.array([bits[i].tobytes() if n[i] else None for i in range(hi - lo)], pa.binary())
+                blobs = pa.array(bits, pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(first), pa.array(second), lists, blobs], ["doc_id", "n", "d1", "d2", "prefix", "bits"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, prefix array<long>, bits binary")
@@ -111,7 +164,7 @@ class SignatureTree:
     """Levels of nodes over sets in order of size: OR of bitmaps, least and greatest size, greatest number of tokens beyond set bits."""
 
     def __init__(self, sizes: np.ndarray, bits: np.ndarray):
-        self.levels = [(bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(1, dtype=np.int64))]
+        self.levels = [(bits, sizes, sizes, _slack(sizes, bits))]
         while len(self.levels[-1][0]) > 1:
             bits, low, high, slack = self.levels[-1]
             at = np.arange(0, len(bits), FANOUT)
@@ -161,7 +214,7 @@ def _earlier(tokens: list, own: int) -> np.ndarray:
 
 
 def traverse(parts: DataFrame, num: int, den: int, best_only: bool) -> DataFrame:
-    """Pairs (a, b) of sets of one part (token, block pair) that may link.
+    """Pairs (a, b) of sets of one part (token, width, pair of blocks) that may link.
 
     With best_only each set's best partner of a smaller id; else every pair of
     different components, in the part of their first common token only.
@@ -169,14 +222,14 @@ def traverse(parts: DataFrame, num: int, den: int, best_only: bool) -> DataFrame
 
     def part(rows: dict[str, np.ndarray | list]) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((rows["rep"], rows["n"]))
-        n, rep, block, comp = (rows[c][order] for c in ("n", "rep", "block", "comp"))
-        bits = np.frombuffer(b"".join([rows["bits"][o] for o in order]), np.uint64).reshape(len(n), -1)
+        n, rep, block, comp, native = (rows[c][order] for c in ("n", "rep", "block", "comp", "native"))
+        bits = _folded([rows["bits"][o] for o in order], int(rows["width"][0]))
         cross = int(rows["i"][0]) != int(rows["j"][0])
         earlier = None if best_only else _earlier([rows["tokens"][o] for o in order], int(rows["token"][0]))
         found = []
         best = {}
         for i, j, overlap in SignatureTree(n, bits).pairs(num, den):
-            use = rep[i] != rep[j]
+            use = (rep[i] != rep[j]) & (native[i] | native[j])
             if cross:
                 use &= block[i] != block[j]
             if not best_only:
@@ -196,16 +249,17 @@ def traverse(parts: DataFrame, num: int, den: int, best_only: bool) -> DataFrame
             return np.array([v[1] for v in best.values()], np.int64), rep[np.array(list(best), np.int64)] if best else np.zeros(0, np.int64)
         return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ((), ())))
 
-    names = ["token", "i", "j", "rep", "n", "block", "comp", "bits", "tokens"]
+    key_names = ["token", "width", "i", "j"]
+    names = [*key_names, "rep", "n", "block", "comp", "native", "bits", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def work(t: pa.Table, all_: bool) -> tuple[pa.RecordBatch, pa.Table]:
-            key = np.stack([t[c].to_numpy() for c in ("token", "i", "j")])
+            key = np.stack([t[c].to_numpy() for c in key_names])
             edges = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1, [t.num_rows]])
             last = len(edges) - 1 if all_ else len(edges) - 2
-            whole = {c: t[c].to_pylist() if c in ("bits", "tokens") else t[c].to_numpy() for c in names}
+            whole = {c: t[c].to_pylist() if c in ("bits", "tokens") else np.asarray(t[c]) for c in names}
             out = [part({c: whole[c][a:b] for c in names}) for a, b in zip(edges[:last], edges[1 : last + 1], strict=True)]
             a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out, strict=True) if out else ((), ())))
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]), t.slice(edges[last])
@@ -214,7 +268,7 @@ def traverse(parts: DataFrame, num: int, den: int, best_only: bool) -> DataFrame
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch])
-            if held and any(t[c][t.num_rows - 1] != held[0][c][0] for c in ("token", "i", "j")) or not held:
+            if held and any(t[c][t.num_rows - 1] != held[0][c][0] for c in key_names) or not held:
                 done, rest = work(pa.concat_tables([*held, t]), False)
                 held = [rest]
                 yield done
@@ -223,7 +277,36 @@ def traverse(parts: DataFrame, num: int, den: int, best_only: bool) -> DataFrame
         if held:
             yield work(pa.concat_tables(held), True)[0]
 
-    return parts.select(*names).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return parts.select(*names).repartition(*key_names).sortWithinPartitions(*key_names).mapInArrow(run, "a long, b long").distinct()
+
+
+def leaf_pairs(parts: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) within parts of at most LEAF sets that sizes and bitmaps do not rule out."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = may_link(batch.column(4).to_pylist(), batch.column(5).to_pylist(), np.asarray(batch.column(2)), np.asarray(batch.column(3)), num, den)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], ["a", "b"])
+
+    x, y = parts.alias("x"), parts.alias("y")
+    fits = (F.col("x.n") * den >= F.col("y.n") * num) & (F.col("y.n") * den >= F.col("x.n") * num)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rep") < F.col("y.rep")) & fits).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).distinct()
+    left, right = (maps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in ("a", "b"))
+    return pairs.join(left, ["a", "n_a"]).join(right, ["b", "n_b"]).select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(judge, "a long, b long")
+
+
+def deal(parts: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows of parts of more than LEAF sets, dealt by token, width of bitmap and pair of blocks."""
+    large = parts.filter(F.col("size") > LEAF)
+    lists = parts.groupBy("rep").agg(F.sort_array(F.collect_set("token")).alias("tokens"))  # at most a prefix
+    own = (F.length("bits") * 8).cast("int")
+    # A set also meets those of the next narrower bitmaps if they can be large enough.
+    narrower = F.when((own > NARROW) & (F.col("n") * num <= F.lit(den / 4) * own), (own / 2).cast("int"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = large.join(maps, ["rep", "n"]).join(lists, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
+    dealt = dealt.withColumn("width", F.explode(F.array_compact(F.array(own, narrower)))).withColumn("native", F.col("width") == own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.select("token", "width", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "n", "block", "native", "bits", "tokens")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, few: int = 200_000) -> DataFrame:
@@ -266,14 +349,15 @@ def jaccard_join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     named = rows.filter("n > 0 AND doc_id IS NOT NULL")
     classes = named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
     tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
-    shared = cut(tokens.withColumn("size", F.count("*").over(Window.partitionBy("token"))).filter("size > 1"))
-    lists = shared.groupBy("rep").agg(F.sort_array(F.collect_set("token")).alias("tokens"))  # at most a prefix
-    maps = rows.select(F.col("doc_id").alias("rep"), "n", "bits").dropDuplicates(["rep", "n"])
-    blocks = F.ceil(F.col("size") / BLOCK)
-    dealt = shared.join(lists, "rep").join(maps, ["rep", "n"]).withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-    dealt = dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "n", "block", "bits", "tokens")
-    first = cut(verify(docs, traverse(dealt.withColumn("comp", F.col("rep")), num, den, True), k, num, den))
+    of = Window.partitionBy("token")
+    shared = tokens.withColumn("size", F.count("*").over(of)).withColumn("who", F.bit_xor(F.xxhash64("rep")).over(of)).withColumn("whom", F.bit_xor(F.xxhash64("rep", F.lit(1))).over(of)).filter("size > 1")
+    shared = cut(shared)
+    one = shared.groupBy("size", "who", "whom").agg(F.min("token").alias("token")).select("token")
+    parts = cut(shared.join(one, "token", "left_semi").select("token", "rep", "n", "size"))
+    maps = rows.filter("n > 0").select(F.col("doc_id").alias("rep"), "n", "bits").dropDuplicates(["rep", "n"])
+    small = leaf_pairs(parts.filter(F.col("size") <= LEAF), maps, num, den)
+    dealt = deal(parts, maps, num, den)
+    first = cut(verify(docs, small.unionByName(traverse(dealt.withColumn("comp", F.col("rep")), num, den, True)).distinct(), k, num, den))
     found = components(first)
     known = dealt.join(found.select(F.col("id").alias("rep"), F.col("component")), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     second = cut(verify(docs, traverse(known, num, den, False), k, num, den))
