@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .storage import table
-from .textarrays import text_buffers
+from .textarrays import slices, text_buffers
 
 RUN, UNITS = 64, 8
 #: Bounds of the training sample: rows a language, languages, runs of a row.
@@ -237,33 +237,46 @@ def pooled(net: Network, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sums / np.maximum(sizes, 1)[:, None]
 
 
+def best_language(texts: pa.Array, model: Network | None) -> tuple[np.ndarray, np.ndarray]:
+    """The language and score of each of an array of texts, about 4 MB of them at once."""
+    names, scores = np.full(len(texts), "und", object), np.zeros(len(texts))
+    known = has_letter(texts)
+    if model is not None and known.any():
+        raw, ends = text_buffers(texts)
+        for lo, hi in slices(ends, 4 << 20):
+            means = pooled(model, raw, ends[lo : hi + 1])
+            best = means.argmax(1)
+            here = known[lo:hi]
+            names[lo:hi][here] = np.array(model.languages, object)[best[here]]
+            scores[lo:hi][here] = np.clip(means[np.arange(hi - lo), best], 0, 1)[here]
+    return names, scores
+
+
 def predict(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row's whole text. No shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # fixed in size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            texts = batch.column(1)
-            known = has_letter(texts)
-            names, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
-            if model is not None and known.any():
-                raw, ends = text_buffers(texts)
-                lo = 0
-                while lo < batch.num_rows:  # about 4 MB of text at once
-                    hi = min(batch.num_rows, max(lo + 1, int(np.searchsorted(ends, ends[lo] + (4 << 20), "right")) - 1))
-                    means = pooled(model, raw, ends[lo : hi + 1])
-                    best = means.argmax(1)
-                    here = known[lo:hi]
-                    names[lo:hi][here] = np.array(model.languages, object)[best[here]]
-                    scores[lo:hi][here] = np.clip(means[np.arange(hi - lo), best], 0, 1)[here]
-                    lo = hi
+            names, scores = best_language(batch.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def recognised(docs: DataFrame, net: Network | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text is in some language by a score of ``least_score`` or more. No shuffle."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = best_language(batch.column(at), shared.value)
+            yield batch.filter(pa.array((names != "und") & (scores >= least_score)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     net = fit(docs.filter(~held_out(docs)))
