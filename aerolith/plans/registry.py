@@ -1,6 +1,609 @@
-"""Registered queries of the forecast operators and their DuckDB SQL."""
+"""Registered queries of the forecast operators and the DuckDB SQL that gives the same rows.
+
+Query names start with the operator's place: s sources, p projections and
+filters, n naming, j joins, a aggregations, w windows, o sets and orders,
+e event probabilities, c catalog.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import naming, scalars
+from ..operators import catalog, fields, probability, readiness, tiles
+from .fixtures import duck, view
+from .pipeline import build_product
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *views: str):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = duck(sql, *views) if views else sql
+        return f
+
+    return register
+
+
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    return view(spark, d, "fx_raw")
+
+
+def _named(spark: SparkSession, d: str) -> DataFrame:
+    return naming.apply_rules(_raw(spark, d), naming.rules(spark))
+
+
+def _product(spark: SparkSession, d: str) -> DataFrame:
+    return build_product(_raw(spark, d), -180.0, 180.0, 15.0, 55.0)
+
+
+# DuckDB pieces that several queries share.
+_NAMED_SQL = r"""
+named AS (
+  SELECT *, CASE
+    WHEN type_of_level = 'heightAboveGround' THEN CASE WHEN regexp_matches(short_name, '\d+[a-z]*$') THEN short_name ELSE short_name || CAST(CAST(trunc(level) AS INT) AS VARCHAR) || 'm' END || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
+    WHEN type_of_level = 'isobaricInhPa' THEN short_name
+    WHEN type_of_level = 'surface' THEN CASE WHEN step_type <> 'instant' THEN short_name || '_' || step_type WHEN source = 'gfs-0p25' AND short_name = 't' THEN 't_sfc' ELSE short_name END
+    WHEN type_of_level = 'highCloudLayer' THEN regexp_replace(short_name, '^(avg|max|min)_(.*)$', '\2_\1')
+    WHEN source = 'gfs-0p25' AND type_of_level = 'atmosphere' THEN short_name || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
+    WHEN source = 'gfs-0p25' AND type_of_level = 'boundaryLayerCloudLayer' THEN CASE WHEN short_name = 'tcc' THEN 'tcc_bl' ELSE short_name END || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
+    ELSE short_name END AS variable,
+    CASE WHEN type_of_level = 'isobaricInhPa' THEN level END AS pressure_level,
+    type_of_level IN ('heightAboveGround', 'isobaricInhPa', 'surface', 'highCloudLayer') OR source = 'gfs-0p25' AS handled
+  FROM RAW)"""
+_CUBE = "source, init_date, cycle, type_of_level, level, step_type, short_name"
+_PRODUCT_SQL = (
+    f"""
+WITH moved AS (
+  SELECT * REPLACE (CASE WHEN max(longitude) OVER (PARTITION BY {_CUBE}) > 180 THEN (((longitude + 180) % 360) + 360) % 360 - 180 ELSE longitude END AS longitude) FROM fx_raw),
+cropped AS (SELECT * FROM moved WHERE latitude BETWEEN 15 AND 55 AND longitude BETWEEN -180 AND 180),
+slabs AS (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM cropped),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC) AS nth FROM slabs WHERE slab = 1) WHERE nth = 1),"""
+    + _NAMED_SQL.replace("RAW", "latest")
+    + """,
+product AS (
+  SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, max(value) AS value, count(DISTINCT value) AS n_values,
+         CAST(init_date AS TIMESTAMP) + to_hours(cycle + step_hours) AS valid_time
+  FROM named GROUP BY ALL)
+"""
+)
+
+
+def _on_product(select: str) -> str:
+    return _PRODUCT_SQL + select
+
+
+# --- sources -----------------------------------------------------------------
+
+
+@query("SELECT source, init_date, cycle, step_hours, event_id, 0 AS records_selected FROM fx_step_files", "fx_step_files")
+def s02_manifest_files(spark, d):
+    from ..sources.manifests import manifest_files
+
+    files = view(spark, d, "fx_step_files")
+    one = F.struct("step_hours", F.col("event_id").cast("string").alias("path"), F.lit(None).cast("int").alias("records_selected"))
+    manifests = files.groupBy("source", "init_date", "cycle").agg(F.collect_list(one).alias("files"))
+    return manifest_files(manifests).select("source", "init_date", "cycle", "step_hours", F.col("path").cast("long").alias("event_id"), "records_selected")
+
+
+@query(_on_product("SELECT source, init_date, cycle, step_hours, latitude, longitude, max(value) FILTER (variable = 'u10') AS u10, max(value) FILTER (variable = 'tp_accum') AS tp_accum FROM product GROUP BY ALL"), "fx_raw")
+def s04_wide(spark, d):
+    return fields.wide(_product(spark, d), ["u10", "tp_accum"])
+
+
+@query(
+    _on_product("""SELECT source, init_date, cycle, variable, pressure_level, tile_latitude, tile_longitude, count(*) AS n_values, count(DISTINCT (latitude, longitude)) AS n_cells FROM product
+    JOIN (SELECT source, init_date, cycle, latitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 4 AS INT) AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) USING (source, init_date, cycle, latitude)
+    JOIN (SELECT source, init_date, cycle, longitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 8 AS INT) AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM product)) USING (source, init_date, cycle, longitude)
+    GROUP BY ALL"""),
+    "fx_raw",
+)
+def s06_tiles(spark, d):
+    series = tiles.tile_series(tiles.to_tiles(_product(spark, d), 4, 8))
+    return series.select(*tiles.INIT, "variable", "pressure_level", "tile_latitude", "tile_longitude", F.size("series").cast("long").alias("n_values"), "n_cells")
+
+
+_IDENTITY_SQL = r"""identified AS (
+  SELECT *, m[1] AS id_source, try_strptime(d, '%Y%m%d%H') AS init, p AS prefix, nullif(part0, '') AS part FROM (
+    SELECT *, [regexp_extract(name, '^(\d{8})_(\d{2})z_(.+?)(?:-(sfc|pres))?\.zarr$', 3)] AS m, regexp_extract(name, '^(\d{8})', 1) || regexp_extract(name, '_(\d{2})z', 1) AS d,
+      regexp_extract(name, '^(\d{8}_\d{2}z_.+?)(?:-(sfc|pres))?\.zarr$', 1) AS p, regexp_extract(name, '-(sfc|pres)\.zarr$', 1) AS part0
+    FROM fx_stores WHERE regexp_full_match(name, '\d{8}_\d{2}z_.+\.zarr')) WHERE try_strptime(d, '%Y%m%d%H') IS NOT NULL)"""
+
+
+@query("WITH " + _IDENTITY_SQL + " SELECT store_id, name, id_source, init, prefix, part FROM identified", "fx_stores")
+def s08_product_identity(spark, d):
+    return catalog.product_identity(view(spark, d, "fx_stores")).select("store_id", "name", "id_source", "init", "prefix", "part")
+
+
+# --- projections and filters -------------------------------------------------
+
+
+@query(
+    f"SELECT msg_no, latitude, longitude, value FROM (SELECT * REPLACE (CASE WHEN max(longitude) OVER (PARTITION BY {_CUBE}) > 180 THEN (((longitude + 180) % 360) + 360) % 360 - 180 ELSE longitude END AS longitude) FROM fx_raw) WHERE latitude BETWEEN 20 AND 50 AND longitude BETWEEN 70 AND 140",
+    "fx_raw",
+)
+def p01_crop(spark, d):
+    return fields.crop(_raw(spark, d), 70.0, 140.0, 20.0, 50.0).select("msg_no", "latitude", "longitude", "value")
+
+
+@query("SELECT cell_id, round_even((clat + 0.0000000000013) * 1000000, 0) / 1000000 AS latitude, round_even((clon - 0.00000000000566) * 1000000, 0) / 1000000 AS longitude FROM fx_cells", "fx_cells")
+def p02_snap_decimals(spark, d):
+    return view(spark, d, "fx_cells").select("cell_id", scalars.snap_decimals(F.col("clat") + 0.0000000000013).alias("latitude"), scalars.snap_decimals(F.col("clon") - 0.00000000000566).alias("longitude"))
+
+
+@query("SELECT cell_id, round_even(clat / 0.25, 0) * 0.25 AS latitude, round_even(clon / 0.25, 0) * 0.25 AS longitude FROM fx_cells", "fx_cells")
+def p03_snap_grid(spark, d):
+    return view(spark, d, "fx_cells").select("cell_id", scalars.snap_grid(F.col("clat"), 0.25).alias("latitude"), scalars.snap_grid(F.col("clon"), 0.25).alias("longitude"))
+
+
+@query("SELECT msg_no, file_step_hours AS lead_hours, CASE WHEN msg_no % 41 = 0 THEN 'bad file name' WHEN file_step_hours <> step_hours THEN 'preview' END AS reject_reason FROM (SELECT * REPLACE (CASE WHEN msg_no % 41 = 0 THEN NULL ELSE file_step_hours END AS file_step_hours) FROM fx_raw)", "fx_raw")
+def p04_canonical_lead(spark, d):
+    name = F.concat(F.lit("f"), F.lpad(F.col("file_step_hours").cast("string"), 3, "0"), F.when(F.col("msg_no") % 41 == 0, ".grib2").otherwise(".subset.grib2"))
+    return fields.canonical_lead(_raw(spark, d).withColumn("file_name", name)).select("msg_no", "lead_hours", "reject_reason")
+
+
+@query(f"SELECT {_CUBE}, count(*) AS n_cells FROM fx_raw WHERE latitude BETWEEN 50 AND 55 AND longitude BETWEEN 60 AND 80 GROUP BY ALL", "fx_raw")
+def p05_cropped_cubes(spark, d):
+    inside = _raw(spark, d).filter("latitude BETWEEN 50 AND 55 AND longitude BETWEEN 60 AND 80")
+    return inside.groupBy(*fields.CUBE).agg(F.count("*").alias("n_cells"))
+
+
+@query("SELECT msg_no, CAST(init_date AS TIMESTAMP) + to_hours(cycle + step_hours) AS valid_time FROM fx_raw", "fx_raw")
+def p07_valid_time(spark, d):
+    return fields.with_valid_time(_raw(spark, d)).select("msg_no", "valid_time")
+
+
+@query("SELECT coalesce(nullif(CASE WHEN step_type = 'instant' THEN '' ELSE step_type END, ''), 'instant') AS step_type, type_of_level, count(*) AS n FROM fx_raw GROUP BY ALL", "fx_raw")
+def p08_step_types(spark, d):
+    blank = _raw(spark, d).withColumn("step_type", F.when(F.col("step_type") == "instant", "").otherwise(F.col("step_type")))
+    return fields.step_types(blank).groupBy("step_type", "type_of_level").agg(F.count("*").alias("n"))
+
+
+@query("SELECT cube, coalesce(arg_min(t, (msg_no, t)) FILTER (t IS NOT NULL), 'unknown') AS type_of_level FROM (SELECT msg_no // 64 AS cube, msg_no, CASE WHEN msg_no % 3 = 0 THEN type_of_level END AS t FROM fx_raw) GROUP BY cube", "fx_raw")
+def p09_level_type(spark, d):
+    messages = _raw(spark, d).select(F.floor(F.col("msg_no") / 64).alias("cube"), "msg_no", F.when(F.col("msg_no") % 3 == 0, F.col("type_of_level")).otherwise("").alias("type_of_level"))
+    return fields.cube_level_type(messages)
+
+
+@query(_on_product("SELECT source, init_date, cycle, variable, step_hours, valid_time, latitude, longitude, value FROM product WHERE variable IN ('u10', 'u100m') AND latitude BETWEEN 20 AND 45 AND longitude BETWEEN 70 AND 140"), "fx_raw")
+def region_series(spark, d):
+    found = fields.region(_product(spark, d), ["u10", "u100m"], 20.0, 45.0, 70.0, 140.0)
+    return found.select(*fields.INIT, "variable", "step_hours", "valid_time", "latitude", "longitude", "value")
+
+
+@query(_on_product("SELECT source, init_date, cycle, step_hours, latitude, longitude, value FROM product WHERE variable = 't' AND pressure_level = 850"), "fx_raw")
+def p11_level_slice(spark, d):
+    found = fields.region(_product(spark, d), ["t"], -90.0, 90.0, -180.0, 180.0, 850.0)
+    return found.select(*fields.INIT, "step_hours", "latitude", "longitude", "value")
+
+
+@query("SELECT source, init_date, cycle, n_files FROM fx_manifests WHERE init_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND cycle IN (0, 12) AND source = 'ifs-hres'", "fx_manifests")
+def p12_select_inits(spark, d):
+    day = lambda x: F.lit(x).cast("date")
+    return readiness.select_inits(view(spark, d, "fx_manifests"), day("2024-01-05"), day("2024-01-25"), [0, 12], "ifs-hres").select(*readiness.INIT, "n_files")
+
+
+def _manifests(spark, d):
+    return view(spark, d, "fx_manifests").withColumn("contract_status", F.when(F.col("n_files") % 3 == 0, "unavailable"))
+
+
+@query("SELECT source, init_date, cycle, CASE WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready' ELSE 'ready' END AS status FROM fx_manifests", "fx_manifests")
+def p13_readiness(spark, d):
+    return readiness.readiness(_manifests(spark, d)).select(*readiness.INIT, "status")
+
+
+_REASON_SQL = "CASE WHEN data_type <> 'ep' THEN 'data type' WHEN units <> '%' THEN 'units' WHEN step_units <> 1 THEN 'step units' WHEN step_hours < start_step THEN 'window' WHEN template NOT IN (5, 9) THEN 'template' END"
+
+
+@query(f"SELECT msg_no, {_REASON_SQL} AS reject_reason FROM fx_events", "fx_events")
+def p14_probability_gate(spark, d):
+    return probability.gate(view(spark, d, "fx_events")).select("msg_no", "reject_reason")
+
+
+@query("SELECT cube, count(*) AS n FROM fx_cams WHERE data_type = 'fc' GROUP BY cube", "fx_cams")
+def p15_forecast_only(spark, d):
+    return view(spark, d, "fx_cams").filter("data_type = 'fc'").groupBy("cube").agg(F.count("*").alias("n"))
+
+
+# --- naming ------------------------------------------------------------------
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT msg_no, variable, pressure_level, handled FROM named", "fx_raw")
+def n01_apply_rules(spark, d):
+    return _named(spark, d).select("msg_no", "variable", "pressure_level", "handled")
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, type_of_level, count(*) AS n FROM named WHERE NOT handled GROUP BY ALL", "fx_raw")
+def n01_unhandled(spark, d):
+    return naming.unhandled(_named(spark, d))
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, init_date, cycle, variable, pressure_level, count(DISTINCT (type_of_level, CASE WHEN pressure_level IS NULL THEN level END, short_name)) AS n_inputs FROM named GROUP BY ALL HAVING count(DISTINCT (type_of_level, CASE WHEN pressure_level IS NULL THEN level END, short_name)) > 1", "fx_raw")
+def n11_collisions(spark, d):
+    return naming.collisions(_named(spark, d))
+
+
+@query("SELECT msg_no, CASE WHEN param_id IN (169, 176, 228) THEN 'accum' WHEN param_id = 228028 THEN 'max' ELSE step_type END AS step_type, step_type AS source_step_type, CASE WHEN param_id IN (228028, 130) THEN 3 ELSE 1 END AS native_interval_hours FROM fx_cams", "fx_cams")
+def n12_cams_semantics(spark, d):
+    return probability.cams_semantics(view(spark, d, "fx_cams")).select("msg_no", "step_type", "source_step_type", "native_interval_hours")
+
+
+@query(
+    """SELECT DISTINCT cube, param_id, "check" FROM (
+    SELECT cube, param_id, 'not a forecast' AS "check" FROM fx_cams WHERE data_type <> 'fc'
+    UNION ALL SELECT cube, param_id, 'units' FROM fx_cams WHERE (param_id IN (169, 176) AND units <> 'J m**-2') OR (param_id = 228 AND units <> 'kg m**-2')
+    UNION ALL SELECT cube, param_id, 'step type' FROM fx_cams WHERE param_id IN (169, 176, 228, 228028) AND step_type = 'avg'
+    UNION ALL SELECT cube, param_id, 'not zero at step 0' FROM fx_cams WHERE param_id IN (169, 176, 228) AND step_hours = 0 AND value <> 0)""",
+    "fx_cams",
+)
+def n12_cams_violations(spark, d):
+    return probability.cams_violations(view(spark, d, "fx_cams"), ["cube"])
+
+
+_EVENT_SQL = r"""event AS (SELECT *, step_hours - start_step AS window_hours,
+  CASE WHEN step_hours = start_step OR ((param IN ('tpg1', 'tpg50') OR starts_with(param, '10fgg')) AND step_hours - start_step = 24) THEN param ELSE param || '_' || step_type || CAST(step_hours - start_step AS VARCHAR) || 'h' END AS variable,
+  CASE param WHEN 'tpg1' THEN 1.0 WHEN 'tpg50' THEN 50.0 WHEN '10fgg15' THEN 15.0 WHEN '10spg10' THEN 10.0 WHEN '2tl273' THEN 273.15 WHEN 'tpl01' THEN 0.1 WHEN 'tprg3' THEN 3.0 ELSE 1.0 END::DOUBLE AS threshold,
+  CASE WHEN param IN ('2tl273', 'tpl01', 'tprl1') THEN 'lt' ELSE 'gt' END AS comparison,
+  CASE WHEN param LIKE 'tpg%' OR param = 'tpl01' THEN 'mm' WHEN param LIKE '10%' THEN 'm s-1' WHEN param = '2tl273' THEN 'K' ELSE 'mm day-1' END AS threshold_units FROM fx_events)"""
+
+
+@query("WITH " + _EVENT_SQL + " SELECT msg_no, variable, window_hours, threshold, threshold_units, comparison, CASE WHEN window_hours > 0 THEN 'window_end' ELSE 'instant' END AS time_label FROM event", "fx_events")
+def n13_event_columns(spark, d):
+    return probability.event_columns(view(spark, d, "fx_events")).select("msg_no", "variable", "window_hours", "threshold", "threshold_units", "comparison", "time_label")
+
+
+# --- joins -------------------------------------------------------------------
+
+
+@query(_on_product("SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, value, n_values, valid_time FROM product"), "fx_raw")
+def j01_product(spark, d):
+    return _product(spark, d)
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, count(DISTINCT value) AS n_values FROM named GROUP BY ALL HAVING count(DISTINCT value) > 1", "fx_raw")
+def j01_conflicts(spark, d):
+    return fields.merge(_named(spark, d)).filter("n_values > 1").drop("value")
+
+
+@query(_on_product("SELECT source, init_date, cycle, count(*) AS n, count(pressure_level) AS n_levelled, count(DISTINCT pressure_level) AS n_levels FROM product GROUP BY ALL"), "fx_raw")
+def j02_combine_parts(spark, d):
+    product = _product(spark, d)
+    both = fields.combine_parts(product.filter("pressure_level IS NULL").drop("pressure_level"), product.filter("pressure_level IS NOT NULL"))
+    return both.groupBy(*fields.INIT).agg(F.count("*").alias("n"), F.count("pressure_level").alias("n_levelled"), F.count_distinct("pressure_level").alias("n_levels"))
+
+
+_NEAREST_SQL = """nearest AS (SELECT tlat, tlon, cell_id FROM (
+  SELECT tlat, tlon, cell_id, row_number() OVER (PARTITION BY tlat, tlon ORDER BY round(
+    pow(cos(radians(tlat)) * cos(radians(tlon)) - cos(radians(clat)) * cos(radians(clon)), 2) + pow(cos(radians(tlat)) * sin(radians(tlon)) - cos(radians(clat)) * sin(radians(clon)), 2) + pow(sin(radians(tlat)) - sin(radians(clat)), 2), 12), cell_id) AS nth
+  FROM fx_targets, fx_cells WHERE clat BETWEEN (SELECT min(tlat) FROM fx_targets) - 1 AND (SELECT max(tlat) FROM fx_targets) + 1 AND clon BETWEEN (SELECT min(tlon) FROM fx_targets) - 1 AND (SELECT max(tlon) FROM fx_targets) + 1) WHERE nth = 1)"""
+
+
+@query("WITH " + _NEAREST_SQL + " SELECT * FROM nearest", "fx_cells", "fx_targets")
+def j03_nearest_cell(spark, d):
+    return fields.nearest_cell(view(spark, d, "fx_cells"), view(spark, d, "fx_targets"), bucket=2.0).select("tlat", "tlon", "cell_id")
+
+
+@query("WITH " + _NEAREST_SQL + " SELECT o_orderkey, tlat AS latitude, tlon AS longitude, o_totalprice AS value FROM orders JOIN nearest ON o_custkey = cell_id", "fx_cells", "fx_targets")
+def j04_regrid(spark, d):
+    remap = fields.nearest_cell(view(spark, d, "fx_cells"), view(spark, d, "fx_targets"), bucket=2.0)
+    values = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", F.col("o_custkey").alias("cell_id"), F.col("o_totalprice").alias("value"))
+    return fields.regrid(values, remap)
+
+
+_PENDING_SQL = """pending AS (SELECT m.source, m.init_date, m.cycle, n_failures, CASE WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready'
+  WHEN complete IS NULL OR complete = 0 OR marker_time < m.manifest_time THEN 'process' ELSE 'skip' END AS action
+  FROM fx_manifests m LEFT JOIN fx_outputs USING (source, init_date, cycle))"""
+
+
+def _pending(spark, d):
+    return readiness.pending(_manifests(spark, d), view(spark, d, "fx_outputs"))
+
+
+@query("WITH " + _PENDING_SQL + " SELECT source, init_date, cycle, action FROM pending", "fx_manifests", "fx_outputs")
+def j05_pending(spark, d):
+    return _pending(spark, d).select(*readiness.INIT, "action")
+
+
+@query("SELECT path, CASE WHEN doc_id % 3 = 0 THEN 'root' WHEN doc_id % 5 <> 0 THEN 'near' END AS found FROM (SELECT doc_id, 'f' || doc_id AS path FROM documents)")
+def j06_resolve_files(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.concat(F.lit("f"), "doc_id").alias("path"), F.lit("d").alias("directory"), F.col("doc_id").cast("string").alias("name"))
+    under = docs.filter("doc_id % 3 = 0").select("path", F.lit("root").alias("location"))
+    beside = docs.filter("doc_id % 5 <> 0").select("directory", "name", F.lit("near").alias("location"))
+    return readiness.resolve_files(docs, under, beside).select("path", "found")
+
+
+@query("SELECT 'f' || doc_id AS path FROM documents WHERE doc_id % 17 <> 0 AND (doc_id % 19 = 0 OR doc_id % 23 = 0)")
+def j07_checksum_mismatch(spark, d):
+    size = F.length("path").cast("long")
+    hot = view(spark, d, "fx_hot").withColumn("size_bytes", size)
+    cold = view(spark, d, "fx_cold").withColumn("size_bytes", size + (F.substring("path", 2, 20).cast("long") % 23 == 0).cast("long"))
+    return readiness.checksum_mismatch(hot, cold).select("path")
+
+
+@query("SELECT coalesce(a.path, b.path) AS path, CASE WHEN b.path IS NULL THEN 'only_hot' WHEN a.path IS NULL THEN 'only_cold' WHEN a.h = b.h THEN 'same' ELSE 'changed' END AS state FROM fx_hot a FULL JOIN fx_cold b ON a.path = b.path", "fx_hot", "fx_cold")
+def j08_tree_diff(spark, d):
+    return readiness.tree_diff(view(spark, d, "fx_hot"), view(spark, d, "fx_cold"))
+
+
+@query("SELECT 'f' || doc_id || CASE WHEN doc_id % 29 = 0 THEN '.part' ELSE '' END AS path, CASE WHEN doc_id % 29 = 0 THEN 'unfinished' ELSE 'unlisted' END AS problem FROM documents WHERE doc_id % 7 = 0 OR doc_id % 29 = 0 UNION ALL SELECT 'f' || doc_id, 'absent' FROM documents WHERE doc_id % 29 = 0 AND doc_id % 7 <> 0")
+def j09_unlisted(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id")
+    path = F.concat(F.lit("f"), "doc_id")
+    listing = docs.select(F.concat(path, F.when(F.col("doc_id") % 29 == 0, ".part").otherwise("")).alias("path"))
+    return readiness.unlisted(listing, docs.filter("doc_id % 7 <> 0").select(path.alias("path")))
+
+
+@query("SELECT s.source, m.init_date, c.cycle FROM (SELECT DISTINCT source FROM fx_manifests) s, (SELECT DISTINCT init_date FROM fx_manifests) m, (SELECT unnest([0, 6, 12, 18]) AS cycle) c WHERE NOT EXISTS (SELECT 1 FROM fx_manifests x WHERE x.source = s.source AND x.init_date = m.init_date AND x.cycle = c.cycle)", "fx_manifests")
+def j10_missing_cycles(spark, d):
+    have = view(spark, d, "fx_manifests")
+    planned = have.select("source").distinct().crossJoin(have.select("init_date").distinct()).select("source", "init_date", F.explode(F.array(*map(F.lit, (0, 6, 12, 18)))).alias("cycle"))
+    return readiness.missing_cycles(planned, have)
+
+
+def _inventories(spark, d):
+    stores = catalog.product_identity(view(spark, d, "fx_stores"))
+    changed = stores.filter("store_id % 53 <> 0").withColumn("size_bytes", F.col("size_bytes") + (F.col("store_id") % 47 == 0).cast("long"))
+    return catalog.inventory(stores), catalog.inventory(changed)
+
+
+_INVENTORY_SQL = (
+    "WITH "
+    + _IDENTITY_SQL
+    + """, sides AS (SELECT 1 AS side, * FROM identified UNION ALL SELECT 2, * REPLACE (size_bytes + CASE WHEN store_id % 47 = 0 THEN 1 ELSE 0 END AS size_bytes) FROM identified WHERE store_id % 53 <> 0),
+inventories AS (SELECT side, id_source, init, count(*) AS n_parts, min(complete) AS whole, string_agg(DISTINCT name || ' ' || modified || ' ' || size_bytes, ',' ORDER BY name || ' ' || modified || ' ' || size_bytes) AS signature FROM sides GROUP BY ALL)"""
+)
+
+
+@query(
+    _INVENTORY_SQL
+    + """ SELECT id_source, init, CASE WHEN a.signature IS NULL THEN 'added' WHEN b.signature IS NULL THEN 'removed' WHEN a.signature = b.signature THEN 'same' ELSE 'changed' END AS state
+    FROM (SELECT * FROM inventories WHERE side = 1 AND whole = 1) a FULL JOIN (SELECT * FROM inventories WHERE side = 2 AND whole = 1) b USING (id_source, init)""",
+    "fx_stores",
+)
+def j11_catalog_diff(spark, d):
+    before, now = _inventories(spark, d)
+    return catalog.catalog_diff(before.filter("signature IS NOT NULL"), now.filter("signature IS NOT NULL"))
+
+
+# --- aggregations ------------------------------------------------------------
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, variables, levelled, count(*) AS n_cubes FROM (SELECT string_agg(DISTINCT variable, ',' ORDER BY variable) AS variables, source, max(CAST(pressure_level IS NOT NULL AS INT)) AS levelled FROM named GROUP BY source, init_date, cycle, type_of_level, step_type, step_hours) GROUP BY ALL", "fx_raw")
+def a01_bucket_signature(spark, d):
+    return fields.bucket_signature(_named(spark, d))
+
+
+@query(_on_product("SELECT source, init_date, cycle, count(DISTINCT variable) AS n_variables, count(DISTINCT step_hours) AS n_steps, min(latitude) AS south, max(latitude) AS north, min(longitude) AS west, max(longitude) AS east FROM product GROUP BY ALL"), "fx_raw")
+def a03_product_summary(spark, d):
+    return fields.product_summary(_product(spark, d))
+
+
+_MEMBERS_SQL = """, defined AS (SELECT DISTINCT source, init_date, variable || CASE WHEN pressure_level IS NULL THEN '' ELSE '_' || CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS name, variable AS base, CASE WHEN pressure_level IS NOT NULL THEN CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS level FROM product WHERE value IS NOT NULL),
+members AS (SELECT source, init_date, name FROM defined UNION SELECT source, init_date, base FROM defined),
+covered AS (SELECT source, name, min(init_date) AS first_init, max(init_date) AS last_init, count(DISTINCT init_date) AS n_inits FROM members GROUP BY ALL),
+state AS (SELECT source, count(DISTINCT init_date) AS total, min(init_date) AS first_init, max(init_date) AS last_init FROM members GROUP BY ALL) """
+
+
+def _members(spark, d):
+    return catalog.membership(catalog.definitions(_product(spark, d)))
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT * FROM covered"), "fx_raw")
+def a04_coverage(spark, d):
+    return catalog.coverage(_members(spark, d))
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT * FROM state"), "fx_raw")
+def a05_catalog_state(spark, d):
+    return catalog.catalog_state(_members(spark, d))
+
+
+_PROB_KEYS = ["source", "init_date"]
+
+
+@query("SELECT DISTINCT source, init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL", "fx_prob")
+def a06_sample_windows(spark, d):
+    return probability.sample_windows(view(spark, d, "fx_prob"), _PROB_KEYS)
+
+
+@query("SELECT source, init_date, variable, count(*) AS n_bad FROM fx_prob WHERE value < 0 OR value > 100 GROUP BY ALL", "fx_prob")
+def a07_range_violations(spark, d):
+    return probability.range_violations(view(spark, d, "fx_prob"), _PROB_KEYS)
+
+
+def _tiled_sql(tail: str) -> str:
+    return _on_product(""", tiled AS (SELECT * FROM product
+    JOIN (SELECT source, init_date, cycle, latitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 3 AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) USING (source, init_date, cycle, latitude)
+    JOIN (SELECT source, init_date, cycle, longitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 4 AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM product)) USING (source, init_date, cycle, longitude)),
+    expected AS (SELECT source, init_date, cycle, (max(tile_latitude) + 1) * (max(tile_longitude) + 1) AS n_expected FROM tiled GROUP BY ALL),
+    written AS (SELECT source, init_date, cycle, variable, count(DISTINCT (tile_latitude, tile_longitude)) FILTER (value IS NOT NULL) AS n_written FROM tiled GROUP BY ALL)
+    SELECT source, init_date, cycle, variable, n_written, n_expected FROM written JOIN expected USING (source, init_date, cycle) WHERE n_written < n_expected """ + tail)
+
+
+@query(_tiled_sql("AND n_written > 0"), "fx_raw")
+def a08_tiles_lenient(spark, d):
+    return tiles.completeness(tiles.to_tiles(_product(spark, d), 3, 4)).select(*tiles.INIT, "variable", "n_written", "n_expected")
+
+
+@query(_tiled_sql(""), "fx_raw")
+def a09_tiles_strict(spark, d):
+    return tiles.completeness(tiles.to_tiles(_product(spark, d), 3, 4), strict=True).select(*tiles.INIT, "variable", "n_written", "n_expected")
+
+
+@query("SELECT source, init_date, count(*) AS n_cycles FROM fx_outputs GROUP BY ALL HAVING bool_and(complete = 1) AND init_date < DATE '2024-02-20' - 30", "fx_manifests", "fx_outputs")
+def a10_archive_candidates(spark, d):
+    parts = view(spark, d, "fx_outputs").withColumns({"parts": F.lit(1), "done": F.col("complete")})
+    return readiness.archive_candidates(parts, F.lit("2024-02-20").cast("date"))
+
+
+@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS processed, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'not_ready') AS not_ready, 0 AS failed, 0 AS alert FROM pending GROUP BY source", "fx_manifests", "fx_outputs")
+def a11_scan_summary(spark, d):
+    return readiness.scan_summary(_pending(spark, d))
+
+
+@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS ok, count(*) FILTER (action = 'skip') AS skipped, 0 AS failed, count(*) FILTER (n_failures > 0) AS with_failures FROM pending GROUP BY source", "fx_manifests", "fx_outputs")
+def a12_batch_summary(spark, d):
+    return readiness.batch_summary(_pending(spark, d))
+
+
+_CATALOG_SQL = "catalog AS (SELECT v AS variable, CAST(s AS INT) AS step_hours FROM (SELECT unnest(['tpg20', 'tpg50', 'tpg100', '10fgg15', '10fgg25']) AS v), range(24, 361, 12) r(s))"
+
+
+def _catalog(spark):
+    return probability.expected_samples(spark, "ifs-ens-probabilities")
+
+
+@query("WITH " + _CATALOG_SQL + " SELECT source, init_date, variable, n_expected, coalesce(n_actual, 0) AS n_actual, CASE WHEN n_actual = n_expected THEN 1 ELSE 0 END AS complete FROM (SELECT DISTINCT source, init_date FROM fx_prob) CROSS JOIN (SELECT variable, count(*) AS n_expected FROM catalog GROUP BY variable) LEFT JOIN (SELECT source, init_date, variable, count(DISTINCT step_hours) AS n_actual FROM fx_prob JOIN catalog USING (variable, step_hours) WHERE value IS NOT NULL GROUP BY ALL) USING (source, init_date, variable)", "fx_prob")
+def a13_receipt(spark, d):
+    return probability.receipt(view(spark, d, "fx_prob"), _catalog(spark), _PROB_KEYS)
+
+
+# --- windows, sets -----------------------------------------------------------
+
+
+@query(
+    f"SELECT {_CUBE}, step_hours, latitude, longitude, msg_no, value FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC) AS nth FROM (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM fx_raw) WHERE slab = 1) WHERE nth = 1",
+    "fx_raw",
+)
+def w01_authoritative(spark, d):
+    return fields.authoritative(_raw(spark, d))
+
+
+@query(_on_product("SELECT * FROM (SELECT source, init_date, cycle, variable, step_hours, lag(step_hours) OVER (PARTITION BY source, init_date, cycle, variable ORDER BY step_hours) AS previous_step FROM (SELECT DISTINCT source, init_date, cycle, variable, step_hours FROM product)) WHERE step_hours - previous_step <> 3"), "fx_raw")
+def w02_step_gaps(spark, d):
+    return fields.step_gaps(_product(spark, d), 3)
+
+
+@query(_on_product("SELECT source, init_date, cycle, count(*) AS n_points, min(gap) AS least_gap, max(gap) AS greatest_gap, CASE WHEN count(*) >= 2 AND abs(min(gap) - 5) <= 0.00001 AND abs(max(gap) - 5) <= 0.00001 THEN 1 ELSE 0 END AS regular FROM (SELECT source, init_date, cycle, latitude - lag(latitude) OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) AS gap FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) GROUP BY ALL"), "fx_raw")
+def w03_axis_check(spark, d):
+    return fields.axis_check(_product(spark, d), "latitude", 5.0)
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT source, name, init_date FROM members m WHERE init_date = (SELECT max(init_date) FROM members x WHERE x.source = m.source) AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.source = m.source AND c.name = m.name AND c.n_inits > 5)"), "fx_raw")
+def w04_latest_definitions(spark, d):
+    members = _members(spark, d)
+    return catalog.latest_definitions(members, catalog.coverage(members).filter("n_inits > 5")).select("source", "name", "init_date")
+
+
+@query("SELECT source, init_date, nth FROM (SELECT source, init_date, row_number() OVER (PARTITION BY source ORDER BY init_date DESC) AS nth FROM (SELECT DISTINCT source, init_date FROM fx_raw)) WHERE nth <= 3", "fx_raw")
+def o02_latest_inits(spark, d):
+    return catalog.latest_inits(_raw(spark, d), 3)
+
+
+@query("SELECT DISTINCT source, init_date, cycle, longitude FROM fx_raw", "fx_raw")
+def o03_coordinate_union(spark, d):
+    return fields.coordinate_union(_raw(spark, d), "longitude")
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT source, init_date, name FROM members"), "fx_raw")
+def o05_membership(spark, d):
+    return _members(spark, d)
+
+
+# --- event probabilities, catalog --------------------------------------------
+
+
+@query("WITH " + _EVENT_SQL + " SELECT variable, step_type, window_hours, count(*) AS n, min(step_hours) AS first_step, max(step_hours) AS last_step FROM event WHERE " + _REASON_SQL + " IS NULL GROUP BY ALL", "fx_events")
+def e02_event_windows(spark, d):
+    kept = probability.gate(view(spark, d, "fx_events")).filter("reject_reason IS NULL").drop("reject_reason")
+    return probability.event_columns(kept).groupBy("variable", "step_type", "window_hours").agg(F.count("*").alias("n"), F.min("step_hours").alias("first_step"), F.max("step_hours").alias("last_step"))
+
+
+@query("WITH " + _EVENT_SQL + " SELECT msg_no FROM event WHERE NOT (prob_type = CASE comparison WHEN 'gt' THEN 3 ELSE 0 END AND abs(CASE WHEN starts_with(param, 'tpr') THEN lower_limit * 86400 ELSE lower_limit END - threshold) <= 0.00000001 + 0.00001 * threshold)", "fx_events")
+def e04_threshold_encoding(spark, d):
+    return probability.event_columns(view(spark, d, "fx_events")).filter("encoding_ok = 0").select("msg_no")
+
+
+@query(
+    "WITH "
+    + _CATALOG_SQL
+    + """, have AS (SELECT DISTINCT source, init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL AND step_hours < 360)
+    SELECT i.source, i.init_date, c.variable, c.step_hours, 'missing window' AS "check" FROM (SELECT DISTINCT source, init_date FROM fx_prob WHERE step_hours < 360) i, catalog c WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.source = i.source AND h.init_date = i.init_date AND h.variable = c.variable AND h.step_hours = c.step_hours)
+    UNION ALL SELECT source, init_date, variable, NULL, 'out of range' FROM fx_prob WHERE step_hours < 360 AND (value < 0 OR value > 100) GROUP BY ALL""",
+    "fx_prob",
+)
+def e05_validate(spark, d):
+    product = view(spark, d, "fx_prob").filter("step_hours < 360")
+    return probability.validate(product, _catalog(spark), _PROB_KEYS)
+
+
+@query(
+    "WITH "
+    + _CATALOG_SQL
+    + """, have AS (SELECT init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL GROUP BY ALL),
+    n AS (SELECT init_date, count(*) AS k, month(init_date) AS m FROM have GROUP BY ALL)
+    SELECT init_date AS contract_id, 'version or policy' AS "check" FROM n WHERE m = 2
+    UNION ALL SELECT init_date, 'missing lists' FROM n WHERE (m = 3 AND k < 145) OR (m <> 3 AND k = 145)
+    UNION ALL SELECT init_date, 'grid' FROM n WHERE m = 4""",
+    "fx_prob",
+)
+def e06_contract(spark, d):
+    """Contracts that say what each init has, with one thing wrong in some months."""
+    have = probability.sample_windows(view(spark, d, "fx_prob"), ["init_date"]).groupBy("init_date", "variable").agg(F.sort_array(F.collect_set("step_hours")).alias("steps"))
+    full = _catalog(spark)
+    wanted = have.select("init_date").distinct().crossJoin(full).join(have.select("init_date", "variable", F.explode("steps").alias("step_hours")), ["init_date", "variable", "step_hours"], "left_anti")
+    lost = wanted.groupBy("init_date", "variable").agg(F.sort_array(F.collect_set("step_hours")).alias("steps"))
+    entries = lambda name: F.map_from_entries(F.collect_list(F.struct("variable", "steps"))).alias(name)
+    contracts = have.groupBy("init_date").agg(entries("available")).join(lost.groupBy("init_date").agg(entries("missing")), "init_date", "left")
+    month = F.month("init_date")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<int>>"))
+    contracts = contracts.withColumn("missing", F.when(F.col("missing").isNull() | (month == 3), none).otherwise(F.col("missing")))
+    contracts = contracts.select(
+        F.col("init_date").alias("contract_id"), "available", "missing", F.when(month == 2, 2).otherwise(1).alias("schema_version"), F.lit("historical_available").alias("policy"), F.lit("partial").alias("status"),
+        F.sort_array(F.array_except(F.lit(list(probability.IFS)), F.map_keys("available"))).alias("missing_variables"), F.when(month == 4, 0.3).otherwise(0.25).alias("grid_resolution_degrees"),
+    )
+    return probability.validate_contract(contracts, full)
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT source, init_date, name, base, level FROM defined"), "fx_raw")
+def c01_definitions(spark, d):
+    return catalog.definitions(_product(spark, d))
+
+
+@query(_INVENTORY_SQL + " SELECT id_source, init, n_parts, CASE WHEN whole = 1 THEN 1 ELSE 0 END AS complete FROM inventories WHERE side = 1", "fx_stores")
+def c05_inventory(spark, d):
+    return _inventories(spark, d)[0].select("id_source", "init", "n_parts", F.col("signature").isNotNull().cast("int").alias("complete"))
+
+
+@query(
+    _on_product(
+        _MEMBERS_SQL
+        + """SELECT source, 'total' AS "check" FROM state WHERE source = 'gfs-0p25' UNION ALL SELECT source, 'not ready' FROM state WHERE source = 'ifs-hres' UNION ALL SELECT source, 'first' FROM state WHERE source = 'aifs-single'
+    UNION ALL SELECT source, 'coverage of ' || name FROM covered WHERE source = 'aifs-single' AND first_init < (SELECT last_init FROM state WHERE source = 'aifs-single')"""
+    ),
+    "fx_raw",
+)
+def c06_catalog_check(spark, d):
+    """A stored state with one thing wrong in each source."""
+    members = _members(spark, d)
+    true = catalog.catalog_state(members)
+    is_ = lambda s: F.col("source") == s
+    stored = true.withColumns({"ready": F.when(is_("ifs-hres"), 0).otherwise(1), "total": F.col("total") + F.when(is_("gfs-0p25"), 1).otherwise(0), "first_init": F.when(is_("aifs-single"), F.col("last_init")).otherwise(F.col("first_init"))})
+    return catalog.catalog_check(stored, members, catalog.coverage(members))
+
+
+@query(
+    _INVENTORY_SQL
+    + """, diff AS (SELECT id_source, init, CASE WHEN a.signature IS NULL THEN 'added' WHEN b.signature IS NULL THEN 'removed' WHEN a.signature = b.signature THEN 'same' ELSE 'changed' END AS state
+    FROM (SELECT * FROM inventories WHERE side = 1 AND whole = 1) a FULL JOIN (SELECT * FROM inventories WHERE side = 2 AND whole = 1) b USING (id_source, init)),
+    counts AS (SELECT id_source, count(*) FILTER (state = 'added') AS added, count(*) FILTER (state IN ('added', 'changed')) AS c, count(*) FILTER (state = 'removed') AS removed, count(*) FILTER (state <> 'removed') AS total FROM diff GROUP BY ALL)
+    SELECT id_source, CASE WHEN c > 256 THEN 'rebuilt' WHEN c > 0 OR removed > 0 THEN 'repaired' ELSE 'unchanged' END AS action, added, CASE WHEN c > 256 THEN total ELSE c END AS changed, removed, total FROM counts""",
+    "fx_stores",
+)
+def c07_reconcile(spark, d):
+    before, now = _inventories(spark, d)
+    return catalog.reconcile(before.filter("signature IS NOT NULL"), now)
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT * FROM covered WHERE source <> 'ifs-hres'"), "fx_raw")
+def c08_coverage_query(spark, d):
+    members = _members(spark, d)
+    state = catalog.catalog_state(members).withColumn("ready", F.when(F.col("source") == "ifs-hres", 0).otherwise(1))
+    return catalog.coverage_query(catalog.coverage(members), state)
