@@ -18,7 +18,7 @@ probability_availability struct<schema_version:int,policy:string,status:string,e
 def shaped(raw: DataFrame) -> DataFrame:
     """Manifest rows as the operators want them, from rows of MANIFEST (and maybe _metadata)."""
     return raw.select(
-        "schema_version", F.col("source.name").alias("source"), F.try_to_date("date", F.lit("yyyyMMdd")).alias("init_date"), "cycle",
+        "schema_version", F.col("source.name").alias("source"), F.try_to_date("date", "yyyyMMdd").alias("init_date"), "cycle",
         F.try_to_timestamp("completed_at").alias("completed_at"), F.coalesce("files", F.array()).alias("files"), F.size(F.coalesce("files", F.array())).alias("n_files"),
         F.size(F.coalesce("failures", F.array())).alias("n_failures"), F.col("probability_availability.status").alias("contract_status"), "probability_availability",
         F.col("_metadata.file_path").alias("manifest_path"), F.col("_metadata.file_modification_time").alias("manifest_time"),
