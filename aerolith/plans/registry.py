@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import naming, scalars
-from ..operators import catalog, fields, probability, readiness, tiles
+from ..operators import archive, catalog, fields, probability, readiness, tiles
 from .fixtures import duck, view
 from .pipeline import build_product
 
@@ -607,3 +607,46 @@ def c08_coverage_query(spark, d):
     members = _members(spark, d)
     state = catalog.catalog_state(members).withColumn("ready", F.when(F.col("source") == "ifs-hres", 0).otherwise(1))
     return catalog.coverage_query(catalog.coverage(members), state)
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT a.source, a.init_date, a.name FROM members a WHERE NOT EXISTS (SELECT 1 FROM members b WHERE b.source = 'gfs-0p25' AND b.name = a.name)"), "fx_raw")
+def o04_catalog_difference(spark, d):
+    """Names that one source's catalog has and the reference source's lacks."""
+    members = _members(spark, d)
+    return members.join(members.filter("source = 'gfs-0p25'").select("name").distinct(), "name", "left_anti").select("source", "init_date", "name")
+
+
+@query("SELECT source, init_date, cycle, count(*) AS n_files FROM fx_step_files f WHERE init_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' AND cycle IN (0, 6, 12, 18) AND NOT EXISTS (SELECT 1 FROM fx_outputs o WHERE o.source = f.source AND o.init_date = f.init_date AND o.cycle = f.cycle) GROUP BY ALL", "fx_step_files", "fx_manifests", "fx_outputs")
+def s09_build_manifests(spark, d):
+    from ..sources.manifests import build_manifests
+
+    day = lambda x: F.lit(x).cast("date")
+    listing = view(spark, d, "fx_step_files").select("source", "init_date", "cycle", "step_hours", F.col("event_id").cast("string").alias("path"), F.lit(0).cast("long").alias("size_bytes"), F.lit(None).cast("string").alias("sha256"))
+    made = build_manifests(listing, view(spark, d, "fx_outputs"), day("2024-01-03"), day("2024-01-20"))
+    return made.select("source", "init_date", "cycle", F.size(F.from_json("manifest", "files array<struct<path:string>>")["files"]).cast("long").alias("n_files"))
+
+
+@query("SELECT path, sha256(text) AS h, octet_length(encode(text)) AS size_bytes FROM (SELECT 'f' || doc_id AS path, text FROM documents)")
+def s10_hashes(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return docs.select(F.concat(F.lit("f"), "doc_id").alias("path"), F.sha2("text", 256).alias("h"), F.octet_length("text").cast("long").alias("size_bytes"))
+
+
+@query(_on_product("SELECT source, init_date, cycle, variable, count(DISTINCT step_hours) AS n_steps, min(step_hours) AS first_step, max(step_hours) AS last_step FROM product GROUP BY ALL"), "fx_raw")
+def a02_steps(spark, d):
+    return _product(spark, d).groupBy(*fields.INIT, "variable").agg(F.count_distinct("step_hours").alias("n_steps"), F.min("step_hours").alias("first_step"), F.max("step_hours").alias("last_step"))
+
+
+@query(
+    "WITH "
+    + _PENDING_SQL
+    + """, planned AS (SELECT s.source, m.init_date, c.cycle FROM (SELECT DISTINCT source FROM fx_manifests) s, (SELECT DISTINCT init_date FROM fx_manifests) m, (SELECT unnest([0, 6, 12, 18]) AS cycle) c),
+    wrong AS (SELECT source, init_date FROM planned p WHERE NOT EXISTS (SELECT 1 FROM fx_manifests x WHERE x.source = p.source AND x.init_date = p.init_date AND x.cycle = p.cycle) UNION ALL SELECT source, init_date FROM pending WHERE action <> 'skip')
+    SELECT source, init_date, count(w.n) AS n_violations, CASE WHEN count(w.n) = 0 THEN 1 ELSE 0 END AS passes FROM (SELECT DISTINCT source, init_date FROM planned) LEFT JOIN (SELECT *, 1 AS n FROM wrong) w USING (source, init_date) GROUP BY source, init_date""",
+    "fx_manifests",
+    "fx_outputs",
+)
+def e07_verify_days(spark, d):
+    manifests = _manifests(spark, d)
+    planned = manifests.select("source").distinct().crossJoin(manifests.select("init_date").distinct()).select("source", "init_date", F.explode(F.array(*map(F.lit, (0, 6, 12, 18)))).alias("cycle"))
+    return archive.verify_days(archive.run_violations(manifests, planned, view(spark, d, "fx_outputs")), planned)
