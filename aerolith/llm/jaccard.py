@@ -42,7 +42,7 @@ from .storage import cut, table
 from .textarrays import Words, mix, shingles, slices, text_buffers
 
 #: Sets of a leaf that stands alone, children of a node, sets of a block, and the bound on the list of frequent shingles.
-LEAF, FANOUT, BLOCK, FREQUENT = 16, 4, 4096, 50_000
+LEAF, FANOUT, BLOCK, FREQUENT = 16, 4, 4096, 300_000
 #: Least and greatest bits of a bitmap.
 NARROW, WIDE = 256, 1 << 16
 _SALTS = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -116,7 +116,7 @@ def may_link(bits_a: list[bytes], bits_b: list[bytes], n_a: np.ndarray, n_b: np.
 
 
 def frequent_shingles(docs: DataFrame, k: int, text_col: str = "text", most: int = FREQUENT) -> np.ndarray:
-    """The ``most`` most frequent of the shingles that are frequent in some batch of rows, counted over all rows."""
+    """The ``most`` most frequent of the shingles that are in three documents of some batch of rows, counted over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,12 +126,12 @@ def frequent_shingles(docs: DataFrame, k: int, text_col: str = "text", most: int
                 new = np.array([d not in seen and not seen.add(d) for d in _digests(hashes, bounds)[0].tolist()], bool)
                 kept.append(hashes[new[owners]])
             found, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *kept]), return_counts=True)
-            often = counts >= max(8, batch.num_rows // 500)
+            often = counts >= 3
             yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(counts[often])], ["token", "n"])
 
     counted = docs.select(text_col).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.orderBy(F.desc("n"), "token").limit(most).collect()
-    return np.sort(np.array([r["token"] for r in rows], np.int64).view(np.uint64))
+    tokens = counted.orderBy(F.desc("n"), "token").limit(most).select("token").toPandas()["token"]
+    return np.sort(tokens.to_numpy(np.int64).view(np.uint64))
 
 
 def profiles(docs: DataFrame, k: int, num: int, den: int, frequent: np.ndarray) -> DataFrame:
