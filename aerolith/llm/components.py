@@ -22,7 +22,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = large.filter("u <> v")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
