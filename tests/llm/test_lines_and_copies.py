@@ -163,3 +163,24 @@ def test_lines_of_odd_rows(spark):
     got = sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in found.collect())
     assert got == sorted([("None", "", 1), ("2", line, 1), ("2", line, 1), ("1", "short line\n\nshort line\n", 0), ("4", None, 0), ("5", "", 0), ("6", "", 1)])
     assert linededup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_lines_of_edit_similarity_alone(spark):
+    """Of pairs of lines at the edit similarity, by no other rule, nearly all fold, whatever their length and number of changed words."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(4, 9)))
+    texts = []
+    for n in (8, 10, 20, 30, 60):
+        for share in (0.05, 0.1, 0.15, 0.2):
+            made = 0
+            while made < 20:
+                line = [word() for _ in range(n)]
+                near = list(line)
+                for k in rng.sample(range(n), max(1, round(share * n))):
+                    near[k] = word()
+                if linededup.similar(" ".join(line), " ".join(near), linededup.SIMILARITY):
+                    texts += [" ".join(line), " ".join(near)]
+                    made += 1
+    found = linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    gone = {r["doc_id"] for r in found if r["n_dropped"]}
+    assert all(k % 2 for k in gone) and len(gone) >= 0.95 * len(texts) / 2
