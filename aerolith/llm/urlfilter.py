@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from .storage import table
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)"
+#: What stands before the last @ of the authority is a user, not the host.
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)"
-#: Parts of a path that a prefix entry can name, and labels of a host that a domain entry can name.
-PREFIXES, LABELS = 3, 8
 
 
 def host_of(url: Column) -> Column:
@@ -39,13 +38,14 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def _candidates(host: Column, path: Column) -> Column:
-    """The rules that could name a URL: (kind, value, rank), a higher rank being more specific."""
+    """The rules that could name a URL, one for each label of its host and each part of its path: (kind, value, rank), a higher rank being more specific."""
     labels = F.split(host, r"\.")
     count = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), F.least(count, F.lit(LABELS))), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, count - i + 1, i), ".").alias("value"), i.alias("rank")))
+    domains = F.transform(F.sequence(F.lit(1), count), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, count - i + 1, i), ".").alias("value"), i.alias("rank")))
     steps = F.filter(F.split(path, "/"), lambda s: s != "")
-    prefixes = F.transform(F.sequence(F.lit(1), F.lit(PREFIXES)), lambda i: F.struct(F.lit("prefix").alias("kind"), F.when(F.size(steps) >= i, F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/"))).alias("value"), (i + 200).alias("rank")))
-    whole = F.array(F.struct(F.lit("host").alias("kind"), host.alias("value"), F.lit(100).alias("rank")))
+    parts = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps))).otherwise(F.array().cast("array<int>"))
+    prefixes = F.transform(parts, lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")).alias("value"), (count + 1 + i).alias("rank")))
+    whole = F.array(F.struct(F.lit("host").alias("kind"), host.alias("value"), (count + 1).alias("rank")))
     return F.concat(domains, whole, prefixes)
 
 

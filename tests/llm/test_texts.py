@@ -296,3 +296,15 @@ def test_as_of_against_brute_force(spark):
         hits = [x for x in rules if active(x, on)]
         assert (r["blocked"], r["n_active"]) == (bool(hits), len(hits))
         assert (r["kind"], r["rule"]) == (hits[-1] if hits else (None, None))
+
+
+def test_urls_meet_rules_of_any_depth_and_behind_users(spark):
+    day = datetime.date(2024, 1, 5)
+    deep = ".".join("abcdefghijkl") + ".example"
+    urls = [f"https://x.{deep}/", "https://h.example/1/2/3/4/5/6", "http://user:pw@listed.example/a/b", "http://a@b@listed.example:80", "https://ok.example/@listed.example/"]
+    entries = [("domain", deep, day, "add"), ("prefix", "h.example/1/2/3/4/5", day, "add"), ("host", "listed.example", day, "add"), ("prefix", "listed.example/a", day, "add")]
+    frame = spark.createDataFrame([(k, u, day) for k, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+    found = urlfilter.as_of(frame, spark.createDataFrame(entries, "kind string, value string, at date, action string")).collect()
+    assert [r["rule"] for r in sorted(found, key=lambda r: r["page_id"])] == [deep, "h.example/1/2/3/4/5", "listed.example/a", "listed.example", None]
+    drawn = urlfilter.dated_list(spark.createDataFrame([("https://h.example/" + "/".join(map(str, range(200))),)], "url string")).filter("kind = 'prefix'").collect()
+    assert any(r["value"].count("/") > 3 for r in drawn)
