@@ -58,11 +58,14 @@ def authoritative(cells: DataFrame) -> DataFrame:
 
     The winner is chosen on slabs (the greatest file_step_hours of a cube's
     step) and joined back, so a later slab wins even where its cells are
-    missing; of rows of one cell within it the highest msg_no stays.
+    missing; of rows of one cell within it the highest msg_no stays. Nulls are
+    values like others here: static fields have no step, and a slab without any
+    file_step_hours keeps its rows.
     """
     slab = [*CUBE, "step_hours"]
     best = cells.groupBy(*slab).agg(F.max("file_step_hours").alias("best"))
-    joined = cells.join(best, slab).filter(F.col("file_step_hours") == F.col("best"))
+    keys = [cells[c].eqNullSafe(best[c]) for c in slab]
+    joined = cells.join(best, keys).select(cells["*"], "best").filter(F.col("file_step_hours").eqNullSafe(F.col("best")))
     values = joined.groupBy(*slab, "latitude", "longitude").agg(F.max_by(F.struct("value"), "msg_no").alias("v"), F.max("msg_no").alias("msg_no"))
     return values.select(*slab, "latitude", "longitude", "msg_no", "v.value")
 

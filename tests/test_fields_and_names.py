@@ -99,6 +99,13 @@ def test_later_pass_wins_even_where_it_is_missing(spark):
     assert found.count() == 3
 
 
+def test_passes_of_slabs_with_nulls(spark):
+    static = ("s", "2026-05-01", 0, "surface", None, None, "lsm", None, None, 1, 1.0, 2.0, 5.0)
+    rows = [static, _slab(None, 3, 1, 1.0), _slab(None, 6, 2, 2.0), _slab(3, None, 1, 3.0), _slab(6, None, 1, 4.0), _slab(6, 0, 2, 6.0)]
+    found = fields.authoritative(spark.createDataFrame(rows, SLAB))
+    assert sorted((r["short_name"], r["step_hours"] or -1, r["value"]) for r in found.collect()) == [("lsm", -1, 5.0), ("t", -1, 2.0), ("t", 3, 3.0), ("t", 6, 6.0)]
+
+
 def test_merge_reports_conflicts(spark):
     rows = [("s", "d", 0, "t", None, 3, 1.0, 1.0, v) for v in (None, 2.0, 2.0)] + [("s", "d", 0, "t", None, 6, 1.0, 1.0, v) for v in (2.0, 3.0)]
     found = fields.merge(spark.createDataFrame(rows, "source string, init_date string, cycle int, variable string, pressure_level double, step_hours int, latitude double, longitude double, value double"))
