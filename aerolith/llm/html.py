@@ -37,10 +37,12 @@ _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title meta link iframe noembed noframes datalist object audio video canvas svg math select textarea".split())
+HIDDEN = frozenset("head script style template noscript title meta link iframe noembed noframes datalist object audio video canvas".split())
+HEAD = frozenset("base link meta script style template title noscript".split())
+FOREIGN_HIDDEN = frozenset("defs desc metadata symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
-BLOCK = SPACED | frozenset("html body address article aside center details dialog dd div dt fieldset figcaption footer form header hgroup legend li main menu nav section summary search tr caption".split())
-CLOSES_P = BLOCK - {"html", "body", "tr", "caption", "legend"}
+BLOCK = SPACED | frozenset("html body address article aside center details dialog dd div dt fieldset figcaption footer form header hgroup legend li main menu nav section summary search tr caption option optgroup".split())
+CLOSES_P = BLOCK - {"html", "body", "tr", "caption", "legend", "option", "optgroup"}
 # Which open elements a start tag ends, and what stops the search for them.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -53,6 +55,7 @@ IMPLIED_END = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
 _UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -79,10 +82,10 @@ def parse(page: str) -> Node:
     while at < size:
         m = _TOKEN.search(page, at)
         if not m:
-            stack[-1].children.append(entities.unescape(page[at:]))
+            _text(stack, page[at:])
             break
         if m.start() > at:
-            stack[-1].children.append(entities.unescape(page[at : m.start()]))
+            _text(stack, page[at : m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
@@ -93,21 +96,31 @@ def parse(page: str) -> Node:
         attrs = m["attrs"].rstrip(">")
         _imply(stack, tag)
         known = _attributes(attrs) if attrs.strip(" /") else {}
-        hidden = tag in HIDDEN or "hidden" in known or bool(_UNSEEN.search(known.get("style", "")))
+        foreign = (tag in FOREIGN_HIDDEN or attrs.endswith("/")) and (tag in ("svg", "math") or any(n.tag in ("svg", "math") for n in stack))
+        hidden = tag in HIDDEN or foreign and tag in FOREIGN_HIDDEN or "hidden" in known or bool(_UNSEEN.search(known.get("style", "")))
         number = known.get("start", known.get("value", "1")) if tag in ("ol", "li") else "1"
         node = Node(tag, hidden, int(number) if re.fullmatch(r"-?\d{1,9}", number, re.A) else 1)
         stack[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             if not node.hidden:
-                node.children.append(page[at : end.start() if end else size])
+                raw = page[at : end.start() if end else size]
+                node.children.append(entities.unescape(raw) if tag == "textarea" else raw)
             at = end.end() if end else size
-        elif tag not in VOID and not (attrs.endswith("/") and tag not in BLOCK and tag in HIDDEN):
+        elif tag not in VOID and not (attrs.endswith("/") and (foreign or tag not in BLOCK and tag in HIDDEN)):
             stack.append(node)
     return root
 
 
+def _text(stack: list[Node], text: str) -> None:
+    if stack[-1].tag == "head" and not text.isspace():
+        stack.pop()
+    stack[-1].children.append(entities.unescape(text))
+
+
 def _imply(stack: list[Node], tag: str) -> None:
+    if stack[-1].tag == "head" and tag not in HEAD:
+        stack.pop()
     if tag in CLOSES_P:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == "p":

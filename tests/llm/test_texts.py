@@ -240,6 +240,22 @@ PAGES = [
 ]
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>T</title><h1>Hi</h1><p>text", "Hi\n\ntext"),
+        ("<head>\n<meta charset=utf-8> <noscript><img></noscript>words<p>more</head>", "words\n\nmore"),
+        ("<head><style>p{}</style>\n<link rel=x></head><body>a", "a"),
+        ("<p>x = <math><mi>y</mi><annotation>no</annotation></math> end", "x = y end"),
+        ("<svg><title>no</title><defs/><path style='display:none'/><text>label</text></svg> end", "label end"),
+        ("<textarea>a &amp; b</textarea>", "a & b"),
+        ("<p>pick <select><option>one<option>two</select> now", "pick\none\ntwo\nnow"),
+    ],
+)
+def test_open_heads_and_visible_elements(page, text):
+    assert html.visible_text(page) == text
+
+
 def test_visible_text():
     for page, text in PAGES:
         assert html.visible_text(page) == text, page
