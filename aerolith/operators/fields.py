@@ -71,8 +71,9 @@ def authoritative(cells: DataFrame) -> DataFrame:
 
 
 def merge(named: DataFrame) -> DataFrame:
-    """One row a cell of each variable, from all buckets, with the number of unlike values met (above 1: a conflict)."""
-    keys = [*INIT, "variable", "pressure_level", "step_hours", "latitude", "longitude"]
+    """One row a cell of each variable and, where there is one, extra_level, from all buckets, with the number of unlike values met (above 1: a conflict)."""
+    extra = [c for c in ("extra_level",) if c in named.columns]
+    keys = [*INIT, "variable", "pressure_level", *extra, "step_hours", "latitude", "longitude"]
     return named.groupBy(*keys).agg(F.max("value").alias("value"), F.count_distinct("value").alias("n_values"))
 
 

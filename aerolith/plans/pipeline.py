@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.naming import apply_rules, rules
+from ..functions.naming import apply_rules, rules, with_extra_level
 from ..operators.fields import authoritative, crop, merge, with_valid_time
 
 
-def build_product(raw: DataFrame, west: float, east: float, south: float, north: float) -> DataFrame:
+def build_product(raw: DataFrame, west: float, east: float, south: float, north: float, refuse: bool = False) -> DataFrame:
     """Crop, keep the latest pass of each step, name, merge, and add the valid time.
 
     Every key begins with (source, init_date, cycle); crops come before the
-    first shuffle of cells.
+    first shuffle of cells. Levels that no name holds stay apart as
+    extra_level. Cells with n_values above 1 are conflicts: the product reports
+    them in that column, and with ``refuse`` reading one is an error.
     """
     latest = authoritative(crop(raw, west, east, south, north))
-    return with_valid_time(merge(apply_rules(latest, rules(raw.sparkSession))))
+    product = with_valid_time(merge(with_extra_level(apply_rules(latest, rules(raw.sparkSession)))))
+    conflict = F.raise_error(F.concat(F.lit("unlike values of "), F.col("variable"))).cast("double")
+    return product.withColumn("value", F.when(F.col("n_values") > 1, conflict).otherwise(F.col("value"))) if refuse else product

@@ -106,6 +106,21 @@ def test_passes_of_slabs_with_nulls(spark):
     assert sorted((r["short_name"], r["step_hours"] or -1, r["value"]) for r in found.collect()) == [("lsm", -1, 5.0), ("t", -1, 2.0), ("t", 3, 3.0), ("t", 6, 6.0)]
 
 
+def test_levels_that_no_name_holds_stay_apart(spark):
+    from datetime import date
+
+    from aerolith.plans.pipeline import build_product
+
+    row = lambda kind, level, name, value, msg=1: ("dwd-icon", date(2026, 5, 1), 0, kind, level, "instant", name, 0, 0, msg, 1.0, 2.0, value)
+    rows = [row("generalVertical", float(k), "HHL", 10.0 * k) for k in (1, 2, 3)] + [row("meanSea", 0.0, "prmsl", 7.0), row("heightAboveGround", 2.0, "t", 1.0), row("heightAboveGround", 10.0, "t", 2.0)]
+    raw = spark.createDataFrame(rows, SLAB.replace("init_date string", "init_date date"))
+    found = build_product(raw, -10.0, 10.0, -10.0, 10.0, refuse=True).collect()
+    assert sorted((r["variable"], r["extra_level"] or 0.0, r["value"], r["n_values"]) for r in found) == [("HHL", 1.0, 10.0, 1), ("HHL", 2.0, 20.0, 1), ("HHL", 3.0, 30.0, 1), ("prmsl", 0.0, 7.0, 1), ("t10m", 0.0, 2.0, 1), ("t2m", 0.0, 1.0, 1)]
+    clash = raw.unionByName(spark.createDataFrame([row("surface", 0.0, "HHL", 1.0), row("meanSea", 0.0, "HHL", 2.0)], raw.schema))
+    with pytest.raises(Exception, match="unlike values of HHL"):
+        build_product(clash, -10.0, 10.0, -10.0, 10.0, refuse=True).collect()
+
+
 def test_merge_reports_conflicts(spark):
     rows = [("s", "d", 0, "t", None, 3, 1.0, 1.0, v) for v in (None, 2.0, 2.0)] + [("s", "d", 0, "t", None, 6, 1.0, 1.0, v) for v in (2.0, 3.0)]
     found = fields.merge(spark.createDataFrame(rows, "source string, init_date string, cycle int, variable string, pressure_level double, step_hours int, latitude double, longitude double, value double"))
