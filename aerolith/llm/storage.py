@@ -6,18 +6,31 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a partition of a small table.
+ROWS = 200_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and read from the folder in spark.checkpoint.dir from then on.
-
-    The folder is taken from the session; only where it is unset, as in local
-    tests, a temporary one is set.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. A session of one local machine may do without; then a temporary one serves."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="aerolith-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="aerolith-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once and read from the shared folder from then on."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many partitions as so many rows need, if it has more."""
+    return df.coalesce(max(1, -(-rows // ROWS)))

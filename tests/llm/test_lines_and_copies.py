@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from aerolith.llm import jaccard, linededup
+from aerolith.llm import components as components_module
 from aerolith.llm.components import components
 from aerolith.llm.textarrays import text_buffers
 
@@ -38,7 +39,9 @@ def corpus():
     return [(k, t, None, None, None) for k, t in enumerate(texts)]
 
 
-def test_components_of_a_path_a_star_and_a_loop(spark):
+@pytest.mark.parametrize("lot", [1 << 20, 16])
+def test_components_of_a_path_a_star_and_a_loop(spark, monkeypatch, lot):
+    monkeypatch.setattr(components_module, "LOT", lot)  # so that few links take the rounds
     links = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     found = {r["id"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(found[k] == 0 for k in range(41)) and all(found[k] == 100 for k in range(100, 160)) and found[202] == 200 and 300 not in found
@@ -123,12 +126,13 @@ def _brute_lines(rows):
     for i, text, *_ in rows:
         for n, line in enumerate((text or "").split("\n")):
             norm = linededup.normal(line)
-            if len(norm.split()) >= linededup.MIN_WORDS:
+            if norm:
                 lines.append((i, n, norm))
     classes = sorted({x[2] for x in lines})
     raw, ends = text_buffers(pa.array(classes))
-    sims = linededup.Lines(raw, ends, 0, len(classes)).simhash.view(np.uint64) if classes else []
-    links = [(a, b) for a, b in combinations(range(len(classes)), 2) if int(sims[a] ^ sims[b]).bit_count() <= linededup.DISTANCE and linededup.similar(classes[a], classes[b], linededup.SIMILARITY)]
+    made = linededup.Lines(raw, ends, 0, len(classes))
+    sims, blocks = made.simhash.view(np.uint64), [set(b) for b in made.blocks().T.tolist()]
+    links = [(a, b) for a, b in combinations(range(len(classes)), 2) if blocks[a] & blocks[b] and int(sims[a] ^ sims[b]).bit_count() <= linededup.DISTANCE and linededup.similar(classes[a], classes[b], linededup.SIMILARITY)]
     group = _groups(range(len(classes)), links)
     number = {c: k for k, c in enumerate(classes)}
     seen, gone = set(), set()
@@ -157,14 +161,38 @@ def test_lines_of_documents_equal_brute_force(spark, small):
 
 def test_lines_of_odd_rows(spark):
     line = "these are five plain words"
-    rows = [(None, line), (2, line + "\n" + line), (2, line + "\n" + line), (1, "short line\n\nshort line\n"), (4, None), (5, ""), (6, "THESE are,   five plain WORDS!")]
-    found = linededup.dedup_lines(spark.createDataFrame([(i, t, 7, 1) for i, t in rows], "doc_id long, text string, row int, n_lines int"))
-    assert found.columns == ["doc_id", "text", "row", "n_lines", "n_dropped"]
-    got = sorted((str(r["doc_id"]), r["text"], r["n_dropped"]) for r in found.collect())
-    assert got == sorted([("None", "", 1), ("2", line, 1), ("2", line, 1), ("1", "short line\n\nshort line\n", 0), ("4", None, 0), ("5", "", 0), ("6", "", 1)])
+    rows = [(None, line), (2, line + "\n" + line), (2, line + "\n" + line), (1, "short line\n\nshort line\n"), (4, None), (5, ""), (6, "THESE are,   five plain WORDS!"), (7, "--\n--"), (8, "\n".join(f"{line} and {line}" for _ in range(9)))]
+    names = ["doc_id", "row", "r1", "place", "id", "gone", "made", "n", "text", "rest", "n_lines"]
+    docs = spark.createDataFrame([(i, *range(k, k + 7), t, f"of {k}", 1) for k, (i, t) in enumerate(rows)], "doc_id long, row int, r1 int, place int, id int, gone int, made int, n int, text string, rest string, n_lines int")
+    assert docs.columns[:8] == names[:8]
+    for few in (linededup.FEW, 0):  # small tables are broadcast, large ones are not
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(linededup, "FEW", few)
+            found = linededup.dedup_lines(docs)
+            assert found.columns == [c for c in docs.columns if c != "n_lines"] + ["n_lines", "n_dropped"]
+            got = {r["row"]: r for r in found.collect()}
+        assert all(r["rest"] == f"of {k}" and (r["r1"], r["place"], r["id"], r["gone"], r["made"], r["n"]) == tuple(range(k + 1, k + 7)) for k, r in got.items())
+        want = [("", 1, 1), (line, 2, 1), (line, 2, 1), ("short line\n\n", 4, 1), (None, 0, 0), ("", 0, 0), ("", 1, 1), ("--\n--", 2, 0), (f"{line} and {line}", 9, 8)]
+        assert [(got[k]["text"], got[k]["n_lines"], got[k]["n_dropped"]) for k in range(len(rows))] == want
     assert linededup.dedup_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_recall_of_lines_of_documents(spark, small):
+    """Of all pairs of lines of the given documents with the edit similarity, found by edit distance alone, nine in ten are candidates."""
+    texts = [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").select("text").collect()]
+    lines = sorted({linededup.normal(x) for t in texts for x in (t or "").split("\n")} - {""}, key=len)
+    made = linededup.Lines(*text_buffers(pa.array(lines)), 0, len(lines))
+    blocks, sims, sizes = [set(b) for b in made.blocks().T.tolist()], made.simhash.view(np.uint64), np.array([len(x) for x in lines])
+    letters = np.array([np.bincount([ord(c) % 64 for c in x], minlength=64) for x in lines])
+    pairs = []
+    for k in range(len(lines)):
+        end = int(np.searchsorted(sizes, sizes[k] / linededup.SIMILARITY + 1e-9, "right"))
+        near = np.abs(letters[k + 1 : end] - letters[k]).sum(1) <= 2 * (1 - linededup.SIMILARITY) * sizes[k + 1 : end] + 1e-9  # an edit changes two counts at most
+        pairs += [(k, j) for j in (np.flatnonzero(near) + k + 1).tolist() if linededup.similar(lines[k], lines[j], linededup.SIMILARITY)]
+    found = [blocks[a] & blocks[b] and int(sims[a] ^ sims[b]).bit_count() <= linededup.DISTANCE for a, b in pairs]
+    assert len(pairs) > 20 and np.mean([bool(x) for x in found]) >= 0.9
+
+
 def test_lines_of_edit_similarity_alone(spark):
     """Of pairs of lines at the edit similarity, by no other rule, nearly all fold, whatever their length and number of changed words."""
     rng = random.Random(7)
