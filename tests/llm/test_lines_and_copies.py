@@ -87,6 +87,15 @@ def test_jaccard_join_of_odd_rows(spark):
     assert jaccard.jaccard_join(spark.createDataFrame([], DOCS), 4, 85, 100).count() == 0
 
 
+def test_jaccard_join_of_an_id_with_two_sets(spark):
+    rng = random.Random(8)
+    a, b = _words(rng, 60), _words(rng, 60)
+    rows = [(5, a), (5, b), (8, a + " more"), (9, b + " more"), (4, _words(rng, 60))]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t in rows], "doc_id long, text string, rep int, d1 int, n int, least int, component_id int")
+    found = sorted((r["doc_id"], r["component_id"]) for r in jaccard.jaccard_join(docs, 4, 85, 100).collect())
+    assert found == [(4, 4), (5, 5), (5, 5), (8, 5), (9, 5)]
+
+
 def test_signature_tree_loses_no_pair():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 4000, rng.integers(20, 200))) for _ in range(120)]
@@ -117,7 +126,11 @@ def test_edit_distance_bound():
         a = "".join(rng.choice("abcé") for _ in range(rng.randint(0, 30)))
         b = "".join(rng.choice("abcé") for _ in range(rng.randint(0, 30))) if rng.random() < 0.5 else a[:10] + "x" + a[12:]
         d = _distance(a, b)
+        assert linededup.at_least(a, b) <= d <= linededup.at_most(a, b)
         assert all(linededup.within(a, b, m) == (d <= m) for m in range(0, 12))
+    for _ in range(200):
+        a, b = (" ".join(rng.choice(["ab", "c", "dé", "efg", ""]) for _ in range(rng.randint(0, 12))) for _ in range(2))
+        assert linededup.at_least(a, b) <= _distance(a, b) <= linededup.at_most(a, b)
 
 
 def _brute_lines(rows):
