@@ -3,7 +3,7 @@
 A document is the set of its distinct runs of k words. Two documents link when
 their sets' Jaccard similarity is at least num / den. The join is exact:
 
-1. Equal sets fold to one, the representative with the least id.
+1. Equal sets fold to one class with a number of its own.
 2. Under one order of all shingles (frequent ones last, then by hash), linked
    sets share a shingle among their first ``n - ceil(n * num / den) + 1``. Sets
    that share such a shingle are dealt to one forest part by it.
@@ -24,8 +24,8 @@ The list of frequent shingles only orders; any list gives the same links.
 Defined cases: a null text or one without words has an empty set, linked with
 nothing and its own component; fewer than k words are one shingle; rows that
 repeat are linked to each other if their ids differ, and each keeps its row;
-rows of one id are one document in links; a null id has a null component. Other
-columns are not read.
+rows of one id are one document in links, whose sets are all reached from each
+other; a null id has a null component. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import cut, table
+from .storage import cut, gathered, table
 from .textarrays import Words, mix, shingles, slices, text_buffers
 
 #: Sets of a leaf that stands alone, children of a node, sets of a block, and the bound on the list of frequent shingles.
@@ -309,18 +309,22 @@ def deal(parts: DataFrame, maps: DataFrame, num: int, den: int) -> DataFrame:
     return dealt.select("token", "width", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "n", "block", "native", "bits", "tokens")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, few: int = 200_000) -> DataFrame:
-    """The pairs (a, b) whose documents' whole sets link."""
+def verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, num: int, den: int, few: int = 200_000) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets link; the set of a class is read from its documents of the least id."""
     pairs = cut(pairs)
-    ids = cut(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    named = F.broadcast(ids) if ids.count() <= few else ids  # at most ``few`` numbers
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    wanted = cut(classes.join(ids, "rep").select("rep", "d1", "d2", "n", "least"))
+    rows = wanted.count()
+    if rows <= few:
+        wanted = F.broadcast(gathered(wanted, rows))  # at most ``few`` rows of numbers
+    named = wanted.select(F.col("least").alias("doc_id")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, ends = text_buffers(batch.column(1))
+            raw, ends = text_buffers(batch.column(0))
             for lo, hi, hashes, _, bounds in _sets(raw, ends, k):
                 blobs = [hashes[bounds[r] : bounds[r + 1]].tobytes() for r in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary())], ["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(d) for d in _digests(hashes, bounds)), pa.array(np.diff(bounds)), pa.array(blobs, pa.binary())], ["d1", "d2", "n", "shingles"])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -332,8 +336,9 @@ def verify(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, few: i
                 keep.append(den * common >= num * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
-    whole = cut(docs.select("doc_id", "text").join(named, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"))
-    left, right = (whole.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
+    read = docs.join(F.broadcast(named) if rows <= few else named, "doc_id", "left_semi").select("text").mapInArrow(sets, "d1 long, d2 long, n long, shingles binary")
+    whole = cut(read.join(wanted, ["d1", "d2", "n"]).select("rep", "shingles").dropDuplicates(["rep"]))
+    left, right = (whole.select(F.col("rep").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("a", "b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(judge, "a long, b long").distinct()
 
 
@@ -347,31 +352,42 @@ def jaccard_join(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = cut(profiles(docs, k, num, den, frequent_shingles(docs, k)))
     named = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
+    # Numbers given to rows that are written, so they stay.
+    classes = cut(named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")))
+    classes = classes.withColumn("rep", F.monotonically_increasing_id())
     tokens = classes.select(F.explode("prefix").alias("token"), "rep", "n")
     of = Window.partitionBy("token")
     shared = tokens.withColumn("size", F.count("*").over(of)).withColumn("who", F.bit_xor(F.xxhash64("rep")).over(of)).withColumn("whom", F.bit_xor(F.xxhash64("rep", F.lit(1))).over(of)).filter("size > 1")
     shared = cut(shared)
     one = shared.groupBy("size", "who", "whom").agg(F.min("token").alias("token")).select("token")
     parts = cut(shared.join(one, "token", "left_semi").select("token", "rep", "n", "size"))
-    maps = rows.filter("n > 0").select(F.col("doc_id").alias("rep"), "n", "bits").dropDuplicates(["rep", "n"])
+    maps = classes.select("rep", "n", "bits")
     small = leaf_pairs(parts.filter(F.col("size") <= LEAF), maps, num, den)
     dealt = deal(parts, maps, num, den)
-    first = cut(verify(docs, small.unionByName(traverse(dealt.withColumn("comp", F.col("rep")), num, den, True)).distinct(), k, num, den))
+    first = cut(verify(docs, classes, small.unionByName(traverse(dealt.withColumn("comp", F.col("rep")), num, den, True)).distinct(), k, num, den))
     found = components(first)
     known = dealt.join(found.select(F.col("id").alias("rep"), F.col("component")), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    second = cut(verify(docs, traverse(known, num, den, False), k, num, den))
+    second = cut(verify(docs, classes, traverse(known, num, den, False), k, num, den))
     links = first.unionByName(second)
-    members = named.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    groups = components(links)
-    labels = members.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component"))
+    groups = components(links.unionByName(_own_links(named, classes))).withColumnRenamed("id", "rep")
+    grouped = cut(classes.join(groups, "rep").select("rep", "least", "component"))
+    named_after = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-    labels = labels.join(members, ["d1", "d2", "n"]).join(degree, "rep", "left").drop("rep")
+    labels = classes.join(grouped.join(named_after, "component").select("rep", "component_id"), "rep", "left").join(degree, "rep", "left")
+    labels = labels.select("d1", "d2", "n", F.coalesce("component_id", "least").alias("component_id"), "links")
     out = rows.select("doc_id", "n", "d1", "d2").join(labels, ["d1", "d2", "n"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")))
+    component = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links_found"))
 
 
+def _own_links(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of ids whose rows have unlike sets."""
+    unlike = (F.max("d1") != F.min("d1")) | (F.max("d2") != F.min("d2")) | (F.max("n") != F.min("n"))
+    several = named.groupBy("doc_id").agg(unlike.alias("unlike")).filter("unlike").select("doc_id")
+    held = named.join(several, "doc_id").join(classes, ["d1", "d2", "n"]).select("doc_id", "rep").distinct()
+    return held.join(held.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").filter("rep <> b").select(F.col("rep").alias("a"), "b")
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), 4, 85, 100).select("doc_id", "n_shingles", "component_id")
 
