@@ -5,12 +5,17 @@ block begins, a list item where the next begins, cells and rows likewise), and
 what is visible is written from it: blocks on lines of their own with blank
 lines where a browser has margins, list items with bullets or numbers and
 indented by depth, the cells of tables aligned in columns, preformatted text as
-it stands.
+it stands. Hidden is what ``display: none``, ``hidden`` or its element hides;
+``visibility`` goes down the tree until an element sets it anew; of ``details``
+that are not open the summary shows, of a ``dialog`` that is not open nothing.
+Cells that span columns or rows keep their columns. Cells wider than ``WIDEST``
+do not widen a column, so that lines stay in proportion to the page.
 
 Defined cases: a null or empty page gives an empty text; markup that does not
 close, end tags without a start and unknown tags are read as browsers do in
-spirit: nothing visible is lost; depth is not bounded by Python's stack; rows
-that repeat keep their row each. Columns other than id and html are not read.
+spirit: nothing visible is lost; depth is not bounded by Python's stack, and
+time follows a page's length, also where tags do not match; rows that repeat
+keep their row each. Columns other than id and html are not read.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
+from bisect import bisect
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,7 +44,7 @@ _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript title meta link iframe noembed noframes datalist object audio video canvas".split())
+HIDDEN = frozenset("head script style template noscript title meta link iframe noembed noframes datalist audio video canvas".split())
 HEAD = frozenset("base link meta script style template title noscript".split())
 FOREIGN_HIDDEN = frozenset("defs desc metadata symbol annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr".split())
@@ -58,14 +65,58 @@ IMPLIED_END = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_NO_BOX = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
+_CELLS, _PARTS = frozenset({"td", "th"}), frozenset("table tr td th thead tbody tfoot body html".split())
+#: The widest cell that widens its column.
+WIDEST = 100
 
 
 class Node:
-    __slots__ = ("tag", "hidden", "start", "children")
+    """An element: ``seen`` is its own visibility, None where it takes that of its parent; ``spans`` are columns and rows of a cell."""
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1):
-        self.tag, self.hidden, self.start, self.children = tag, hidden, start, []
+    __slots__ = ("tag", "hidden", "start", "children", "seen", "spans")
+
+    def __init__(self, tag: str, hidden: bool = False, start: int = 1, seen: bool | None = None, spans: tuple[int, int] = (1, 1)):
+        self.tag, self.hidden, self.start, self.children, self.seen, self.spans = tag, hidden, start, [], seen, spans
+
+
+class _Open:
+    """The open elements, and where those of each name stand among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places = [root], defaultdict(list)
+        self.walls: list[int] = []  # what keeps a block inside from ending a paragraph outside
+        self.cells: list[int] = []  # cells and tables
+
+    def push(self, node: Node) -> None:
+        k = len(self.nodes)
+        self.nodes.append(node)
+        self.places[node.tag].append(k)
+        if node.tag in _WALLS:
+            self.walls.append(k)
+        if node.tag in _CELLS or node.tag == "table":
+            self.cells.append(k)
+
+    def cut(self, k: int) -> None:
+        """End the elements from place k on."""
+        for node in self.nodes[k:]:
+            self.places[node.tag].pop()
+        del self.nodes[k:]
+        for places in (self.walls, self.cells):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def last(self, tags) -> int:
+        """The place of the innermost of these; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
+_WALLS = (BLOCK | _CELLS | {"button"}) - {"p"}
+
+
+def _number(text: str, most: int) -> int:
+    return min(int(text), most) if re.fullmatch(r"\d{1,9}", text.strip(), re.A) else 1
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -78,7 +129,7 @@ def _attributes(text: str) -> dict[str, str]:
 def parse(page: str) -> Node:
     """The tree of a page; text is held as strings among the children."""
     root = Node("#root")
-    stack, at, size = [root], 0, len(page)
+    stack, at, size = _Open(root), 0, len(page)
     while at < size:
         m = _TOKEN.search(page, at)
         if not m:
@@ -96,11 +147,15 @@ def parse(page: str) -> Node:
         attrs = m["attrs"].rstrip(">")
         _imply(stack, tag)
         known = _attributes(attrs) if attrs.strip(" /") else {}
-        foreign = (tag in FOREIGN_HIDDEN or attrs.endswith("/")) and (tag in ("svg", "math") or any(n.tag in ("svg", "math") for n in stack))
-        hidden = tag in HIDDEN or foreign and tag in FOREIGN_HIDDEN or "hidden" in known or bool(_UNSEEN.search(known.get("style", "")))
+        foreign = (tag in FOREIGN_HIDDEN or attrs.endswith("/")) and (tag in ("svg", "math") or stack.last(("svg", "math")) > 0)
+        style = known.get("style", "")
+        closed = tag in ("details", "dialog") and "open" not in known
+        hidden = tag in HIDDEN or foreign and tag in FOREIGN_HIDDEN or "hidden" in known or bool(_NO_BOX.search(style)) or closed and tag == "dialog"
+        shown = _VISIBILITY.findall(style)
         number = known.get("start", known.get("value", "1")) if tag in ("ol", "li") else "1"
-        node = Node(tag, hidden, int(number) if re.fullmatch(r"-?\d{1,9}", number, re.A) else 1)
-        stack[-1].children.append(node)
+        spans = (max(1, _number(known.get("colspan", "1"), 1000)), _number(known.get("rowspan", "1"), 65534)) if tag in _CELLS else (1, 1)
+        node = Node(tag, hidden, (0 if closed else 1) if tag == "details" else int(number) if re.fullmatch(r"-?\d{1,9}", number, re.A) else 1, shown[-1].lower() == "visible" if shown else None, spans)
+        stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
             if not node.hidden:
@@ -108,53 +163,40 @@ def parse(page: str) -> Node:
                 node.children.append(entities.unescape(raw) if tag == "textarea" else raw)
             at = end.end() if end else size
         elif tag not in VOID and not (attrs.endswith("/") and (foreign or tag not in BLOCK and tag in HIDDEN)):
-            stack.append(node)
+            stack.push(node)
     return root
 
 
-def _text(stack: list[Node], text: str) -> None:
-    if stack[-1].tag == "head" and not text.isspace():
-        stack.pop()
-    stack[-1].children.append(entities.unescape(text))
+def _text(stack: _Open, text: str) -> None:
+    if stack.nodes[-1].tag == "head" and not text.isspace():
+        stack.cut(len(stack.nodes) - 1)
+    stack.nodes[-1].children.append(entities.unescape(text))
 
 
-def _imply(stack: list[Node], tag: str) -> None:
-    if stack[-1].tag == "head" and tag not in HEAD:
-        stack.pop()
-    if tag in CLOSES_P:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag == "p":
-                del stack[i:]
-                break
-            if stack[i].tag in BLOCK or stack[i].tag in ("td", "th", "button"):
-                break
+def _imply(stack: _Open, tag: str) -> None:
+    if stack.nodes[-1].tag == "head" and tag not in HEAD:
+        stack.cut(len(stack.nodes) - 1)
+    if tag in CLOSES_P and (p := stack.last("p")) and not (stack.walls and stack.walls[-1] > p):
+        stack.cut(p)
     ended, stop = IMPLIED_END.get(tag, (set(), set()))
     if ended:
-        cut = len(stack)
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in stop:
-                break
-            if stack[i].tag in ended:
-                cut = i
-                if tag in ("li", "dt", "dd", "option"):
-                    break
-        del stack[cut:]
-    if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
+        wall = stack.last(stop)
+        places = [p[-1] if tag in ("li", "dt", "dd", "option") else p[k] for p in (stack.places.get(t, []) for t in ended) if (k := bisect(p, wall)) < len(p)]
+        if places:
+            stack.cut(max(places) if tag in ("li", "dt", "dd", "option") else min(places))
+    if tag in _CELLS and stack.nodes[-1].tag in ("table", "thead", "tbody", "tfoot"):
         row = Node("tr")
-        stack[-1].children.append(row)
-        stack.append(row)
+        stack.nodes[-1].children.append(row)
+        stack.push(row)
 
 
-def _close(stack: list[Node], tag: str) -> None:
+def _close(stack: _Open, tag: str) -> None:
     """End the nearest open element of that name; a cell or a table keeps tags inside from ending what is outside."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            del stack[i:]
-            return
-        if stack[i].tag in ("td", "th", "table") and tag not in ("table", "tr", "td", "th", "thead", "tbody", "tfoot", "body", "html"):
-            return
-    if tag == "br":
-        stack[-1].children.append(Node("br"))
+    k = stack.last((tag,))
+    if k and (tag in _PARTS or not stack.cells or stack.cells[-1] <= k):
+        stack.cut(k)
+    elif tag in ("br", "p"):  # as browsers do, an element of its own
+        stack.nodes[-1].children.append(Node(tag))
 
 
 class _Writer:
@@ -213,15 +255,56 @@ def _width(s: str) -> int:
     return len(s) if s.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    """Rows of cells, each of maybe several lines, in columns two blanks apart."""
-    grid = [[cell.split("\n") for cell in row] for row in rows if any(row)]
-    widths = [max((max(map(_width, row[k])) for row in grid if len(row) > k), default=0) for k in range(max(map(len, grid), default=0))]
-    out = []
+def _placed(rows: list[list[tuple[str, int, int]]]) -> list[dict[int, tuple[list[str], int]]]:
+    """For each row its cells, as lines and columns spanned, by first column; rows that cells reach into leave their columns free."""
+    out, taken = [], {}  # taken: by column, the rows for which a cell above still stands there, and to which column
+    for row in rows:
+        at, placed = 0, {}
+        for text, wide, high in row:
+            while at in taken:
+                at = taken[at][1]
+            placed[at] = (text.split("\n"), wide)
+            if high != 1:
+                taken[at] = [high or len(rows), at + wide]
+            at += wide
+        for column in [c for c, x in taken.items() if x[0] <= 1]:
+            del taken[column]
+        for x in taken.values():
+            x[0] -= 1
+        out.append(placed)
+    return out
+
+
+def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """Rows of cells (text of maybe several lines, columns and rows spanned) in columns two blanks apart."""
+    grid = _placed(rows)
+    first = sorted({c for row in grid for c in row})  # columns where no cell begins need no room
+    number = {c: k for k, c in enumerate(first)}
+    table = []
     for row in grid:
-        for n in range(max(map(len, row))):
-            cells = [cell[n] if n < len(cell) else "" for cell in row]
-            out.append("  ".join(c + " " * (w - _width(c)) for c, w in zip(cells, widths, strict=False)).rstrip())
+        table.append({number[c]: (lines, bisect(first, c + wide - 1) - number[c]) for c, (lines, wide) in row.items()})
+    widths = [0] * len(first)
+    for row in table:
+        for k, (lines, wide) in row.items():
+            if wide == 1:
+                widths[k] = max([widths[k], *(w for x in lines if (w := _width(x)) <= WIDEST)])
+    edges = [0]
+    for w in widths:
+        edges.append(edges[-1] + w + 2)
+    out = []
+    for row in table:
+        if not any(any(lines) for lines, _ in row.values()):
+            continue
+        for n in range(max(len(lines) for lines, _ in row.values())):
+            parts, end = [], 0
+            for k in sorted(row):
+                lines, _ = row[k]
+                if n < len(lines) and lines[n]:
+                    # Where a cell before is wider than its columns, two blanks at least.
+                    gap = max(edges[k] - end, 2 if parts else 0)
+                    parts.append(" " * gap + lines[n])
+                    end += gap + _width(lines[n])
+            out.append("".join(parts))
     return out
 
 
@@ -229,12 +312,13 @@ def render(root: Node) -> str:
     """The visible text of a tree."""
     writers, tables, lists = [_Writer()], [], []
     pre = 0
-    todo: list[tuple[Node | str, bool]] = [(root, False)]
+    todo: list[tuple[Node | str, bool, bool]] = [(root, False, True)]
     while todo:
-        node, done = todo.pop()
+        node, done, seen = todo.pop()
         out = writers[-1]
         if isinstance(node, str):
-            (out.verbatim if pre else out.text)(node)
+            if seen:
+                (out.verbatim if pre else out.text)(node)
             continue
         tag = node.tag
         if not done:
@@ -262,14 +346,18 @@ def render(root: Node) -> str:
             elif tag in ("td", "th") and tables:
                 writers.append(_Writer())
             pre += tag == "pre"
-            todo.append((node, True))
-            todo.extend((child, False) for child in reversed(node.children))
+            seen = seen if node.seen is None else node.seen
+            children = node.children
+            if tag == "details" and not node.start:
+                children = [x for x in children if not isinstance(x, str) and x.tag == "summary"][:1]
+            todo.append((node, True, seen))
+            todo.extend((child, False, seen) for child in reversed(children))
             continue
         pre -= tag == "pre"
         if tag in ("td", "th") and tables:
             if not tables[-1]:
                 tables[-1].append([])
-            tables[-1][-1].append(writers.pop().value())
+            tables[-1][-1].append((writers.pop().value(), *node.spans))
             continue
         if tag in ("ul", "ol", "menu"):
             out.prefix = lists.pop()[2]
