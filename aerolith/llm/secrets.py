@@ -2,9 +2,14 @@
 
 The field tags each token of a text as the begin of a secret, inside one or
 outside, from the token's shape, the words around it and features of the whole
-text, and is decoded by Viterbi. It is trained on windows around the patterns'
-matches in a bounded sample and adds spans of kind ``crf`` where it sees a
-secret that no pattern matched; the patterns' spans always stay.
+text, and is decoded by Viterbi. It is trained on windows of a bounded
+sample: around the patterns' matches, and in texts without one at random tokens
+and at the longest. So that it does not only learn the patterns again, each
+match also stands in the sample with the words around it hidden, with the shape
+of another random value in place of its own, and with both, so that context and
+shape carry the label each by itself; and ``PLAIN_WINDOWS`` times with a plain
+word, a number or a short name in its place, which is no secret. The field adds spans of kind ``crf`` where
+it sees a secret that no pattern matched; the patterns' spans always stay.
 
 Defined cases: a null or empty text has no spans, and its digest is that of an
 empty string; rows that repeat keep their row each; with no match in the
@@ -52,6 +57,11 @@ _BITS[65:91] = 2 | 8
 _BITS[97:103] = 4
 _BITS[103:123] = 4 | 8
 _LENGTHS = np.array([2, 4, 8, 16, 24])
+#: Shapes of plain words, of numbers, and of names of a few letters and digits.
+PLAIN = tuple(32 * size + bits for size in (1, 2, 3) for bits in (4 | 8, 2 | 4 | 8, 1, 4, 2 | 8)) + tuple(32 * size + bits for size in (0, 1) for bits in (1, 4 | 8, 1 | 4 | 8, 1 | 4))
+PLAIN_WINDOWS = 4
+#: Shapes of random values of 16 bytes and of 24 or more: lower, upper or both cases with digits, and hexadecimal.
+VALUES = tuple(32 * size + bits for size in (4, 5) for bits in (1 | 4 | 8, 1 | 2 | 8, 1 | 2 | 4 | 8, 1 | 4))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -177,7 +187,7 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-def train(features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, steps: int = 80, rate: float = 0.15, decay: float = 2e-4) -> Field:
+def train(features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, steps: int = 140, rate: float = 0.15, decay: float = 2e-4) -> Field:
     """Maximum likelihood by Adam; features (7, n, SPAN), labels (n, SPAN), lengths (n,)."""
     n = len(labels)
     tables, moves = [np.zeros((s, 3)) for s in SIZES], np.zeros((3, 3))
@@ -209,8 +219,8 @@ def train(features: np.ndarray, labels: np.ndarray, lengths: np.ndarray, steps:
         for p, g, (m, v) in zip((*tables, moves), (*slopes, gold_moves - expected), memory, strict=True):
             g = g / n - decay * p
             m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+            v += 0.1 * (g * g - v)
+            p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.9**step)) + 1e-8)
     return Field(tables, moves)
 
 
@@ -231,15 +241,18 @@ def _windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         continue
                     text, labels = texts[r] or "", np.zeros(b - a, np.int64)
                     base, centres = tokens.edges[r - lo], []
-                    for start, stop in sorted(_secret_parts(text)):
-                        s, e = (base + len(text[:x].encode("utf-8", "surrogatepass")) for x in (start, stop))
+                    parts = sorted(_secret_parts(text))
+                    place = np.append(np.flatnonzero((raw[ends[r] : ends[r + 1]] & 0xC0) != 0x80), ends[r + 1] - ends[r]) if parts else None
+                    for start, stop in parts:
+                        s, e = base + place[start], base + place[stop]
                         i, j = np.searchsorted(tokens.stops[a:b], s, "right"), np.searchsorted(tokens.starts[a:b], e)
                         if labels[i:j].any():
                             continue
                         labels[i:j] = I
                         labels[i] = B
                         centres.append(int(i))
-                    for c in centres or [abs(keys[r] or 0) % (b - a)]:
+                    longest = a + int(np.argmax(tokens.stops[a:b] - tokens.starts[a:b]))
+                    for c in centres or ([abs(keys[r] or 0) % (b - a)] if (keys[r] or 0) % 2 else [longest - a]):
                         lo_, hi_ = max(0, c - SPAN // 2), min(b - a, c - SPAN // 2 + SPAN)
                         values = np.zeros((8, SPAN), np.int32)
                         values[:7, : hi_ - lo_] = stacked[:, a + lo_ : a + hi_]
@@ -259,11 +272,36 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
     share = min(1.0, sample_rows / total)
     sample = docs.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < int(1_000_000 * share))
     found = _windows(sample, id_col, text_col)
-    rows = found.orderBy(F.desc("has"), "key", "values").limit(sample_windows).collect()
-    if not any(r["has"] for r in rows):
+    # Each match makes several windows; these fill half of the sample's bound at most.
+    has = found.filter("has").orderBy("key", "values").limit(sample_windows // (2 * (4 + PLAIN_WINDOWS))).collect()
+    if not has:
         return None
+    rows = has + found.filter("NOT has").orderBy("key", "values").limit(sample_windows // 2).collect()
     values = np.array([r["values"] for r in rows]).reshape(len(rows), 8, SPAN)
-    return train(values[:, :7].transpose(1, 0, 2), values[:, 7], np.array([r["length"] for r in rows]))
+    lengths = np.array([r["length"] for r in rows])
+    values, lengths = np.concatenate([values, *masked(values[: len(has)])]), np.concatenate([lengths, *[lengths[: len(has)]] * (3 + PLAIN_WINDOWS)])
+    return train(values[:, :7].transpose(1, 0, 2), values[:, 7], lengths)
+
+
+def masked(values: np.ndarray) -> list[np.ndarray]:
+    """Windows (n, 8, SPAN) with words hidden, with the shapes of secrets replaced by those of other random values, with both, and with plain words in place of secrets, every other one with the words around hidden."""
+    row, at = np.nonzero((values[:, 7] != O) & (values[:, 0] >= 32 * 3))  # not the delimiters and short parts of a secret
+
+    def replaced(shapes: tuple[int, ...], turn: int) -> np.ndarray:
+        made, new = values.copy(), np.array(shapes)[(row * 5 + at + turn * 7) % len(shapes)]
+        made[row, 0, at] = new
+        made[row[at > 0], 2, at[at > 0] - 1] = new[at > 0]
+        inner = at < SPAN - 1
+        made[row[inner], 1, at[inner] + 1] = new[inner]
+        return made
+
+    shaped, plain = replaced(VALUES, 0), [replaced(PLAIN, k) for k in range(PLAIN_WINDOWS)]
+    out = [values.copy(), shaped, shaped.copy(), *plain]
+    for made in (out[0], out[2], *plain[::2]):
+        made[:, 3:6] = LEXICON
+    for made in plain:
+        made[:, 7] = O
+    return out
 
 
 def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,12 +335,13 @@ def _new_spans(tokens: Tokens, labels: np.ndarray, r: int, raw: bytes, base: lis
     """Runs of B I* in row r, from its first to its last core token, that touch no base span."""
     a, b = int(tokens.bounds[r]), int(tokens.bounds[r + 1])
     out, run = [], []
+    chars = np.append(0, np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80))
     for i in [*range(a, b), -1]:
         label = labels[i] if i >= 0 else O
         if run and (label != I or i < 0):
             core = [j for j in run if tokens.core[j]]
             if core:
-                s, e = (len(raw[: x - tokens.edges[r]].decode("utf-8", "surrogatepass")) for x in (tokens.starts[core[0]], tokens.stops[core[-1]]))
+                s, e = (int(chars[x - tokens.edges[r]]) for x in (tokens.starts[core[0]], tokens.stops[core[-1]]))
                 if not any(s < q and p < e for p, _, q in base):
                     out.append((s, 3, e))
             run = []
