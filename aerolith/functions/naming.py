@@ -99,19 +99,25 @@ def apply_rules(messages: DataFrame, table: DataFrame) -> DataFrame:
     return out.select(*messages.columns, "variable", "pressure_level", "handled")
 
 
-def with_extra_level(named: DataFrame) -> DataFrame:
+def with_extra_level(named: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """named with extra_level: the level where a cube has more than one that neither its name nor pressure_level holds, else null.
 
     The cubes with several levels are an aggregation, joined back null-safely;
-    those under a height or pressure rule are not among them.
+    those under a height or pressure rule are not among them. ``headers``, a row
+    a cube or a few after ``apply_rules``, spare a second look at the cells.
     """
     cube = [c for c in ("source", "init_date", "cycle", "type_of_level", "step_type", "short_name") if c in named.columns]
-    free = named.filter(~F.col("type_of_level").eqNullSafe("heightAboveGround") & F.col("pressure_level").isNull())
+    free = (named if headers is None else headers).filter(~F.col("type_of_level").eqNullSafe("heightAboveGround") & F.col("pressure_level").isNull())
     several = free.groupBy(*cube).agg(F.count_distinct("level").alias("n"), F.max(F.col("level").isNull().cast("int")).alias("bare")).filter("n + bare > 1").drop("n", "bare").withColumn("several", F.lit(True))
     joined = named.join(several, [named[c].eqNullSafe(several[c]) for c in cube], "left")
     return joined.select(named["*"], F.when(F.col("several"), named["level"]).alias("extra_level"))
 
 
+def drop_level_columns(named: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """named without the columns that its names now hold, and without others that a product does not have."""
+    return named.drop("level", "type_of_level", "step_type", "short_name", "handled", *more)
+
+
 def unhandled(named: DataFrame) -> DataFrame:
     """Level types without a rule, with the number of rows that passed through."""
     return named.filter(~F.col("handled")).groupBy("source", "type_of_level").agg(F.count("*").alias("n"))

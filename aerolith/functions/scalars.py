@@ -30,6 +30,16 @@ def valid_time(init_date: Column, cycle: Column, step_hours: Column) -> Column:
     return init_date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), cycle + step_hours)
 
 
+def init_time(init_date: Column, cycle: Column) -> Column:
+    """The day and cycle of a run as one time, without a time zone: what tells runs of one day apart."""
+    return valid_time(init_date, cycle, F.lit(0))
+
+
+def content_hash(content: Column) -> Column:
+    """What files are compared by."""
+    return F.sha2(content, 256)
+
+
 def is_close(a: Column, b: Column, relative: float = 1e-5, absolute: float = 1e-8) -> Column:
     return F.abs(a - b) <= absolute + relative * F.abs(b)
 
@@ -53,15 +63,22 @@ def event_name(param: Column, statistic: Column, hours: Column) -> Column:
     return F.when((hours == 0) | daily, param).otherwise(F.concat(param, F.lit("_"), statistic, hours.cast("string"), F.lit("h")))
 
 
+#: What a parameter's name says of its event: pattern, number (None: the last group of the pattern), unit, comparison.
+EVENTS = (
+    (r"^tpg(\d+)$", None, "mm", "gt"),
+    (r"^10(?:fgg|spg)(\d+)$", None, "m s-1", "gt"),
+    (r"^2tl273$", 273.15, "K", "lt"),
+    (r"^tpl01$", 0.1, "mm", "lt"),
+    (r"^tprg(\d+)$", None, "mm day-1", "gt"),
+    (r"^tprl(\d+)$", None, "mm day-1", "lt"),
+)
+
+
 def event_threshold(param: Column) -> Column:
     """(threshold, units, comparison) of an event parameter, null for an unknown one."""
-    number = lambda pattern, group=1: F.try_to_number(F.nullif(F.regexp_extract(param, pattern, group), F.lit("")), F.lit("999999")).cast("double")
-    made = lambda value, units, comparison: F.struct(value.alias("threshold"), F.lit(units).alias("units"), comparison.alias("comparison"))
-    rate = r"^tpr([gl])(\d+)$"
-    return (
-        F.when(param.rlike(r"^tpg\d+$"), made(number(r"^tpg(\d+)$"), "mm", F.lit("gt")))
-        .when(param.rlike(r"^10(fgg|spg)\d+$"), made(number(r"^10(?:fgg|spg)(\d+)$"), "m s-1", F.lit("gt")))
-        .when(param == "2tl273", made(F.lit(273.15), "K", F.lit("lt")))
-        .when(param == "tpl01", made(F.lit(0.1), "mm", F.lit("lt")))
-        .when(param.rlike(rate), made(number(rate, 2), "mm day-1", F.when(F.regexp_extract(param, rate, 1) == "g", "gt").otherwise("lt")))
-    )
+    found = []
+    for pattern, number, unit, comparison in EVENTS:
+        value = F.lit(number) if number is not None else F.nullif(F.regexp_extract(param, pattern, 1), F.lit("")).try_cast("double")
+        made = F.struct(value.alias("threshold"), F.lit(unit).alias("units"), F.lit(comparison).alias("comparison"))
+        found.append(F.when(param.rlike(pattern), made))
+    return F.coalesce(*found)

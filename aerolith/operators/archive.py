@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fields import axis_check
 from .probability import receipt, validate
 from .readiness import INIT, checksum_mismatch, missing_cycles, pending, tree_diff, unlisted
+from .tiles import completeness, to_tiles, undeclared
 
 VIOLATION = [*INIT, "check", "detail"]
 
@@ -56,6 +58,39 @@ def copy_violations(hot: DataFrame, cold: DataFrame) -> DataFrame:
     return found.unionByName(none)
 
 
+def bundle_violations(manifests: DataFrame, actual: DataFrame, bundles: tuple[int, ...] = (240, 360)) -> DataFrame:
+    """Bundles of probability runs that do not agree with their contract.
+
+    manifests: INIT, probability_availability; actual: INIT, bundle,
+    index_sha256 of the index files found. Every run declares all ``bundles``;
+    an available one has selected records, an index with the declared hash and
+    events, an unavailable one has none of these.
+    """
+    declared = manifests.select(*INIT, F.explode_outer("probability_availability.bundles").alias("b")).select(*INIT, "b.*")
+    per_run = declared.groupBy(*INIT).agg(F.sort_array(F.collect_list("bundle")).alias("have")).filter(F.col("have") != F.lit(sorted(bundles)))
+    found = declared.filter("bundle IS NOT NULL").join(actual.select(*INIT, "bundle", F.col("index_sha256").alias("h")), [*INIT, "bundle"], "left")
+    there = F.col("status") == "available"
+    reason = (
+        F.when(~F.coalesce(F.col("status").isin("available", "unavailable"), F.lit(False)), "bundle status")
+        .when(there & (F.coalesce("selected_records", F.lit(0)) < 1), "bundle records")
+        .when(there & F.col("h").isNull(), "bundle index absent")
+        .when(there & ~F.col("h").eqNullSafe(F.col("index_sha256")), "bundle index hash")
+        .when(there & (F.size(F.coalesce("available_events", F.array())) < 1), "bundle events")
+        .when(~there & ((F.coalesce("selected_records", F.lit(0)) > 0) | (F.size(F.coalesce("available_events", F.array())) > 0)), "bundle unavailable")
+    )
+    wrong = found.withColumn("reason", reason).filter("reason IS NOT NULL")
+    return _rows(per_run, "bundles", F.to_json("have")).unionByName(_rows(wrong, F.col("reason"), F.col("bundle")))
+
+
+def grid_violations(product: DataFrame, variables: list[str], declared: int, tile: int, spacing: float) -> DataFrame:
+    """Products with tiles of the declared grid missing, variables that are not declared, or an axis that is not regular."""
+    tiled = to_tiles(product, tile, tile)
+    tiles = _rows(completeness(tiled, strict=True, declared=declared), "tiles", F.col("variable"))
+    names = _rows(undeclared(product, variables), "undeclared variable", F.col("variable"))
+    axes = [_rows(axis_check(product, a, spacing).filter("regular = 0"), "axis", a) for a in ("latitude", "longitude")]
+    return tiles.unionByName(names).unionByName(axes[0]).unionByName(axes[1])
+
+
 def verify_days(violations: DataFrame, planned: DataFrame) -> DataFrame:
     """A row a planned (source, init_date): how many violations it has, and whether it passes."""
     days = planned.select("source", "init_date").distinct()

@@ -7,11 +7,13 @@ Tables are in long form, one row a grid point. A cube is the rows of one
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import snap_decimals, step_type, valid_time, wrap_longitude
+from ..sources.shared import kept
 
 INIT = ["source", "init_date", "cycle"]
 CUBE = [*INIT, "type_of_level", "level", "step_type", "short_name"]
@@ -38,6 +40,47 @@ def crop(cells: DataFrame, west: float, east: float, south: float, north: float,
     return moved.filter(F.col("longitude").between(west, east)).drop("east_most")
 
 
+def slabs(cells: DataFrame) -> DataFrame:
+    """A row a cube and step: best, its latest pass, and east_most, its cube's greatest longitude.
+
+    This is what file headers say; where there is a table of headers, it gives
+    the same rows without reading cells.
+    """
+    found = cells.groupBy(*CUBE, "step_hours").agg(F.max("file_step_hours").alias("best"), F.max("longitude").alias("east"))
+    return found.select(*CUBE, "step_hours", "best", F.max("east").over(Window.partitionBy(*CUBE)).alias("east_most"))
+
+
+def latest_in_box(cells: DataFrame, headers: DataFrame, west: float, east: float, south: float, north: float) -> DataFrame:
+    """``crop`` and ``authoritative`` in one pass over the cells, which meet the small table of their ``slabs`` once.
+
+    A slab's latest pass is chosen before the crop, so it wins also where none
+    of its cells lies in the box.
+    """
+    check_box(west, east, south, north)
+    slab = [*CUBE, "step_hours"]
+    near = cells.filter(F.col("latitude").between(south, north))
+    joined = near.join(headers, [near[c].eqNullSafe(headers[c]) for c in slab]).select(near["*"], "best", "east_most").filter(F.col("file_step_hours").eqNullSafe(F.col("best")))
+    moved = joined.withColumn("longitude", F.when(F.col("east_most") > 180, wrap_longitude(F.col("longitude"))).otherwise(F.col("longitude")))
+    return _last_messages(moved.filter(F.col("longitude").between(west, east)))
+
+
+def _last_messages(cells: DataFrame) -> DataFrame:
+    """Of rows of one cell of a slab that with the highest msg_no, of ties the greatest value."""
+    slab = [*CUBE, "step_hours"]
+    last = cells.groupBy(*slab, "latitude", "longitude").agg(F.max(F.struct("msg_no", "value")).alias("last"))
+    return last.select(*slab, "latitude", "longitude", "last.msg_no", "last.value")
+
+
+def with_step(cells: DataFrame) -> DataFrame:
+    """cells with a step: static fields come without one and have null."""
+    return cells if "step_hours" in cells.columns else cells.withColumn("step_hours", F.lit(None).cast("int"))
+
+
+def steps(product: DataFrame) -> DataFrame:
+    """How many steps each variable of an init has, the first and the last."""
+    return product.groupBy(*INIT, "variable").agg(F.count_distinct("step_hours").alias("n_steps"), F.min("step_hours").alias("first_step"), F.max("step_hours").alias("last_step"))
+
+
 def canonical_lead(messages: DataFrame) -> DataFrame:
     """messages with ``reject_reason``: a bad file name, no step, or a preview of another step; null for those to keep."""
     own = F.regexp_extract("file_name", r"^f(\d+)\.subset\.grib2$", 1)
@@ -66,15 +109,18 @@ def authoritative(cells: DataFrame) -> DataFrame:
     best = cells.groupBy(*slab).agg(F.max("file_step_hours").alias("best"))
     keys = [cells[c].eqNullSafe(best[c]) for c in slab]
     joined = cells.join(best, keys).select(cells["*"], "best").filter(F.col("file_step_hours").eqNullSafe(F.col("best")))
-    values = joined.groupBy(*slab, "latitude", "longitude").agg(F.max_by(F.struct("value"), "msg_no").alias("v"), F.max("msg_no").alias("msg_no"))
-    return values.select(*slab, "latitude", "longitude", "msg_no", "v.value")
+    return _last_messages(joined)
 
 
 def merge(named: DataFrame) -> DataFrame:
-    """One row a cell of each variable and, where there is one, extra_level, from all buckets, with the number of unlike values met (above 1: a conflict)."""
+    """One row a cell of each variable and, where there is one, extra_level, from all buckets.
+
+    n_values is 0 without a value, 1 with one, and 2 if unlike values met, a
+    conflict; least and greatest tell that in one shuffle.
+    """
     extra = [c for c in ("extra_level",) if c in named.columns]
     keys = [*INIT, "variable", "pressure_level", *extra, "step_hours", "latitude", "longitude"]
-    return named.groupBy(*keys).agg(F.max("value").alias("value"), F.count_distinct("value").alias("n_values"))
+    return named.groupBy(*keys).agg(F.max("value").alias("value"), F.when(F.count("value") == 0, 0).when(F.max("value") == F.min("value"), 1).otherwise(2).cast("long").alias("n_values"))
 
 
 def combine_parts(surface: DataFrame, pressure: DataFrame) -> DataFrame:
@@ -151,33 +197,49 @@ def _chord() -> F.Column:
     return F.round(sum(((F.col(f"t{a}") - F.col(f"c{a}")) ** 2 for a in "xyz"), F.lit(0.0)), 12)
 
 
-def nearest_cell(cells: DataFrame, targets: DataFrame, bucket: float = 1.0, margin: float = 1.0) -> DataFrame:
+def nearest_cell(cells: DataFrame, targets: DataFrame, bucket: float = 1.0, margin: float = 1.0, strict: bool = False) -> DataFrame:
     """(tlat, tlon, cell_id, distance): the nearest cell of each target by chord, the lowest id of ties.
 
     Targets meet the cells of the 3 x 3 buckets around them by an equi-join. An
     answer counts if it is nearer than any cell outside these buckets can be;
-    only targets without such an answer are compared with all candidates, those
-    in the targets' box and a margin.
+    targets without such an answer go on to buckets four times as wide, until
+    nine of them cover all candidates, those in the targets' box and a margin.
+    A target keeps its row if there is no candidate at all; with ``strict``
+    reading it is an error.
     """
     box = targets.agg(F.min("tlat"), F.max("tlat"), F.min("tlon"), F.max("tlon")).first()
     if box[0] is None:
         return targets.select("tlat", "tlon", F.lit(None).cast("long").alias("cell_id"), F.lit(None).cast("double").alias("distance"))
     inside = cells.filter(F.col("clat").between(box[0] - margin, box[1] + margin) & F.col("clon").between(box[2] - margin, box[3] + margin))
-    inside = _on_sphere(inside, "clat", "clon", "c").select("cell_id", "cx", "cy", "cz", F.floor(F.col("clat") / bucket).alias("by"), F.floor(F.col("clon") / bucket).alias("bx"))
-    aims = _on_sphere(targets.select("tlat", "tlon"), "tlat", "tlon", "t").withColumns({"ty0": F.floor(F.col("tlat") / bucket), "tx0": F.floor(F.col("tlon") / bucket)})
+    inside = _on_sphere(inside, "clat", "clon", "c").select("cell_id", "clat", "clon", "cx", "cy", "cz")
+    rest = _on_sphere(targets.select("tlat", "tlon"), "tlat", "tlon", "t")
+    extent = max(box[1] - box[0], box[3] - box[2]) + 2 * margin
+    out, last = [], False
+    while not last:
+        last = bucket >= extent  # the buckets around any target then hold all candidates
+        met = kept(_around(inside, rest, bucket))
+        done = F.lit(last) | F.coalesce(F.col("best.distance") < F.col("reach"), F.lit(False))
+        out.append(met.filter(done).select("tlat", "tlon", "best.cell_id", "best.distance"))
+        rest, bucket = met.filter(~done).select("tlat", "tlon", "tx", "ty", "tz"), bucket * 4
+        last = last or rest.isEmpty()
+    found = reduce(DataFrame.unionByName, out)
+    lost = F.raise_error(F.concat(F.lit("no cell near "), F.col("tlat"), F.lit(" "), F.col("tlon"))).cast("long")
+    return found.withColumn("cell_id", F.coalesce("cell_id", lost)) if strict else found
+
+
+def _around(inside: DataFrame, aims: DataFrame, bucket: float) -> DataFrame:
+    """aims with best (distance, cell_id) among the cells of the 3 x 3 buckets around, and reach: nearer than this is no cell outside them."""
+    inside = inside.withColumns({"by": F.floor(F.col("clat") / bucket), "bx": F.floor(F.col("clon") / bucket)})
+    aims = aims.withColumns({"ty0": F.floor(F.col("tlat") / bucket), "tx0": F.floor(F.col("tlon") / bucket)})
     near = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     around = aims.withColumn("n", F.explode(near)).withColumns({"by": F.col("ty0") + F.col("n.i"), "bx": F.col("tx0") + F.col("n.j")})
     best = F.min(F.struct("distance", "cell_id")).alias("best")
     found = around.join(inside, ["by", "bx"]).withColumn("distance", _chord()).groupBy("tlat", "tlon").agg(best)
-    # The least way out of the block: to its nearest parallel, or to its nearest meridian.
+    # The least way out of the block: to its nearest parallel, or to its nearest meridian, which a quarter turn away is no nearer.
     rise = F.radians(F.least(F.col("tlat") - (F.col("ty0") - 1) * bucket, (F.col("ty0") + 2) * bucket - F.col("tlat")))
-    run = F.radians(F.least(F.col("tlon") - (F.col("tx0") - 1) * bucket, (F.col("tx0") + 2) * bucket - F.col("tlon")))
-    reach = F.least((2 * F.sin(rise / 2)) ** 2, (F.sin(run) * F.cos(F.radians("tlat"))) ** 2)
-    sure = aims.join(found, ["tlat", "tlon"], "left").withColumn("sure", F.coalesce(F.col("best.distance") < reach, F.lit(False)))
-    rest = sure.filter(~F.col("sure")).select("tlat", "tlon", "tx", "ty", "tz")
-    full = rest.crossJoin(inside).withColumn("distance", _chord()).groupBy("tlat", "tlon").agg(best)  # blocks of a few targets against all candidates
-    out = sure.filter("sure").select("tlat", "tlon", "best").unionByName(full)
-    return out.select("tlat", "tlon", "best.cell_id", "best.distance")
+    run = F.radians(F.least(F.col("tlon") - (F.col("tx0") - 1) * bucket, (F.col("tx0") + 2) * bucket - F.col("tlon"), F.lit(90.0)))
+    reach = F.least((2 * F.sin(F.least(rise, F.radians(F.lit(180.0))) / 2)) ** 2, (F.sin(run) * F.cos(F.radians("tlat"))) ** 2)
+    return aims.join(found, ["tlat", "tlon"], "left").select("tlat", "tlon", "tx", "ty", "tz", "best", reach.alias("reach"))
 
 
 def regrid(cells: DataFrame, remap: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import RAIN, event_name, event_threshold, is_close
+from ..functions.scalars import RAIN, event_name, event_threshold, is_close, missing_as_null, valid_time
 
 # Parameters of the catalogs, and the ends of multi-day windows.
 IFS = ("tpg20", "tpg50", "tpg100", "10fgg15", "10fgg25")
@@ -27,6 +27,16 @@ def expected_samples(spark: SparkSession, source: str) -> DataFrame:
     return out
 
 
+def contract_samples(manifests: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, variable, step_hours): the windows that each run's availability contract promises."""
+    available = manifests.select(*keys, F.explode("probability_availability.available_samples").alias("variable", "steps"))
+    return available.select(*keys, "variable", F.explode("steps").alias("step_hours"))
+
+
+def forecast_only(messages: DataFrame) -> DataFrame:
+    return messages.filter(F.col("data_type").eqNullSafe(F.lit("fc")))
+
+
 def gate(messages: DataFrame) -> DataFrame:
     """messages with reject_reason: what is not an event probability over whole hours; null for those to keep."""
     reason = (
@@ -40,43 +50,59 @@ def gate(messages: DataFrame) -> DataFrame:
 
 
 def event_columns(messages: DataFrame) -> DataFrame:
-    """messages with window_hours, variable, threshold, its units and comparison, time_label, and encoding_ok.
+    """messages with window_hours, window_start and window_end, variable, threshold, its units and comparison, time_label, and encoding_ok.
 
     The width and the statistic are part of the name, so windows of one
     parameter never meet. Rates per second are held against thresholds per day.
+    The ends of a window are times, where init_date is there (without cycle, of
+    the day's first run).
     """
+    cycle = F.col("cycle") if "cycle" in messages.columns else F.lit(0)
+    at = (lambda c: valid_time(F.col("init_date"), cycle, F.col(c))) if "init_date" in messages.columns else lambda c: F.lit(None).cast("timestamp_ntz")
     hours = F.col("step_hours") - F.col("start_step")
     limit = F.when(F.col("param").startswith("tpr"), F.col("lower_limit") * 86400).otherwise(F.col("lower_limit"))
     out = messages.withColumn("window_hours", hours).withColumn("variable", event_name(F.col("param"), F.col("step_type"), hours)).withColumn("event", event_threshold(F.col("param")))
     right = F.col("prob_type") == F.when(F.col("event.comparison") == "gt", 3).otherwise(0)
     ok = right & is_close(limit, F.col("event.threshold"))
-    return out.select(*messages.columns, "window_hours", "variable", "event.threshold", F.col("event.units").alias("threshold_units"), "event.comparison", F.when(hours > 0, "window_end").otherwise("instant").alias("time_label"), F.coalesce(ok, F.lit(False)).cast("int").alias("encoding_ok"))
+    return out.select(*messages.columns, "window_hours", at("start_step").alias("window_start"), at("step_hours").alias("window_end"), "variable", "event.threshold", F.col("event.units").alias("threshold_units"), "event.comparison", F.when(hours > 0, "window_end").otherwise("instant").alias("time_label"), F.coalesce(ok, F.lit(False)).cast("int").alias("encoding_ok"))
 
 
 def sample_windows(product: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, variable, step_hours) that have at least one present value."""
-    return product.filter(F.col("value").isNotNull()).select(*keys, "variable", "step_hours").distinct()
+    """(keys, variable, step_hours) that have at least one present value; NaN is none."""
+    return product.filter(missing_as_null(F.col("value")).isNotNull()).select(*keys, "variable", "step_hours").distinct()
 
 
 def range_violations(product: DataFrame, keys: list[str]) -> DataFrame:
-    """Variables with values below 0, above 100 or infinite, and how many."""
-    bad = (F.col("value") < 0) | (F.col("value") > 100) | F.isnan("value")
+    """Variables with values below 0, above 100 or infinite, and how many; NaN is a missing value."""
+    bad = (F.col("value") < 0) | (missing_as_null(F.col("value")) > 100)
     return product.groupBy(*keys, "variable").agg(F.count_if(bad).alias("n_bad")).filter("n_bad > 0")
 
 
 def validate(product: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
-    """violations (keys, variable, check, step_hours): windows missing or not expected, values out of range, windows of a wrong width.
+    """violations (keys, variable, check, step_hours): windows missing or not expected, values out of range, bounds of windows.
 
-    ``expected`` is the catalog, a few hundred rows, and is broadcast.
+    ``expected`` is (variable, step_hours), one catalog for all runs, a few
+    hundred rows, and is broadcast; or it has ``keys`` too and is each run's own
+    contract. Bounds are wrong if window_hours is null, not positive or longer
+    than the step, unlike that of ``expected``, if it has one, or if valid_time,
+    where it is known, is not the window's end.
     """
-    inits = product.select(*keys).distinct()
-    wanted = inits.crossJoin(F.broadcast(expected))
-    have = sample_windows(product, keys)
     at = [*keys, "variable", "step_hours"]
+    own = all(k in expected.columns for k in keys)
+    have = sample_windows(product, keys)
+    known, on = (expected, at) if own else (F.broadcast(expected), ["variable", "step_hours"])
+    wanted = expected if own else product.select(*keys).distinct().crossJoin(F.broadcast(expected))
     missing = wanted.join(have, at, "left_anti").select(*at, F.lit("missing window").alias("check"))
-    extra = have.join(F.broadcast(expected), ["variable", "step_hours"], "left_anti").select(*at, F.lit("unexpected window").alias("check"))
+    extra = have.join(known, on, "left_anti").select(*at, F.lit("unexpected window").alias("check"))
     beyond = range_violations(product, keys).select(*keys, "variable", F.lit(None).cast("int").alias("step_hours"), F.lit("out of range").alias("check"))
-    width = product.filter((F.col("window_hours") <= 0) | (F.col("window_hours") > F.col("step_hours"))).select(*at, F.lit("bounds").alias("check")).distinct()
+    wrong = F.col("window_hours").isNull() | (F.col("window_hours") <= 0) | (F.col("window_hours") > F.col("step_hours"))
+    if {"valid_time", "init_date", "cycle"} <= set(product.columns):
+        wrong |= ~F.col("valid_time").eqNullSafe(valid_time(F.col("init_date"), F.col("cycle"), F.col("step_hours")))
+    if "window_hours" in expected.columns:
+        declared = known.withColumnRenamed("window_hours", "declared")
+        product = product.join(declared, on, "left")
+        wrong |= F.coalesce(F.col("window_hours") != F.col("declared"), F.lit(False))
+    width = product.filter(wrong).select(*at, F.lit("bounds").alias("check")).distinct()
     return missing.unionByName(extra).unionByName(beyond).unionByName(width)
 
 
@@ -108,9 +134,12 @@ def validate_contract(contracts: DataFrame, full: DataFrame) -> DataFrame:
 
 
 def receipt(product: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, variable, n_expected, n_actual, complete): what a product's receipt says of each variable."""
-    wanted = product.select(*keys).distinct().crossJoin(F.broadcast(expected.groupBy("variable").agg(F.count("*").alias("n_expected"))))
-    have = sample_windows(product, keys).join(F.broadcast(expected), ["variable", "step_hours"], "left_semi").groupBy(*keys, "variable").agg(F.count("*").alias("n_actual"))
+    """(keys, variable, n_expected, n_actual, complete): what a product's receipt says of each variable, by one catalog or, if ``expected`` has ``keys``, by each run's contract."""
+    own = all(k in expected.columns for k in keys)
+    counted = expected.groupBy(*(keys if own else ()), "variable").agg(F.count("*").alias("n_expected"))
+    wanted = counted if own else product.select(*keys).distinct().crossJoin(F.broadcast(counted))
+    known = expected if own else F.broadcast(expected)
+    have = sample_windows(product, keys).join(known, [*(keys if own else ()), "variable", "step_hours"], "left_semi").groupBy(*keys, "variable").agg(F.count("*").alias("n_actual"))
     out = wanted.join(have, [*keys, "variable"], "left").withColumn("n_actual", F.coalesce("n_actual", F.lit(0)).cast("long"))
     return out.withColumn("complete", (F.col("n_actual") == F.col("n_expected")).cast("int"))
 

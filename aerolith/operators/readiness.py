@@ -22,8 +22,9 @@ def pending(manifests: DataFrame, outputs: DataFrame, force: bool = False) -> Da
 
 
 def select_inits(inits: DataFrame, first: Column, last: Column, cycles: list[int], source: str | None = None) -> DataFrame:
-    """Inits of a range of days, both ends included, of some cycles and maybe one source; rows without a day drop out."""
+    """Inits of a range of days, both ends included, of some cycles and maybe one source; rows without a day and, where completed_at is known, unfinished ones drop out."""
     out = inits.filter(F.col("init_date").between(first, last) & F.col("cycle").isin(*cycles))
+    out = out.filter(F.col("completed_at").isNotNull()) if "completed_at" in inits.columns else out
     return out if source is None else out.filter(F.col("source") == source)
 
 

@@ -15,9 +15,22 @@ def _ranked(product: DataFrame, axis: str, size: int | None) -> DataFrame:
     return points.withColumn(f"tile_{axis}", F.floor(rank / size).cast("int") if size and size > 0 else F.lit(0))
 
 
-def to_tiles(product: DataFrame, latitude: int | None = 64, longitude: int | None = 64) -> DataFrame:
-    """product with tile_latitude and tile_longitude. The axes of an init are small beside its cells."""
-    return product.join(_ranked(product, "latitude", latitude), [*INIT, "latitude"]).join(_ranked(product, "longitude", longitude), [*INIT, "longitude"])
+def to_tiles(product: DataFrame, latitude: int | None = 64, longitude: int | None = 64, step: int | None = None, level: int | None = None, axes: DataFrame | None = None) -> DataFrame:
+    """product with tile_latitude and tile_longitude, and tile_step and tile_level if a size is given for them.
+
+    The axes of an init are small beside its cells. ``axes`` (INIT, latitude,
+    longitude, step_hours, pressure_level) declares them, for instance from
+    headers; else they are those of the product, which is then read once more
+    an axis.
+    """
+    of = product if axes is None else axes
+    out = product.join(_ranked(of, "latitude", latitude), [*INIT, "latitude"]).join(_ranked(of, "longitude", longitude), [*INIT, "longitude"])
+    if step:
+        out = out.join(_ranked(of, "step_hours", step).withColumnRenamed("tile_step_hours", "tile_step"), [*INIT, "step_hours"])
+    if level:
+        levels = _ranked(of.filter("pressure_level IS NOT NULL"), "pressure_level", level).withColumnRenamed("tile_pressure_level", "tile_level")
+        out = out.join(levels, [*INIT, "pressure_level"], "left")
+    return out
 
 
 def tile_series(tiled: DataFrame) -> DataFrame:
@@ -26,14 +39,26 @@ def tile_series(tiled: DataFrame) -> DataFrame:
     return tiled.groupBy(*keys).agg(F.count_distinct("latitude", "longitude").alias("n_cells"), F.array_sort(F.collect_list(F.struct("step_hours", "latitude", "longitude", "value"))).alias("series"))
 
 
-def completeness(tiled: DataFrame, strict: bool = False) -> DataFrame:
+def declared_tiles(n_latitude: int, n_longitude: int, latitude: int, longitude: int) -> int:
+    """Tiles of a grid of so many points in tiles of such a size."""
+    return -(-n_latitude // latitude) * -(-n_longitude // longitude)
+
+
+def completeness(tiled: DataFrame, strict: bool = False, declared: int | None = None) -> DataFrame:
     """(init, variable, n_written, n_expected) of variables whose tiles are not all there.
 
     A tile is written if it has a present value. The lenient form leaves out
-    variables without any; the strict form reports them too.
+    variables without any; the strict form reports them too. ``declared`` is the
+    number of tiles of the declared grid; without it the tiles found say how
+    many there are, so a last row or column that all variables lack goes unseen.
     """
     expected = tiled.groupBy(*INIT).agg(((F.max("tile_latitude") + 1) * (F.max("tile_longitude") + 1)).cast("long").alias("n_expected"))
     tile = F.when(F.col("value").isNotNull(), F.struct("tile_latitude", "tile_longitude"))
     written = tiled.groupBy(*INIT, "variable").agg(F.count_distinct(tile).alias("n_written"))
-    joined = written.join(expected, INIT)
+    joined = written.join(expected, INIT) if declared is None else written.withColumn("n_expected", F.lit(declared).cast("long"))
     return joined.filter((F.col("n_written") < F.col("n_expected")) & ((F.col("n_written") > 0) | F.lit(strict)))
+
+
+def undeclared(product: DataFrame, variables: list[str]) -> DataFrame:
+    """(init, variable) that a product holds and that are not among the declared ones."""
+    return product.filter(~F.col("variable").isin(*variables)).select(*INIT, "variable").distinct()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 FX_RAW = """
-SELECT CASE l_returnflag WHEN 'A' THEN 'gfs-0p25' WHEN 'N' THEN 'ifs-hres' ELSE 'aifs-single' END AS source,
+SELECT CASE WHEN k = 10 THEN 'graphcast' WHEN k > 10 THEN 'dwd-icon' WHEN l_returnflag = 'A' THEN 'gfs-0p25' WHEN l_returnflag = 'N' THEN 'ifs-hres' ELSE 'aifs-single' END AS source,
        CAST(date_trunc('year', l_shipdate) AS DATE) AS init_date, CAST((l_orderkey % 2) * 12 AS INT) AS cycle,
        CAST((l_linenumber - 1) * 3 AS INT) AS step_hours,
        CAST(CASE WHEN l_tax >= 0.075 THEN 0 ELSE (l_linenumber - 1) * 3 END AS INT) AS file_step_hours,
@@ -21,8 +21,10 @@ FROM {lineitem} JOIN (SELECT * FROM (VALUES
  (2, 'heightAboveGround', 100§, 'instant', 'u'), (3, 'isobaricInhPa', 850§, 'instant', 't'),
  (4, 'isobaricInhPa', 500§, 'instant', 't'), (5, 'surface', 0§, 'instant', 't'),
  (6, 'surface', 0§, 'accum', 'tp'), (7, 'atmosphere', 0§, 'avg', 'tcc'),
- (8, 'boundaryLayerCloudLayer', 0§, 'avg', 'tcc'), (9, 'highCloudLayer', 0§, 'avg', 'avg_hcc'))
- AS v(k, type_of_level, level, step_type, short_name)) cat ON (l_partkey * 7 + l_orderkey) % 10 = k
+ (8, 'boundaryLayerCloudLayer', 0§, 'avg', 'tcc'), (9, 'highCloudLayer', 0§, 'avg', 'avg_hcc'),
+ (10, 'surface', 0§, 'accum', 'unknown'), (11, 'generalVerticalLayer', 59§, 'instant', 'u'),
+ (12, 'generalVerticalLayer', 60§, 'instant', 'u'), (13, 'isobaricLayer', 400§, 'instant', 'q'))
+ AS v(k, type_of_level, level, step_type, short_name)) cat ON (l_partkey * 7 + l_orderkey) % 14 = k
 """
 
 FX_CELLS = """

@@ -10,6 +10,7 @@ from ..operators.archive import raw_violations
 from ..operators.catalog import definitions
 from ..operators.probability import validate
 from ..operators.readiness import INIT, pending
+from ..sources.shared import kept
 from ..sources.catalog_store import products_of, upsert
 from ..sources.products import read_product, write_product
 
@@ -18,20 +19,26 @@ def restore_history(spark: SparkSession, manifests: DataFrame, outputs: DataFram
     """Build what is pending and publish it; returns the violations that kept runs back.
 
     Runs with a raw file that differs from its manifest are left out before
-    building. With ``expected`` each product is validated before it is written.
+    building. With ``expected``, of all runs or, where it has their keys, of each
+    by its contract, a product is validated before it is written.
     A run whose product is newer than its manifest is not built again, so a
     restart goes on where the last stopped.
     """
     due = pending(manifests, outputs).filter("action = 'process'").select(*INIT)
     faults = raw_violations(listed.join(due, INIT, "left_semi"), hashes.join(due, INIT, "left_semi"))
-    product = build(due.join(faults.select(*INIT), INIT, "left_anti"))
+    product = kept(build(due.join(faults.select(*INIT), INIT, "left_anti")))  # decoded once, for validation and writing
     if expected is not None:
         wrong = validate(product, expected, INIT)
         faults = faults.select(*INIT, "check").unionByName(wrong.select(*INIT, "check"))
         product = product.join(wrong.select(*INIT).distinct(), INIT, "left_anti")
+    publish(spark, product, due, root, catalog, signatures)
+    return faults.select(*INIT, "check")
+
+
+def publish(spark: SparkSession, product: DataFrame, due: DataFrame, root: str, catalog: str, signatures: DataFrame) -> None:
+    """Write the runs ``due`` (INIT) of a product and bring their sources' catalog up to date; nothing changes the second time."""
     write_product(product, root)
     built = read_product(spark, root).join(due, INIT, "left_semi")
     rows = products_of(definitions(built), signatures)
     for r in rows.select("source").distinct().collect():  # the few sources that were built
         upsert(spark, catalog, rows, r["source"])
-    return faults.select(*INIT, "check")

@@ -35,6 +35,12 @@ def _raw(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "fx_raw")
 
 
+def _tiled(spark: SparkSession, d: str, latitude: int, longitude: int) -> DataFrame:
+    """The product in tiles of the axes that its records have in the box."""
+    axes = fields.crop(_raw(spark, d), -180.0, 180.0, 15.0, 55.0)
+    return tiles.to_tiles(_product(spark, d), latitude, longitude, axes=axes)
+
+
 def _named(spark: SparkSession, d: str) -> DataFrame:
     return naming.apply_rules(_raw(spark, d), naming.rules(spark))
 
@@ -49,29 +55,31 @@ named AS (
   SELECT *, CASE
     WHEN type_of_level = 'heightAboveGround' THEN CASE WHEN regexp_matches(short_name, '\d+[a-z]*$') THEN short_name ELSE short_name || CAST(CAST(trunc(level) AS INT) AS VARCHAR) || 'm' END || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
     WHEN type_of_level = 'isobaricInhPa' THEN short_name
+    WHEN source = 'graphcast' AND type_of_level = 'surface' AND short_name = 'unknown' THEN 'tp' || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
     WHEN type_of_level = 'surface' THEN CASE WHEN step_type <> 'instant' THEN short_name || '_' || step_type WHEN source = 'gfs-0p25' AND short_name = 't' THEN 't_sfc' ELSE short_name END
     WHEN type_of_level = 'highCloudLayer' THEN regexp_replace(short_name, '^(avg|max|min)_(.*)$', '\2_\1')
     WHEN source = 'gfs-0p25' AND type_of_level = 'atmosphere' THEN short_name || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
     WHEN source = 'gfs-0p25' AND type_of_level = 'boundaryLayerCloudLayer' THEN CASE WHEN short_name = 'tcc' THEN 'tcc_bl' ELSE short_name END || CASE WHEN step_type = 'instant' THEN '' ELSE '_' || step_type END
     ELSE short_name END AS variable,
     CASE WHEN type_of_level = 'isobaricInhPa' THEN level END AS pressure_level,
-    type_of_level IN ('heightAboveGround', 'isobaricInhPa', 'surface', 'highCloudLayer') OR source = 'gfs-0p25' AS handled
+    type_of_level IN ('heightAboveGround', 'isobaricInhPa', 'surface', 'highCloudLayer') OR source IN ('gfs-0p25', 'dwd-icon') AS handled
   FROM RAW)"""
 _CUBE = "source, init_date, cycle, type_of_level, level, step_type, short_name"
 _PRODUCT_SQL = (
     f"""
 WITH moved AS (
   SELECT * REPLACE (CASE WHEN max(longitude) OVER (PARTITION BY {_CUBE}) > 180 THEN (((longitude + 180) % 360) + 360) % 360 - 180 ELSE longitude END AS longitude) FROM fx_raw),
-cropped AS (SELECT * FROM moved WHERE latitude BETWEEN 15 AND 55 AND longitude BETWEEN -180 AND 180),
-slabs AS (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM cropped),
+slabs AS (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM moved),
+cropped AS (SELECT * FROM slabs WHERE latitude BETWEEN 15 AND 55 AND longitude BETWEEN -180 AND 180),
 latest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC) AS nth FROM slabs WHERE slab = 1) WHERE nth = 1),"""
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC, value DESC NULLS LAST) AS nth FROM cropped WHERE slab = 1) WHERE nth = 1),"""
     + _NAMED_SQL.replace("RAW", "latest")
     + """,
+levels AS (SELECT source, init_date, cycle, type_of_level, step_type, short_name, count(DISTINCT level) > 1 AS several FROM fx_raw WHERE type_of_level NOT IN ('heightAboveGround', 'isobaricInhPa') GROUP BY ALL),
 product AS (
-  SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, max(value) AS value, count(DISTINCT value) AS n_values,
+  SELECT source, init_date, cycle, variable, pressure_level, extra_level, step_hours, latitude, longitude, max(value) AS value, least(count(DISTINCT value), 2) AS n_values,
          CAST(init_date AS TIMESTAMP) + to_hours(cycle + step_hours) AS valid_time
-  FROM named GROUP BY ALL)
+  FROM (SELECT named.*, CASE WHEN several THEN level END AS extra_level FROM named LEFT JOIN levels USING (source, init_date, cycle, type_of_level, step_type, short_name)) GROUP BY ALL)
 """
 )
 
@@ -100,13 +108,13 @@ def s04_wide(spark, d):
 
 @query(
     _on_product("""SELECT source, init_date, cycle, variable, pressure_level, tile_latitude, tile_longitude, count(*) AS n_values, count(DISTINCT (latitude, longitude)) AS n_cells FROM product
-    JOIN (SELECT source, init_date, cycle, latitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 4 AS INT) AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) USING (source, init_date, cycle, latitude)
-    JOIN (SELECT source, init_date, cycle, longitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 8 AS INT) AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM product)) USING (source, init_date, cycle, longitude)
+    JOIN (SELECT source, init_date, cycle, latitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 4 AS INT) AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM cropped)) USING (source, init_date, cycle, latitude)
+    JOIN (SELECT source, init_date, cycle, longitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 8 AS INT) AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM cropped)) USING (source, init_date, cycle, longitude)
     GROUP BY ALL"""),
     "fx_raw",
 )
 def s06_tiles(spark, d):
-    series = tiles.tile_series(tiles.to_tiles(_product(spark, d), 4, 8))
+    series = tiles.tile_series(_tiled(spark, d, 4, 8))
     return series.select(*tiles.INIT, "variable", "pressure_level", "tile_latitude", "tile_longitude", F.size("series").cast("long").alias("n_values"), "n_cells")
 
 
@@ -149,12 +157,27 @@ def p04_canonical_lead(spark, d):
     return fields.canonical_lead(_raw(spark, d).withColumn("file_name", name)).select("msg_no", "lead_hours", "reject_reason")
 
 
-@query(f"SELECT {_CUBE}, count(*) AS n_cells FROM fx_raw WHERE latitude BETWEEN 50 AND 55 AND longitude BETWEEN 60 AND 80 GROUP BY ALL", "fx_raw")
+@query(f"SELECT {_CUBE}, count(*) AS n_cells FROM (SELECT * REPLACE (CASE WHEN max(longitude) OVER (PARTITION BY {_CUBE}) > 180 THEN (((longitude + 180) % 360) + 360) % 360 - 180 ELSE longitude END AS longitude) FROM fx_raw) WHERE latitude BETWEEN 50 AND 55 AND longitude BETWEEN 60 AND 80 GROUP BY ALL", "fx_raw")
 def p05_cropped_cubes(spark, d):
-    inside = _raw(spark, d).filter("latitude BETWEEN 50 AND 55 AND longitude BETWEEN 60 AND 80")
+    """Cubes without a cell in the box vanish."""
+    inside = fields.crop(_raw(spark, d), 60.0, 80.0, 50.0, 55.0)
     return inside.groupBy(*fields.CUBE).agg(F.count("*").alias("n_cells"))
 
 
+@query("SELECT source, type_of_level, count(*) AS n, count(*) FILTER (static) AS n_static FROM (SELECT *, type_of_level = 'surface' AND step_type = 'instant' AS static FROM fx_raw) GROUP BY ALL", "fx_raw")
+def p06_static_fields(spark, d):
+    """Static fields come without a step."""
+    raw = _raw(spark, d)
+    static = (F.col("type_of_level") == "surface") & (F.col("step_type") == "instant")
+    both = fields.with_step(raw.filter(static).drop("step_hours")).unionByName(fields.with_step(raw.filter(~static)))
+    return both.groupBy("source", "type_of_level").agg(F.count("*").alias("n"), F.count_if(F.col("step_hours").isNull()).alias("n_static"))
+
+
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, init_date, cycle, step_hours, variable, pressure_level, latitude, longitude, value FROM named", "fx_raw")
+def p16_drop_level_columns(spark, d):
+    return naming.drop_level_columns(_named(spark, d), ("file_step_hours", "msg_no"))
+
+
 @query("SELECT msg_no, CAST(init_date AS TIMESTAMP) + to_hours(cycle + step_hours) AS valid_time FROM fx_raw", "fx_raw")
 def p07_valid_time(spark, d):
     return fields.with_valid_time(_raw(spark, d)).select("msg_no", "valid_time")
@@ -184,17 +207,18 @@ def p11_level_slice(spark, d):
     return found.select(*fields.INIT, "step_hours", "latitude", "longitude", "value")
 
 
-@query("SELECT source, init_date, cycle, n_files FROM fx_manifests WHERE init_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND cycle IN (0, 12) AND source = 'ifs-hres'", "fx_manifests")
+@query("SELECT source, init_date, cycle, n_files FROM fx_manifests WHERE init_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND cycle IN (0, 12) AND source = 'ifs-hres' AND completed_at IS NOT NULL", "fx_manifests")
 def p12_select_inits(spark, d):
     day = lambda x: F.lit(x).cast("date")
     return readiness.select_inits(view(spark, d, "fx_manifests"), day("2024-01-05"), day("2024-01-25"), [0, 12], "ifs-hres").select(*readiness.INIT, "n_files")
 
 
 def _manifests(spark, d):
-    return view(spark, d, "fx_manifests").withColumn("contract_status", F.when(F.col("n_files") % 3 == 0, "unavailable"))
+    made = view(spark, d, "fx_manifests").withColumn("contract_status", F.when(F.col("n_files") % 3 == 0, "unavailable"))
+    return made.withColumn("n_files", F.when(F.col("n_files") % 2 == 0, 0).otherwise(F.col("n_files")))
 
 
-@query("SELECT source, init_date, cycle, CASE WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready' ELSE 'ready' END AS status FROM fx_manifests", "fx_manifests")
+@query("SELECT source, init_date, cycle, CASE WHEN n_files % 6 = 0 THEN 'unavailable' WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready' ELSE 'ready' END AS status FROM fx_manifests", "fx_manifests")
 def p13_readiness(spark, d):
     return readiness.readiness(_manifests(spark, d)).select(*readiness.INIT, "status")
 
@@ -209,7 +233,7 @@ def p14_probability_gate(spark, d):
 
 @query("SELECT cube, count(*) AS n FROM fx_cams WHERE data_type = 'fc' GROUP BY cube", "fx_cams")
 def p15_forecast_only(spark, d):
-    return view(spark, d, "fx_cams").filter("data_type = 'fc'").groupBy("cube").agg(F.count("*").alias("n"))
+    return probability.forecast_only(view(spark, d, "fx_cams")).groupBy("cube").agg(F.count("*").alias("n"))
 
 
 # --- naming ------------------------------------------------------------------
@@ -262,12 +286,12 @@ def n13_event_columns(spark, d):
 # --- joins -------------------------------------------------------------------
 
 
-@query(_on_product("SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, value, n_values, valid_time FROM product"), "fx_raw")
+@query(_on_product("SELECT source, init_date, cycle, variable, pressure_level, extra_level, step_hours, latitude, longitude, value, n_values, valid_time FROM product"), "fx_raw")
 def j01_product(spark, d):
-    return _product(spark, d).drop("extra_level")  # the fixture has none
+    return _product(spark, d)
 
 
-@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, count(DISTINCT value) AS n_values FROM named GROUP BY ALL HAVING count(DISTINCT value) > 1", "fx_raw")
+@query("WITH " + _NAMED_SQL.replace("RAW", "fx_raw") + " SELECT source, init_date, cycle, variable, pressure_level, step_hours, latitude, longitude, least(count(DISTINCT value), 2) AS n_values FROM named GROUP BY ALL HAVING count(DISTINCT value) > 1", "fx_raw")
 def j01_conflicts(spark, d):
     return fields.merge(_named(spark, d)).filter("n_values > 1").drop("value")
 
@@ -297,7 +321,7 @@ def j04_regrid(spark, d):
     return fields.regrid(values, remap)
 
 
-_PENDING_SQL = """pending AS (SELECT m.source, m.init_date, m.cycle, n_failures, CASE WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready'
+_PENDING_SQL = """pending AS (SELECT m.source, m.init_date, m.cycle, n_failures, CASE WHEN m.n_files % 6 = 0 THEN 'unavailable' WHEN completed_at IS NULL OR n_failures > 0 THEN 'not_ready'
   WHEN complete IS NULL OR complete = 0 OR marker_time < m.manifest_time THEN 'process' ELSE 'skip' END AS action
   FROM fx_manifests m LEFT JOIN fx_outputs USING (source, init_date, cycle))"""
 
@@ -306,6 +330,12 @@ def _pending(spark, d):
     return readiness.pending(_manifests(spark, d), view(spark, d, "fx_outputs"))
 
 
+def _attempted(spark, d):
+    """What came of it: the builds of one source's 06z runs failed."""
+    failed = (F.col("action") == "process") & (F.col("source") == "gfs-0p25") & (F.col("cycle") == 6)
+    return _pending(spark, d).withColumn("action", F.when(failed, "failed").otherwise(F.col("action")))
+
+
 @query("WITH " + _PENDING_SQL + " SELECT source, init_date, cycle, action FROM pending", "fx_manifests", "fx_outputs")
 def j05_pending(spark, d):
     return _pending(spark, d).select(*readiness.INIT, "action")
@@ -340,11 +370,11 @@ def j09_unlisted(spark, d):
     return readiness.unlisted(listing, docs.filter("doc_id % 7 <> 0").select(path.alias("path")))
 
 
-@query("SELECT s.source, m.init_date, c.cycle FROM (SELECT DISTINCT source FROM fx_manifests) s, (SELECT DISTINCT init_date FROM fx_manifests) m, (SELECT unnest([0, 6, 12, 18]) AS cycle) c WHERE NOT EXISTS (SELECT 1 FROM fx_manifests x WHERE x.source = s.source AND x.init_date = m.init_date AND x.cycle = c.cycle)", "fx_manifests")
+@query("SELECT s.source, m.init_date, c.cycle FROM (SELECT DISTINCT source FROM fx_manifests) s, (SELECT DISTINCT init_date FROM fx_manifests) m, (SELECT unnest([0, 6, 12, 18]) AS cycle) c WHERE NOT EXISTS (SELECT 1 FROM fx_manifests x WHERE x.n_files % 7 <> 0 AND x.source = s.source AND x.init_date = m.init_date AND x.cycle = c.cycle)", "fx_manifests")
 def j10_missing_cycles(spark, d):
     have = view(spark, d, "fx_manifests")
     planned = have.select("source").distinct().crossJoin(have.select("init_date").distinct()).select("source", "init_date", F.explode(F.array(*map(F.lit, (0, 6, 12, 18)))).alias("cycle"))
-    return readiness.missing_cycles(planned, have)
+    return readiness.missing_cycles(planned, have.filter("n_files % 7 <> 0"))
 
 
 def _inventories(spark, d):
@@ -385,10 +415,10 @@ def a03_product_summary(spark, d):
     return fields.product_summary(_product(spark, d))
 
 
-_MEMBERS_SQL = """, defined AS (SELECT DISTINCT source, init_date, variable || CASE WHEN pressure_level IS NULL THEN '' ELSE '_' || CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS name, variable AS base, CASE WHEN pressure_level IS NOT NULL THEN CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS level FROM product WHERE value IS NOT NULL),
-members AS (SELECT source, init_date, name FROM defined UNION SELECT source, init_date, base FROM defined),
-covered AS (SELECT source, name, min(init_date) AS first_init, max(init_date) AS last_init, count(DISTINCT init_date) AS n_inits FROM members GROUP BY ALL),
-state AS (SELECT source, count(DISTINCT init_date) AS total, min(init_date) AS first_init, max(init_date) AS last_init FROM members GROUP BY ALL) """
+_MEMBERS_SQL = """, defined AS (SELECT DISTINCT source, CAST(init_date AS TIMESTAMP) + to_hours(cycle) AS init, variable || CASE WHEN pressure_level IS NULL THEN '' ELSE '_' || CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS name, variable AS base, CASE WHEN pressure_level IS NOT NULL THEN CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS level FROM product WHERE value IS NOT NULL),
+members AS (SELECT source, init, name FROM defined UNION SELECT source, init, base FROM defined),
+covered AS (SELECT source, name, min(init) AS first_init, max(init) AS last_init, count(DISTINCT init) AS n_inits FROM members GROUP BY ALL),
+state AS (SELECT source, count(DISTINCT init) AS total, min(init) AS first_init, max(init) AS last_init FROM members GROUP BY ALL) """
 
 
 def _members(spark, d):
@@ -420,21 +450,21 @@ def a07_range_violations(spark, d):
 
 def _tiled_sql(tail: str) -> str:
     return _on_product(""", tiled AS (SELECT * FROM product
-    JOIN (SELECT source, init_date, cycle, latitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 3 AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) USING (source, init_date, cycle, latitude)
-    JOIN (SELECT source, init_date, cycle, longitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 4 AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM product)) USING (source, init_date, cycle, longitude)),
-    expected AS (SELECT source, init_date, cycle, (max(tile_latitude) + 1) * (max(tile_longitude) + 1) AS n_expected FROM tiled GROUP BY ALL),
+    JOIN (SELECT source, init_date, cycle, latitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 3 AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM cropped)) USING (source, init_date, cycle, latitude)
+    JOIN (SELECT source, init_date, cycle, longitude, (row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 4 AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM cropped)) USING (source, init_date, cycle, longitude)),
+    expected AS (SELECT DISTINCT source, init_date, cycle, 21 AS n_expected FROM tiled),
     written AS (SELECT source, init_date, cycle, variable, count(DISTINCT (tile_latitude, tile_longitude)) FILTER (value IS NOT NULL) AS n_written FROM tiled GROUP BY ALL)
     SELECT source, init_date, cycle, variable, n_written, n_expected FROM written JOIN expected USING (source, init_date, cycle) WHERE n_written < n_expected """ + tail)
 
 
 @query(_tiled_sql("AND n_written > 0"), "fx_raw")
 def a08_tiles_lenient(spark, d):
-    return tiles.completeness(tiles.to_tiles(_product(spark, d), 3, 4)).select(*tiles.INIT, "variable", "n_written", "n_expected")
+    return tiles.completeness(_tiled(spark, d, 3, 4), declared=tiles.declared_tiles(9, 25, 3, 4)).select(*tiles.INIT, "variable", "n_written", "n_expected")
 
 
 @query(_tiled_sql(""), "fx_raw")
 def a09_tiles_strict(spark, d):
-    return tiles.completeness(tiles.to_tiles(_product(spark, d), 3, 4), strict=True).select(*tiles.INIT, "variable", "n_written", "n_expected")
+    return tiles.completeness(_tiled(spark, d, 3, 4), strict=True, declared=tiles.declared_tiles(9, 25, 3, 4)).select(*tiles.INIT, "variable", "n_written", "n_expected")
 
 
 @query("SELECT source, init_date, count(*) AS n_cycles FROM fx_outputs GROUP BY ALL HAVING bool_and(complete = 1) AND init_date < DATE '2024-02-20' - 30", "fx_manifests", "fx_outputs")
@@ -443,14 +473,14 @@ def a10_archive_candidates(spark, d):
     return readiness.archive_candidates(parts, F.lit("2024-02-20").cast("date"))
 
 
-@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS processed, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'not_ready') AS not_ready, 0 AS failed, 0 AS alert FROM pending GROUP BY source", "fx_manifests", "fx_outputs")
+@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS processed, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action IN ('not_ready', 'unavailable')) AS not_ready, count(*) FILTER (action = 'failed') AS failed, CASE WHEN count(*) FILTER (action = 'failed') > 0 THEN 1 ELSE 0 END AS alert FROM (SELECT * REPLACE (CASE WHEN action = 'process' AND source = 'gfs-0p25' AND cycle = 6 THEN 'failed' ELSE action END AS action) FROM pending) GROUP BY source", "fx_manifests", "fx_outputs")
 def a11_scan_summary(spark, d):
-    return readiness.scan_summary(_pending(spark, d))
+    return readiness.scan_summary(_attempted(spark, d))
 
 
-@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS ok, count(*) FILTER (action = 'skip') AS skipped, 0 AS failed, count(*) FILTER (n_failures > 0) AS with_failures FROM pending GROUP BY source", "fx_manifests", "fx_outputs")
+@query("WITH " + _PENDING_SQL + " SELECT source, count(*) FILTER (action = 'process') AS ok, count(*) FILTER (action = 'skip') AS skipped, count(*) FILTER (action = 'failed') AS failed, count(*) FILTER (n_failures > 0) AS with_failures FROM (SELECT * REPLACE (CASE WHEN action = 'process' AND source = 'gfs-0p25' AND cycle = 6 THEN 'failed' ELSE action END AS action) FROM pending) GROUP BY source", "fx_manifests", "fx_outputs")
 def a12_batch_summary(spark, d):
-    return readiness.batch_summary(_pending(spark, d))
+    return readiness.batch_summary(_attempted(spark, d))
 
 
 _CATALOG_SQL = "catalog AS (SELECT v AS variable, CAST(s AS INT) AS step_hours FROM (SELECT unnest(['tpg20', 'tpg50', 'tpg100', '10fgg15', '10fgg25']) AS v), range(24, 361, 12) r(s))"
@@ -469,16 +499,16 @@ def a13_receipt(spark, d):
 
 
 @query(
-    f"SELECT {_CUBE}, step_hours, latitude, longitude, msg_no, value FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC) AS nth FROM (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM fx_raw) WHERE slab = 1) WHERE nth = 1",
+    f"SELECT {_CUBE}, step_hours, latitude, longitude, msg_no, value FROM (SELECT *, row_number() OVER (PARTITION BY {_CUBE}, step_hours, latitude, longitude ORDER BY msg_no DESC, value DESC NULLS LAST) AS nth FROM (SELECT *, dense_rank() OVER (PARTITION BY {_CUBE}, step_hours ORDER BY file_step_hours DESC) AS slab FROM fx_raw) WHERE slab = 1) WHERE nth = 1",
     "fx_raw",
 )
 def w01_authoritative(spark, d):
     return fields.authoritative(_raw(spark, d))
 
 
-@query(_on_product("SELECT * FROM (SELECT source, init_date, cycle, variable, step_hours, lag(step_hours) OVER (PARTITION BY source, init_date, cycle, variable ORDER BY step_hours) AS previous_step FROM (SELECT DISTINCT source, init_date, cycle, variable, step_hours FROM product)) WHERE step_hours - previous_step <> 3"), "fx_raw")
+@query(_on_product("SELECT * FROM (SELECT source, init_date, cycle, variable, step_hours, lag(step_hours) OVER (PARTITION BY source, init_date, cycle, variable ORDER BY step_hours) AS previous_step FROM (SELECT DISTINCT source, init_date, cycle, variable, step_hours FROM product WHERE step_hours <> 9)) WHERE step_hours - previous_step <> 3"), "fx_raw")
 def w02_step_gaps(spark, d):
-    return fields.step_gaps(_product(spark, d), 3)
+    return fields.step_gaps(_product(spark, d).filter("step_hours <> 9"), 3)
 
 
 @query(_on_product("SELECT source, init_date, cycle, count(*) AS n_points, min(gap) AS least_gap, max(gap) AS greatest_gap, CASE WHEN count(*) >= 2 AND abs(min(gap) - 5) <= 0.00001 AND abs(max(gap) - 5) <= 0.00001 THEN 1 ELSE 0 END AS regular FROM (SELECT source, init_date, cycle, latitude - lag(latitude) OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) AS gap FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM product)) GROUP BY ALL"), "fx_raw")
@@ -486,13 +516,13 @@ def w03_axis_check(spark, d):
     return fields.axis_check(_product(spark, d), "latitude", 5.0)
 
 
-@query(_on_product(_MEMBERS_SQL + "SELECT source, name, init_date FROM members m WHERE init_date = (SELECT max(init_date) FROM members x WHERE x.source = m.source) AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.source = m.source AND c.name = m.name AND c.n_inits > 5)"), "fx_raw")
+@query(_on_product(_MEMBERS_SQL + "SELECT source, name, init FROM members m WHERE init = (SELECT max(init) FROM members x WHERE x.source = m.source) AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.source = m.source AND c.name = m.name AND c.name NOT LIKE 't%')"), "fx_raw")
 def w04_latest_definitions(spark, d):
     members = _members(spark, d)
-    return catalog.latest_definitions(members, catalog.coverage(members).filter("n_inits > 5")).select("source", "name", "init_date")
+    return catalog.latest_definitions(members, catalog.coverage(members).filter("name NOT LIKE 't%'")).select("source", "name", "init")
 
 
-@query("SELECT source, init_date, nth FROM (SELECT source, init_date, row_number() OVER (PARTITION BY source ORDER BY init_date DESC) AS nth FROM (SELECT DISTINCT source, init_date FROM fx_raw)) WHERE nth <= 3", "fx_raw")
+@query("SELECT source, init, nth FROM (SELECT source, init, row_number() OVER (PARTITION BY source ORDER BY init DESC) AS nth FROM (SELECT DISTINCT source, CAST(init_date AS TIMESTAMP) + to_hours(cycle) AS init FROM fx_raw)) WHERE nth <= 3", "fx_raw")
 def o02_latest_inits(spark, d):
     return catalog.latest_inits(_raw(spark, d), 3)
 
@@ -502,7 +532,7 @@ def o03_coordinate_union(spark, d):
     return fields.coordinate_union(_raw(spark, d), "longitude")
 
 
-@query(_on_product(_MEMBERS_SQL + "SELECT source, init_date, name FROM members"), "fx_raw")
+@query(_on_product(_MEMBERS_SQL + "SELECT source, init, name FROM members"), "fx_raw")
 def o05_membership(spark, d):
     return _members(spark, d)
 
@@ -516,6 +546,45 @@ def e02_event_windows(spark, d):
     return probability.event_columns(kept).groupBy("variable", "step_type", "window_hours").agg(F.count("*").alias("n"), F.min("step_hours").alias("first_step"), F.max("step_hours").alias("last_step"))
 
 
+@query("WITH " + _EVENT_SQL + " SELECT msg_no, CAST(init_date AS TIMESTAMP) + to_hours(start_step) AS window_start, CAST(init_date AS TIMESTAMP) + to_hours(step_hours) AS window_end FROM event", "fx_events")
+def e03_window_times(spark, d):
+    return probability.event_columns(view(spark, d, "fx_events")).select("msg_no", "window_start", "window_end")
+
+
+_CONTRACTS_SQL = _CATALOG_SQL + """, promised AS (SELECT source, init_date, variable, step_hours FROM (SELECT DISTINCT source, init_date FROM fx_prob), catalog WHERE month(init_date) > 6 OR variable IN ('tpg20', 'tpg50') AND step_hours <= 240)"""
+
+
+def _contracts(spark, d):
+    """What each run promises: in the first half of a year only some rain, up to ten days."""
+    inits = view(spark, d, "fx_prob").select(*_PROB_KEYS).distinct().crossJoin(F.broadcast(_catalog(spark)))
+    wanted = inits.filter("month(init_date) > 6 OR variable IN ('tpg20', 'tpg50') AND step_hours <= 240")
+    steps = wanted.groupBy(*_PROB_KEYS, "variable").agg(F.collect_set("step_hours").alias("steps"))
+    of = F.map_from_entries(F.collect_list(F.struct("variable", "steps"))).alias("available_samples")
+    manifests = steps.groupBy(*_PROB_KEYS).agg(of).select(*_PROB_KEYS, F.struct("available_samples").alias("probability_availability"))
+    return probability.contract_samples(manifests, _PROB_KEYS)
+
+
+@query(
+    "WITH "
+    + _CONTRACTS_SQL
+    + """, have AS (SELECT DISTINCT source, init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL)
+    SELECT *, 'missing window' AS "check" FROM (SELECT * FROM promised EXCEPT SELECT * FROM have)
+    UNION ALL SELECT *, 'unexpected window' FROM (SELECT * FROM have EXCEPT SELECT * FROM promised)
+    UNION ALL SELECT source, init_date, variable, NULL, 'out of range' FROM fx_prob WHERE value < 0 OR value > 100 GROUP BY ALL
+    UNION ALL SELECT DISTINCT source, init_date, variable, step_hours, 'bounds' FROM fx_prob WHERE step_hours % 10 = 0""",
+    "fx_prob",
+)
+def e05_contracts(spark, d):
+    """Each run by its own contract, with some bounds missing."""
+    product = view(spark, d, "fx_prob").withColumn("window_hours", F.when(F.col("step_hours") % 10 != 0, F.col("window_hours")))
+    return probability.validate(product, _contracts(spark, d), _PROB_KEYS)
+
+
+@query("WITH " + _CONTRACTS_SQL + " SELECT source, init_date, variable, n_expected, coalesce(n_actual, 0) AS n_actual, CASE WHEN n_actual = n_expected THEN 1 ELSE 0 END AS complete FROM (SELECT source, init_date, variable, count(*) AS n_expected FROM promised GROUP BY ALL) LEFT JOIN (SELECT source, init_date, variable, count(DISTINCT step_hours) AS n_actual FROM fx_prob JOIN promised USING (source, init_date, variable, step_hours) WHERE value IS NOT NULL GROUP BY ALL) USING (source, init_date, variable)", "fx_prob")
+def a13_receipt_by_contract(spark, d):
+    return probability.receipt(view(spark, d, "fx_prob"), _contracts(spark, d), _PROB_KEYS)
+
+
 @query("WITH " + _EVENT_SQL + " SELECT msg_no FROM event WHERE NOT (prob_type = CASE comparison WHEN 'gt' THEN 3 ELSE 0 END AND abs(CASE WHEN starts_with(param, 'tpr') THEN lower_limit * 86400 ELSE lower_limit END - threshold) <= 0.00000001 + 0.00001 * threshold)", "fx_events")
 def e04_threshold_encoding(spark, d):
     return probability.event_columns(view(spark, d, "fx_events")).filter("encoding_ok = 0").select("msg_no")
@@ -540,7 +609,7 @@ def e05_validate(spark, d):
     + """, have AS (SELECT init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL GROUP BY ALL),
     n AS (SELECT init_date, count(*) AS k, month(init_date) AS m FROM have GROUP BY ALL)
     SELECT init_date AS contract_id, 'version or policy' AS "check" FROM n WHERE m = 2
-    UNION ALL SELECT init_date, 'missing lists' FROM n WHERE (m = 3 AND k < 145) OR (m <> 3 AND k = 145)
+    UNION ALL SELECT init_date, 'missing lists' FROM n WHERE m = 3 OR k = 145
     UNION ALL SELECT init_date, 'grid' FROM n WHERE m = 4""",
     "fx_prob",
 )
@@ -562,7 +631,7 @@ def e06_contract(spark, d):
     return probability.validate_contract(contracts, full)
 
 
-@query(_on_product(_MEMBERS_SQL + "SELECT source, init_date, name, base, level FROM defined"), "fx_raw")
+@query(_on_product(_MEMBERS_SQL + "SELECT source, init, name, base, level FROM defined"), "fx_raw")
 def c01_definitions(spark, d):
     return catalog.definitions(_product(spark, d))
 
@@ -594,12 +663,15 @@ def c06_catalog_check(spark, d):
     + """, diff AS (SELECT id_source, init, CASE WHEN a.signature IS NULL THEN 'added' WHEN b.signature IS NULL THEN 'removed' WHEN a.signature = b.signature THEN 'same' ELSE 'changed' END AS state
     FROM (SELECT * FROM inventories WHERE side = 1 AND whole = 1) a FULL JOIN (SELECT * FROM inventories WHERE side = 2 AND whole = 1) b USING (id_source, init)),
     counts AS (SELECT id_source, count(*) FILTER (state = 'added') AS added, count(*) FILTER (state IN ('added', 'changed')) AS c, count(*) FILTER (state = 'removed') AS removed, count(*) FILTER (state <> 'removed') AS total FROM diff GROUP BY ALL)
-    SELECT id_source, CASE WHEN c > 256 THEN 'rebuilt' WHEN c > 0 OR removed > 0 THEN 'repaired' ELSE 'unchanged' END AS action, added, CASE WHEN c > 256 THEN total ELSE c END AS changed, removed, total FROM counts""",
+    SELECT id_source, CASE WHEN id_source = 'graphcast' THEN 'error' WHEN c > 256 THEN 'rebuilt' WHEN c > 0 OR removed > 0 THEN 'repaired' ELSE 'unchanged' END AS action,
+      CASE WHEN id_source = 'graphcast' THEN 0 ELSE added END AS added, CASE WHEN id_source = 'graphcast' THEN 0 WHEN c > 256 THEN total ELSE c END AS changed,
+      CASE WHEN id_source = 'graphcast' THEN (SELECT count(*) FROM inventories WHERE side = 1 AND whole = 1 AND id_source = 'graphcast') ELSE removed END AS removed, CASE WHEN id_source = 'graphcast' THEN 0 ELSE total END AS total FROM counts""",
     "fx_stores",
 )
 def c07_reconcile(spark, d):
+    """One source's folder has vanished, which is an error and not a deletion."""
     before, now = _inventories(spark, d)
-    return catalog.reconcile(before.filter("signature IS NOT NULL"), now)
+    return catalog.reconcile(before.filter("signature IS NOT NULL"), now.filter("id_source <> 'graphcast'"))
 
 
 @query(_on_product(_MEMBERS_SQL + "SELECT * FROM covered WHERE source <> 'ifs-hres'"), "fx_raw")
@@ -609,11 +681,18 @@ def c08_coverage_query(spark, d):
     return catalog.coverage_query(catalog.coverage(members), state)
 
 
-@query(_on_product(_MEMBERS_SQL + "SELECT a.source, a.init_date, a.name FROM members a WHERE NOT EXISTS (SELECT 1 FROM members b WHERE b.source = 'gfs-0p25' AND b.name = a.name)"), "fx_raw")
+@query(_on_product(_MEMBERS_SQL + "SELECT a.source, a.init, a.name FROM members a WHERE NOT EXISTS (SELECT 1 FROM members b WHERE b.source = 'gfs-0p25' AND b.name = a.name)"), "fx_raw")
 def o04_catalog_difference(spark, d):
     """Names that one source's catalog has and the reference source's lacks."""
     members = _members(spark, d)
-    return members.join(members.filter("source = 'gfs-0p25'").select("name").distinct(), "name", "left_anti").select("source", "init_date", "name")
+    return catalog.difference(members, members.filter("source = 'gfs-0p25'"))
+
+
+@query(_on_product(_MEMBERS_SQL + "SELECT coalesce(a.name, b.name) AS name, CASE WHEN b.name IS NULL THEN 'first' ELSE 'second' END AS side FROM (SELECT DISTINCT name FROM members WHERE source = 'gfs-0p25') a FULL JOIN (SELECT DISTINCT name FROM members WHERE source = 'ifs-hres') b ON a.name = b.name WHERE a.name IS NULL OR b.name IS NULL"), "fx_raw")
+def o04_same_names(spark, d):
+    """Names that only one of two sources has; none if their catalogs agree."""
+    members = _members(spark, d)
+    return catalog.symmetric_difference(members.filter("source = 'gfs-0p25'"), members.filter("source = 'ifs-hres'"))
 
 
 @query("SELECT source, init_date, cycle, count(*) AS n_files FROM fx_step_files f WHERE init_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-20' AND cycle IN (0, 6, 12, 18) AND NOT EXISTS (SELECT 1 FROM fx_outputs o WHERE o.source = f.source AND o.init_date = f.init_date AND o.cycle = f.cycle) GROUP BY ALL", "fx_step_files", "fx_manifests", "fx_outputs")
@@ -629,12 +708,12 @@ def s09_build_manifests(spark, d):
 @query("SELECT path, sha256(text) AS h, octet_length(encode(text)) AS size_bytes FROM (SELECT 'f' || doc_id AS path, text FROM documents)")
 def s10_hashes(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    return docs.select(F.concat(F.lit("f"), "doc_id").alias("path"), F.sha2("text", 256).alias("h"), F.octet_length("text").cast("long").alias("size_bytes"))
+    return docs.select(F.concat(F.lit("f"), "doc_id").alias("path"), scalars.content_hash(F.col("text")).alias("h"), F.octet_length("text").cast("long").alias("size_bytes"))
 
 
 @query(_on_product("SELECT source, init_date, cycle, variable, count(DISTINCT step_hours) AS n_steps, min(step_hours) AS first_step, max(step_hours) AS last_step FROM product GROUP BY ALL"), "fx_raw")
 def a02_steps(spark, d):
-    return _product(spark, d).groupBy(*fields.INIT, "variable").agg(F.count_distinct("step_hours").alias("n_steps"), F.min("step_hours").alias("first_step"), F.max("step_hours").alias("last_step"))
+    return fields.steps(_product(spark, d))
 
 
 @query(

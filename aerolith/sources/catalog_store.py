@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CATALOG = "init_date date, signature string, definitions array<struct<name:string,base:string,level:string>>, ready int, source string"
+CATALOG = "init timestamp_ntz, signature string, definitions array<struct<name:string,base:string,level:string>>, ready int, source string"
 
 
 def read_catalog(spark: SparkSession, root: str) -> DataFrame:
@@ -20,9 +20,9 @@ def read_catalog(spark: SparkSession, root: str) -> DataFrame:
 
 
 def products_of(defined: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Catalog rows from definitions (source, init_date, name, base, level) and (source, init_date, signature); inits without signature are not whole and drop out."""
-    grouped = defined.groupBy("source", "init_date").agg(F.sort_array(F.collect_set(F.struct("name", "base", "level"))).alias("definitions"))  # an init's variables
-    return grouped.join(signatures.filter(F.col("signature").isNotNull()), ["source", "init_date"]).select("init_date", "signature", "definitions", F.lit(0).alias("ready"), "source")
+    """Catalog rows from definitions (source, init, name, base, level) and (source, init, signature); inits without signature are not whole and drop out."""
+    grouped = defined.groupBy("source", "init").agg(F.sort_array(F.collect_set(F.struct("name", "base", "level"))).alias("definitions"))  # an init's variables
+    return grouped.join(signatures.filter(F.col("signature").isNotNull()), ["source", "init"]).select("init", "signature", "definitions", F.lit(0).alias("ready"), "source")
 
 
 def _write(rows: DataFrame, root: str) -> None:
@@ -36,19 +36,19 @@ def upsert(spark: SparkSession, root: str, rows: DataFrame, source: str) -> bool
     """
     old = read_catalog(spark, root).filter(F.col("source") == source)
     new = rows.filter(F.col("source") == source)
-    changed = new.join(old.select("init_date", F.col("signature").alias("known")), "init_date", "left").filter(~F.col("signature").eqNullSafe(F.col("known")))
+    changed = new.join(old.select("init", F.col("signature").alias("known")), "init", "left").filter(~F.col("signature").eqNullSafe(F.col("known")))
     if changed.isEmpty():
         return False
     ready = old.agg(F.max("ready")).first()[0] or 0
-    kept = old.join(new.select("init_date"), "init_date", "left_anti")
+    kept = old.join(new.select("init"), "init", "left_anti")
     _write(kept.select(*rows.columns).unionByName(new.select(*rows.columns)).withColumn("ready", F.lit(ready)), root)
     return True
 
 
 def remove(spark: SparkSession, root: str, source: str, inits: DataFrame) -> None:
-    """Withdraw inits (init_date) of a source. A partition left without rows is deleted, as dynamic mode keeps it."""
+    """Withdraw inits (init) of a source. A partition left without rows is deleted, as dynamic mode keeps it."""
     old = read_catalog(spark, root).filter(F.col("source") == source)
-    kept = old.join(inits.select("init_date"), "init_date", "left_anti")
+    kept = old.join(inits.select("init"), "init", "left_anti")
     if kept.isEmpty():
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/source={source}")
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
@@ -57,13 +57,13 @@ def remove(spark: SparkSession, root: str, source: str, inits: DataFrame) -> Non
 
 
 def rebuild(spark: SparkSession, root: str, rows: DataFrame) -> None:
-    """Replace the partitions of all sources that ``rows`` hold, and set them ready."""
-    _write(rows.withColumn("ready", F.lit(1)), root)
+    """Replace the whole catalog by ``rows``, which come from the products, and set it ready; sources that vanished go."""
+    rows.withColumn("ready", F.lit(1)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("source").parquet(root)
 
 
 def stored_state(catalog: DataFrame) -> DataFrame:
-    return catalog.groupBy("source").agg(F.count("*").alias("total"), F.min("init_date").alias("first_init"), F.max("init_date").alias("last_init"), F.min("ready").alias("ready"))
+    return catalog.groupBy("source").agg(F.count("*").alias("total"), F.min("init").alias("first_init"), F.max("init").alias("last_init"), F.min("ready").alias("ready"))
 
 
 def stored_members(catalog: DataFrame) -> DataFrame:
-    return catalog.select("source", "init_date", F.explode("definitions").alias("d")).select("source", "init_date", F.explode(F.array_distinct(F.array("d.name", "d.base"))).alias("name")).distinct()
+    return catalog.select("source", "init", F.explode("definitions").alias("d")).select("source", "init", F.explode(F.array_distinct(F.array("d.name", "d.base"))).alias("name")).distinct()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import init_time
+
 MANIFEST = """
 schema_version int, source struct<name:string>, init_time string, date string, cycle int, completed_at string,
 variables array<map<string,string>>, failures array<map<string,string>>,
@@ -55,5 +57,7 @@ def build_manifests(listing: DataFrame, existing: DataFrame, first: Column, last
     wanted = listing.join(F.broadcast(calendar), ["init_date", "cycle"], "left_semi").join(existing.select(*keys), keys, "left_anti")
     file = F.struct("step_hours", "path", "size_bytes", "sha256", F.lit(0).alias("records_selected"))
     grouped = wanted.groupBy(*keys).agg(F.sort_array(F.collect_list(file)).alias("files"))  # the step files of one run
-    body = F.struct(F.lit(1).alias("schema_version"), F.struct(F.col("source").alias("name")).alias("source"), F.date_format("init_date", "yyyyMMdd").alias("date"), F.col("cycle"), F.date_format("init_date", "yyyy-MM-dd'T00:00:00Z'").alias("completed_at"), F.col("files"))
+    at = F.date_format(init_time(F.col("init_date"), F.col("cycle")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    none = F.array().cast("array<map<string,string>>")
+    body = F.struct(F.lit(1).alias("schema_version"), F.struct(F.col("source").alias("name")).alias("source"), at.alias("init_time"), F.date_format("init_date", "yyyyMMdd").alias("date"), F.col("cycle"), at.alias("completed_at"), none.alias("variables"), none.alias("failures"), F.col("files"))
     return grouped.select(*keys, F.to_json(body).alias("manifest"))

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import content_hash, missing_as_null
+
 PRODUCT = """
 source string, init_date date, cycle int, variable string, pressure_level double, step_hours int,
 valid_time timestamp_ntz, latitude double, longitude double, value double
@@ -19,16 +21,21 @@ ONE_READ = 1 << 30
 
 
 def load_fields(spark: SparkSession, path: str, decoder: Callable[[str, bytes], pd.DataFrame] | None = None, schema: str | None = None) -> DataFrame:
-    """Decoded records: Parquet, or files of any format that ``decoder(path, content)`` turns into rows of ``schema``, a task a file split."""
+    """Decoded records: Parquet, or files of any format that ``decoder(path, content)`` turns into rows of ``schema``, a task a file split. Numbers that are NaN become null."""
     if decoder is None:
-        return spark.read.parquet(path)
+        return without_nan(spark.read.parquet(path))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
                 yield decoder(name, content)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
+    return without_nan(spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema))
+
+
+def without_nan(records: DataFrame) -> DataFrame:
+    """records with null for NaN, which decoders use for what is missing."""
+    return records.withColumns({c: missing_as_null(F.col(c)) for c, kind in records.dtypes if kind in ("double", "float")})
 
 
 def write_product(product: DataFrame, root: str, codec: str = "zstd", level: int = 3) -> None:
@@ -58,7 +65,7 @@ def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 def file_hashes(spark: SparkSession, root: str, one_read: int = ONE_READ) -> DataFrame:
     """(path, size_bytes, h): the SHA-256 of every file below root."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    small = files.filter(F.col("length") <= one_read).select(_below(root), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("h"))
+    small = files.filter(F.col("length") <= one_read).select(_below(root), F.col("length").alias("size_bytes"), content_hash(F.col("content")).alias("h"))
     large = files.filter(F.col("length") > one_read).select(F.col("path").alias("full"), _below(root), F.col("length").alias("size_bytes"))
 
     def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.readiness import INIT, pending
-from ..sources.manifests import MANIFEST, read_manifests
+from ..plans.history import publish
+from ..sources.manifests import MANIFEST, read_manifests, shaped
 
 
 def watch(spark: SparkSession, root: str, checkpoint: str, handle: Callable[[DataFrame], None], source: str | None = None, interval: str = "30 seconds", once: bool = False, seed: bool = False) -> StreamingQuery:
-    """Hand each new manifest to ``handle``, as tables of those that came together, each exactly once a checkpoint.
+    """Hand each new manifest to ``handle``, as a table of its own, exactly once a checkpoint.
 
     The checkpoint keeps what was seen, also while nothing ran. ``seed`` only
     records what is there now. A run that ``handle`` fails on is kept in
-    ``<checkpoint>-failed`` and does not stop the stream.
+    ``<checkpoint>-failed``, stops neither the runs that came with it nor the
+    stream, and is found again by ``scan_once`` as long as it has no output.
     """
     stream = spark.readStream.schema(MANIFEST).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.manifest.json").json(f"{root}/{source}" if source else root)
 
@@ -25,15 +27,32 @@ def watch(spark: SparkSession, root: str, checkpoint: str, handle: Callable[[Dat
         if seed:
             return
         arrived = rows.filter(F.col("schema_version").eqNullSafe(F.lit(1)))
-        try:
-            handle(arrived)
-        except Exception as error:  # one failing run must not end the watch; it is recorded
-            arrived.select("source.name", "date", "cycle", F.lit(str(error)[:1000]).alias("error")).write.mode("append").json(f"{checkpoint}-failed")
+        for run in arrived.select("_metadata.file_path").distinct().collect():  # the manifests of one trigger
+            one = arrived.filter(F.col("_metadata.file_path") == run["file_path"])
+            try:
+                handle(one)
+            except Exception as error:  # recorded; the other runs and the watch go on
+                one.select("source.name", "date", "cycle", F.lit(str(error)[:1000]).alias("error")).write.mode("append").json(f"{checkpoint}-failed")
 
     writer = stream.select("*", "_metadata").writeStream.foreachBatch(batch)
     return writer.option("checkpointLocation", checkpoint).trigger(**({"availableNow": True} if once or seed else {"processingTime": interval})).start()
 
 
+def catalog_upkeep(spark: SparkSession, build: Callable[[DataFrame], DataFrame], signatures: Callable[[DataFrame], DataFrame], root: str, catalog: str) -> Callable[[DataFrame], None]:
+    """A handler for ``watch``: builds the product of what arrived, writes it and brings the catalog up to date.
+
+    ``signatures`` gives (source, init, signature) of runs (INIT). The catalog
+    compares signatures, so a run that comes twice changes nothing.
+    """
+
+    def handle(rows: DataFrame) -> None:
+        manifests = shaped(rows)
+        due = manifests.select(*INIT)
+        publish(spark, build(manifests), due, root, catalog, signatures(due))
+
+    return handle
+
+
 def scan_once(spark: SparkSession, root: str, outputs: DataFrame, source: str | None = None, force: bool = False) -> DataFrame:
     """What every announced run needs now. A batch join, as a manifest rewritten in place must count again, which a file stream does not see."""
     manifests, _ = read_manifests(spark, root, source)

@@ -181,3 +181,43 @@ def test_cams(spark):
     faults = [(2, 169, "fc", "J m**-2", "instant", 0, 1.0), (3, 169, "fc", "W m**-2", "instant", 0, 0.0), (4, 228, "an", "m", "accum", 0, 0.0), (5, 228028, "fc", "m s-1", "avg", 0, 0.0)]
     found = {(r["cube"], r["check"]) for r in probability.cams_violations(spark.createDataFrame(good + faults, schema), ["cube"]).collect()}
     assert found == {(2, "not zero at step 0"), (3, "units"), (4, "not a forecast"), (5, "step type")}
+
+
+def test_nearest_cell_of_far_and_of_no_cells(spark):
+    cells = spark.createDataFrame([(1, 10.0, 10.0), (2, 40.0, 40.0)], "cell_id long, clat double, clon double")
+    targets = spark.createDataFrame([(10.0, 12.0), (30.0, 30.0), (40.0, 39.0), (24.0, 10.0)], "tlat double, tlon double")
+    for bucket in (0.01, 1.0, 50.0):
+        found = {(r["tlat"], r["tlon"]): r["cell_id"] for r in fields.nearest_cell(cells, targets, bucket, margin=5.0).collect()}
+        assert found == {(10.0, 12.0): 1, (30.0, 30.0): 2, (40.0, 39.0): 2, (24.0, 10.0): 1}
+    none = fields.nearest_cell(cells.filter("cell_id = 9"), targets).collect()
+    assert len(none) == 4 and {r["cell_id"] for r in none} == {None}
+    with pytest.raises(Exception, match="no cell near"):
+        fields.nearest_cell(cells.filter("cell_id = 9"), targets, strict=True).collect()
+
+
+def test_hooks_of_a_source(spark):
+    """A source on an unstructured grid comes to latitude and longitude, is cropped in its own way, and is checked."""
+    from datetime import date
+
+    from aerolith.plans.pipeline import build_product
+
+    cells = spark.createDataFrame([(1, 10.0, 20.0), (2, 50.0, 20.0)], "cell_id long, clat double, clon double")
+    remap = fields.nearest_cell(cells, spark.createDataFrame([(10.0, 20.0), (11.0, 20.0), (50.0, 20.0)], "tlat double, tlon double"))
+    rows = [("dwd-icon", date(2026, 5, 1), 0, "meanSea", 0.0, "instant", "prmsl", 0, 0, k, k, float(v)) for k, v in ((1, 5.0), (2, float("nan")))]
+    raw = spark.createDataFrame(rows, "source string, init_date date, cycle int, type_of_level string, level double, step_type string, short_name string, step_hours int, file_step_hours int, msg_no long, cell_id long, value double")
+    seen = []
+
+    def check(product):
+        seen.append(product.count())
+        return product.withColumn("checked", F.lit(True))
+
+    hooks = {"regrid": lambda r: fields.regrid(r, remap), "check": check}
+    found = build_product(raw, -180.0, 180.0, 0.0, 60.0, **hooks)
+    assert sorted((r["latitude"], r["value"]) for r in found.collect() if r["checked"]) == [(10.0, 5.0), (11.0, 5.0), (50.0, None)] and seen == [3]
+    small = build_product(raw, 0.0, 1.0, 0.0, 1.0, crop=lambda r: r.filter("latitude < 11"), **hooks)
+    assert [r["latitude"] for r in small.collect()] == [10.0]
+    headers = fields.slabs(hooks["regrid"](raw))
+    assert build_product(raw, -180.0, 180.0, 0.0, 60.0, headers=headers, **hooks).count() == 3
+    static = fields.with_step(raw.drop("step_hours"))
+    assert static.filter("step_hours IS NULL").count() == 2 and fields.with_step(raw) is raw
+    assert set(naming.drop_level_columns(naming.apply_rules(raw, naming.rules(spark))).columns) == {"source", "init_date", "cycle", "step_hours", "file_step_hours", "msg_no", "cell_id", "value", "variable", "pressure_level"}
