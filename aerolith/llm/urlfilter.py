@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .storage import table
 
-#: What stands before the last @ of the authority is a user, not the host.
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)"
+#: What stands before the last @ of the authority is a user, not the host; an address in brackets is a host whole.
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)"
 
 
@@ -56,6 +56,7 @@ def as_of(captures: DataFrame, entries: DataFrame) -> DataFrame:
     so that a host with many captures is split where it is skewed, and each
     capture meets at most one interval of a rule.
     """
+    captures = captures.select("page_id", "url", "fetched_on")
     pairs = captures.filter("url IS NOT NULL AND fetched_on IS NOT NULL").select("url", "fetched_on").distinct()
     named = pairs.withColumn("host", host_of(F.col("url"))).filter("host IS NOT NULL")
     path = F.coalesce(F.nullif(F.regexp_extract("url", PATH, 1), F.lit("")), F.lit(""))
@@ -94,15 +95,15 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH captures AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 730 AS INTEGER) AS fetched_on,
-         lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)', 1), '')) AS host,
+         lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)', 1), '')) AS host,
          list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)', 1), '/'), lambda s: s <> '') AS steps
   FROM pages),
 rules AS (
   SELECT page_id, url, fetched_on, 'domain' AS kind, i AS rank, array_to_string(list_slice(string_split(host, '.'), -i, -1), '.') AS value
-  FROM captures, range(1, 9) r(i) WHERE host IS NOT NULL AND i <= len(string_split(host, '.'))
-  UNION ALL SELECT page_id, url, fetched_on, 'host', 100, host FROM captures WHERE host IS NOT NULL
-  UNION ALL SELECT page_id, url, fetched_on, 'prefix', 200 + i, host || '/' || array_to_string(list_slice(steps, 1, i), '/')
-  FROM captures, range(1, 4) r(i) WHERE host IS NOT NULL AND i <= len(steps)),
+  FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host IS NOT NULL)
+  UNION ALL SELECT page_id, url, fetched_on, 'host', 100000, host FROM captures WHERE host IS NOT NULL
+  UNION ALL SELECT page_id, url, fetched_on, 'prefix', 200000 + i, host || '/' || array_to_string(list_slice(steps, 1, i), '/')
+  FROM (SELECT *, unnest(range(1, len(steps) + 1)) AS i FROM captures WHERE host IS NOT NULL)),
 drawn AS (
   SELECT kind, value, v, DATE '2024-01-01' + CAST((v // 7) % 600 AS INTEGER) AS first
   FROM (SELECT kind, value, CAST('0x' || substr(md5(kind || ' ' || value), 1, 6) AS INTEGER) AS v FROM (SELECT DISTINCT kind, value FROM rules)) WHERE v % 7 = 0),

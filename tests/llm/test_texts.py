@@ -356,6 +356,13 @@ def test_as_of_against_brute_force(spark):
         assert (r["kind"], r["rule"]) == (hits[-1] if hits else (None, None))
 
 
+def test_urls_of_addresses_and_clashing_columns(spark):
+    day = datetime.date(2024, 1, 5)
+    frame = spark.createDataFrame([(1, "http://[::1]:80/a", day, "x", "y", 7), (2, "http://u@[fe80::1]/", day, "x", "y", 8)], "page_id long, url string, fetched_on date, kind string, rule string, n_active int")
+    entries = spark.createDataFrame([("host", "[::1]", day, "add")], "kind string, value string, at date, action string")
+    assert [(r["host"], r["blocked"], r["kind"]) for r in urlfilter.as_of(frame, entries).orderBy("page_id").collect()] == [("[::1]", True, "host"), ("[fe80::1]", False, None)]
+
+
 def test_urls_meet_rules_of_any_depth_and_behind_users(spark):
     day = datetime.date(2024, 1, 5)
     deep = ".".join("abcdefghijkl") + ".example"
