@@ -28,8 +28,8 @@ from .storage import table
 from .textarrays import slices, text_buffers
 
 RUN, UNITS = 64, 8
-#: Bounds of the training sample: rows a language, languages, runs of a row.
-SAMPLE_ROWS, LANGUAGES, ROW_RUNS = 400, 64, 6
+#: Bounds of the training sample: rows a language, rows of all languages (but 8 of each), runs of a row.
+SAMPLE_ROWS, SAMPLE_TOTAL, ROW_RUNS = 400, 25_600, 6
 _LANES = 4096
 
 
@@ -162,15 +162,17 @@ def held_out(docs: DataFrame) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, languages: int = LANGUAGES, row_runs: int = ROW_RUNS) -> Network | None:
-    """A network for the most frequent ``languages`` languages of ``labelled``.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS, sample_total: int = SAMPLE_TOTAL, row_runs: int = ROW_RUNS) -> Network | None:
+    """A network for all languages of ``labelled``.
 
-    It learns from about ``sample_rows`` rows of each, chosen by a hash of key
+    It learns from about ``sample_rows`` rows of each, fewer where there are so
+    many languages that ``sample_total`` would be passed, chosen by a hash of key
     and text, and from ``row_runs`` runs of each row. None if no such row has a letter.
     """
-    counts = labelled.filter(F.col(lang_col).isNotNull()).groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(languages).collect()
+    counts = labelled.filter(F.col(lang_col).isNotNull()).groupBy(lang_col).count().collect()  # a row a language
     if not counts:
         return None
+    sample_rows = max(8, min(sample_rows, sample_total // len(counts)))
     names = sorted(r[lang_col] for r in counts)
     shares = {r[lang_col]: min(1.0, 1.25 * sample_rows / r["count"]) for r in counts}
     limit = F.create_map(*(F.lit(x) for n in names for x in (n, int(shares[n] * 1_000_000))))
@@ -265,6 +267,12 @@ def predict(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_c
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def least_score(net: Network | None, margin: float) -> float:
+    """The mean probability that lies ``margin`` of the way from chance, one in so many languages, to certainty."""
+    chance = 1 / len(net.languages) if net else 1.0
+    return min(chance + margin * (1 - chance), 0.999)
+
+
 def recognised(docs: DataFrame, net: Network | None, least_score: float, text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, whose text is in some language by a score of ``least_score`` or more. No shuffle."""
     shared, at = docs.sparkSession.sparkContext.broadcast(net), docs.columns.index(text_col)
