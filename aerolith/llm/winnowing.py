@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from .storage import table
 from .textarrays import SLICE_BYTES, code_points, mix, powers
 
-GRAM, WINDOW = 20, 81
+GRAM, WINDOW = 20, 32
+#: Text of a bucket, about.
+BUCKET_BYTES = 64 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 2**64)
 _PLACE = np.uint64(0xFFFFFF)
@@ -145,13 +147,15 @@ def _chunks(rows):
 def _followed(docs: DataFrame) -> DataFrame:
     """Rows (bucket, ahead, doc_id, ord, text): each bucket's rows in descending order of id, then, marked ahead, the row that follows its last.
 
-    One shuffle of the texts. The bounds of buckets, one a shuffle partition,
-    and the largest id of each are all that the driver sees.
+    One shuffle of the texts. The bounds of buckets, one for ``BUCKET_BYTES`` of
+    text and one a shuffle partition at least, and the largest id of each are all
+    that the driver sees. Rows of one id stand in one bucket.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
     keyed = docs.select("doc_id", "text", F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("ord"))
-    cuts = keyed.agg(F.percentile_approx("ord", [i / parts for i in range(1, parts)] or [0.5], 10000)).first()[0] or []
+    cuts = keyed.agg(F.percentile_approx("ord", [i / parts for i in range(1, parts)] or [0.5], max(10_000, 2 * parts))).first()[0] or []
     bounds = np.unique(np.array(cuts, np.int64))
 
     @F.pandas_udf("int")
@@ -161,7 +165,7 @@ def _followed(docs: DataFrame) -> DataFrame:
     dealt = keyed.withColumn("bucket", bucket("ord"))
     heads = sorted((r["bucket"], r["head"]) for r in dealt.groupBy("bucket").agg(F.max("ord").alias("head")).collect())
     before = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
-    # At most one row a shuffle partition.
+    # An id a bucket; of its rows the first counts.
     ahead = keyed.join(F.broadcast(spark.createDataFrame(before, "ord long, bucket int")), "ord") if before else keyed.withColumn("bucket", F.lit(0)).limit(0)
     both = dealt.withColumn("ahead", F.lit(False)).unionByName(ahead.withColumn("ahead", F.lit(True)))
     return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "ahead", F.desc("ord"), "text")
