@@ -7,8 +7,8 @@ at the end each bin shrinks to the least permitted capacity that holds its
 contents. A document longer than the largest capacity is cut into pieces of
 that capacity and a rest, so every token is in exactly one bin.
 
-Pieces are dealt by a hash to shards of about ``SHARD_PIECES`` and each shard is
-packed on its own, so a shard's size does not grow with the input and at most
+Pieces are dealt by a number of their own to shards of about ``SHARD_PIECES``, so
+that rows that repeat do not meet in one, and each shard is packed on its own, so a shard's size does not grow with the input and at most
 one bin of each capacity a shard is filled badly.
 
 Defined cases: a null or empty text is one piece of length 0 in no bin; rows
@@ -77,21 +77,21 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES) -> t
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: int = max(CAPACITIES)) -> DataFrame:
-    """(doc_id, deal, piece, start, length) in words; ``deal`` is a hash of id and text."""
+    """(doc_id, piece, start, length) in words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, ends = text_buffers(batch.column(2))
+            raw, ends = text_buffers(batch.column(1))
             sizes = np.concatenate([np.zeros(0, np.int64), *(Words(raw, ends, lo, hi, hashes=False).counts for lo, hi in slices(ends))])
             counts = np.maximum(1, -(-sizes // largest))
             row = np.repeat(np.arange(len(sizes)), counts)
             piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             start = piece * largest
             taken = pa.array(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(np.minimum(largest, sizes[row] - start), pa.int32())], ["doc_id", "deal", "piece", "start", "length"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(np.minimum(largest, sizes[row] - start), pa.int32())], ["doc_id", "piece", "start", "length"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.xxhash64(F.col(id_col), F.col(text_col)).alias("deal"), text_col).mapInArrow(run, f"doc_id {kind}, deal long, piece int, start long, length int")
+    return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {kind}, piece int, start long, length int")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacities: tuple[int, ...] = CAPACITIES, shard_pieces: int = SHARD_PIECES) -> DataFrame:
@@ -100,7 +100,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     start and length are in words of the document, position in words of the
     bin, tokens is what the bin holds.
     """
-    found = cut(pieces(docs, id_col, text_col, max(capacities)))
+    # Numbers are given to rows that are written, so they stay.
+    found = cut(pieces(docs, id_col, text_col, max(capacities))).withColumn("deal", F.monotonically_increasing_id())
     full = found.filter("length > 0")
     shards = max(1, -(-full.count() // shard_pieces))
 
@@ -112,7 +113,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         return frame[["doc_id", "piece", "start", "length", "bin", "position", "capacity", "tokens"]]
 
     schema = PACKED.format(kind=docs.schema[id_col].dataType.simpleString())
-    dealt = full.withColumn("shard", F.pmod(F.xxhash64("deal", "piece"), F.lit(shards)))
+    dealt = full.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
     none = found.filter("length = 0").select("doc_id", "piece", "start", "length", F.lit(None).cast("long").alias("bin"), *(F.lit(None).cast("int").alias(c) for c in ("position", "capacity", "tokens")))
     return dealt.groupBy("shard").applyInPandas(run, schema).unionByName(none)
 
