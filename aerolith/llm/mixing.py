@@ -77,6 +77,14 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, program_wor
         return take
     take = np.array([int(c) * budget // total for c in counts], np.int64)
     left, open_ = counts - take, budget - int((lengths * take).sum())
+    # More than the program covers: one more of lengths in a seeded order, whose shares were rounded down.
+    for i in np.random.default_rng(SEED).permutation(len(lengths)):
+        if open_ <= program_words:
+            break
+        if left[i] and 0 < lengths[i] <= open_ - program_words // 2:
+            take[i] += 1
+            left[i] -= 1
+            open_ -= int(lengths[i])
     for i in np.argsort(-lengths, kind="stable"):
         if open_ <= program_words:
             break

@@ -39,6 +39,9 @@ def test_fit_budget_is_exact_where_a_sum_exists():
         for n, c in zip(lengths.tolist(), (counts - base).tolist(), strict=True):
             reach = {s + k * n for s in reach for k in range(c + 1)}
         assert (lengths * take).sum() == max(s for s in reach if s <= budget)
+    rare, one = np.arange(1, 3000), np.ones(2999, np.int64)
+    take = mixing.fit_budget(rare, one, int(rare.sum()) // 2)
+    assert (rare * take).sum() == int(rare.sum()) // 2 and 0.3 < take[:1500].mean() < 0.7  # not only the longest
     lengths, counts = np.arange(1, 3000), np.full(2999, 50)
     assert abs((lengths * mixing.fit_budget(lengths, counts, 100_000_003)).sum() - 100_000_003) <= 0
 
@@ -80,6 +83,34 @@ def test_best_fit_bins_hold_what_they_say():
     assert [len(x) for x in packing.best_fit(np.zeros(0, np.int64))] == [0, 0, 0, 0]
 
 
+def test_best_fit_is_near_the_least_cost():
+    """Of up to seven pieces the cost is near that of the best of all ways to pack them."""
+    rng = np.random.default_rng(6)
+    capacities = (8, 16, 32)
+    cost = [min((packing.bin_cost(c) for c in capacities if c >= n), default=np.inf) for n in range(200)]
+    over = []
+    for _ in range(60):
+        lengths = np.sort(rng.integers(1, 33, rng.integers(1, 8)))[::-1]
+        n = len(lengths)
+        total = [int(sum(lengths[k] for k in range(n) if m >> k & 1)) for m in range(1 << n)]
+        best = [0.0] + [np.inf] * ((1 << n) - 1)
+        for m in range(1, 1 << n):
+            part = m
+            while part:
+                if cost[total[part]] < np.inf:
+                    best[m] = min(best[m], best[m ^ part] + cost[total[part]])
+                part = part - 1 & m
+        sizes = packing.best_fit(lengths, capacities)[2]
+        over.append(sum(map(packing.bin_cost, sizes)) / best[-1])
+    assert min(over) >= 1 - 1e-9 and max(over) <= 1.7 and np.mean(over) <= 1.1
+
+
+def test_packing_of_rows_that_repeat_is_dealt_out(spark):
+    docs = spark.createDataFrame([(None, "x y z", 1, 2)] * 300, "doc_id long, text string, deal int, bin int")
+    found = packing.pack(docs, shard_pieces=30).collect()
+    assert len({r["bin"] >> 32 for r in found}) >= 8 and sum(r["length"] for r in found) == 900
+
+
 def test_packing_keeps_every_word_once(spark):
     rng = random.Random(1)
     rows = [(k, "x " * rng.randint(0, 900)) for k in range(200)] + [(500, "y " * 9000), (501, None), (7, "x"), (7, "x"), (None, "z z")]
