@@ -139,8 +139,9 @@ def region(product: DataFrame, variables: list[str], south: float, north: float,
 
 
 def wide(product: DataFrame, variables: list[str]) -> DataFrame:
-    """A column a variable, a row a cell and step."""
-    return product.groupBy(*INIT, "step_hours", "latitude", "longitude").pivot("variable", variables).agg(F.max("value"))
+    """A column a variable, a row a cell and step and, where there is one, extra_level."""
+    extra = [c for c in ("extra_level",) if c in product.columns]
+    return product.groupBy(*INIT, *extra, "step_hours", "latitude", "longitude").pivot("variable", variables).agg(F.max("value"))
 
 
 def step_gaps(product: DataFrame, interval: int) -> DataFrame:

@@ -35,7 +35,7 @@ def to_tiles(product: DataFrame, latitude: int | None = 64, longitude: int | Non
 
 def tile_series(tiled: DataFrame) -> DataFrame:
     """One row a tile and variable with all its values in order: what a region series reads."""
-    keys = [*INIT, "variable", "pressure_level", "tile_latitude", "tile_longitude"]
+    keys = [*INIT, "variable", "pressure_level", *(c for c in ("extra_level", "tile_step", "tile_level") if c in tiled.columns), "tile_latitude", "tile_longitude"]
     return tiled.groupBy(*keys).agg(F.count_distinct("latitude", "longitude").alias("n_cells"), F.array_sort(F.collect_list(F.struct("step_hours", "latitude", "longitude", "value"))).alias("series"))
 
 

@@ -101,13 +101,13 @@ def s02_manifest_files(spark, d):
     return manifest_files(manifests).select("source", "init_date", "cycle", "step_hours", F.col("path").cast("long").alias("event_id"), "records_selected")
 
 
-@query(_on_product("SELECT source, init_date, cycle, step_hours, latitude, longitude, max(value) FILTER (variable = 'u10') AS u10, max(value) FILTER (variable = 'tp_accum') AS tp_accum FROM product GROUP BY ALL"), "fx_raw")
+@query(_on_product("SELECT source, init_date, cycle, extra_level, step_hours, latitude, longitude, max(value) FILTER (variable = 'u10') AS u10, max(value) FILTER (variable = 'tp_accum') AS tp_accum FROM product GROUP BY ALL"), "fx_raw")
 def s04_wide(spark, d):
     return fields.wide(_product(spark, d), ["u10", "tp_accum"])
 
 
 @query(
-    _on_product("""SELECT source, init_date, cycle, variable, pressure_level, tile_latitude, tile_longitude, count(*) AS n_values, count(DISTINCT (latitude, longitude)) AS n_cells FROM product
+    _on_product("""SELECT source, init_date, cycle, variable, pressure_level, extra_level, tile_latitude, tile_longitude, count(*) AS n_values, count(DISTINCT (latitude, longitude)) AS n_cells FROM product
     JOIN (SELECT source, init_date, cycle, latitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY latitude) - 1) // 4 AS INT) AS tile_latitude FROM (SELECT DISTINCT source, init_date, cycle, latitude FROM cropped)) USING (source, init_date, cycle, latitude)
     JOIN (SELECT source, init_date, cycle, longitude, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY longitude) - 1) // 8 AS INT) AS tile_longitude FROM (SELECT DISTINCT source, init_date, cycle, longitude FROM cropped)) USING (source, init_date, cycle, longitude)
     GROUP BY ALL"""),
@@ -115,7 +115,7 @@ def s04_wide(spark, d):
 )
 def s06_tiles(spark, d):
     series = tiles.tile_series(_tiled(spark, d, 4, 8))
-    return series.select(*tiles.INIT, "variable", "pressure_level", "tile_latitude", "tile_longitude", F.size("series").cast("long").alias("n_values"), "n_cells")
+    return series.select(*tiles.INIT, "variable", "pressure_level", "extra_level", "tile_latitude", "tile_longitude", F.size("series").cast("long").alias("n_values"), "n_cells")
 
 
 _IDENTITY_SQL = r"""identified AS (

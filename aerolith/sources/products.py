@@ -13,7 +13,7 @@ from ..functions.scalars import content_hash, missing_as_null
 
 PRODUCT = """
 source string, init_date date, cycle int, variable string, pressure_level double, step_hours int,
-valid_time timestamp_ntz, latitude double, longitude double, value double
+valid_time timestamp_ntz, latitude double, longitude double, value double, extra_level double
 """
 PARTITIONS = ["source", "init_date", "cycle"]
 #: Files up to this size are hashed in the JVM from one read; larger ones are streamed in parts.
@@ -42,7 +42,9 @@ def write_product(product: DataFrame, root: str, codec: str = "zstd", level: int
     """Replace exactly the runs that ``product`` holds; other runs below root are not touched.
 
     Rows are sorted so that a region read of a variable meets few row groups.
+    A product without extra_level has none.
     """
+    product = product if "extra_level" in product.columns else product.withColumn("extra_level", F.lit(None).cast("double"))
     ready = product.select(*(f"`{f.split()[0]}`" for f in PRODUCT.replace("\n", " ").split(",")))
     dealt = ready.repartition(*PARTITIONS, "variable").sortWithinPartitions(*PARTITIONS, "variable", "pressure_level", "latitude", "longitude", "step_hours")
     writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "uncompressed" if codec == "none" else codec)

@@ -19,7 +19,7 @@ DAY = datetime.date(2026, 5, 1)
 
 
 def _product(spark, day=DAY, variable="t2m", value=1.0, cycle=0, n=4):
-    rows = [("demo", day, cycle, variable, None, s, datetime.datetime(2026, 5, 1), float(y), float(x), value) for s in (0, 3) for y in range(n) for x in range(n)]
+    rows = [("demo", day, cycle, variable, None, s, datetime.datetime(2026, 5, 1), float(y), float(x), value, None) for s in (0, 3) for y in range(n) for x in range(n)]
     return spark.createDataFrame(rows, products.PRODUCT)
 
 
@@ -31,6 +31,10 @@ def test_one_run_is_replaced_and_others_stay(spark, tmp_path):
     found = products.read_product(spark, root)
     assert {(r["init_date"], r["value"]) for r in found.select("init_date", "value").distinct().collect()} == {(DAY, 2.0), (later, 1.0)}
     assert found.schema["cycle"].dataType.simpleString() == "int"
+    levels = _product(spark, value=3.0, n=1).withColumn("extra_level", F.explode(F.array(F.lit(1.0), F.lit(2.0))))
+    products.write_product(levels, root)
+    stored = products.read_product(spark, root).filter(F.col("init_date") == F.lit(DAY))
+    assert sorted((r["step_hours"], r["extra_level"]) for r in stored.collect()) == [(0, 1.0), (0, 2.0), (3, 1.0), (3, 2.0)]
 
 
 def test_tiles_and_a_missing_chunk(spark):
