@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from aerolith.llm import registry, secrets
+from aerolith.llm import html, language, mixing, packing, registry, secrets, winnowing
 
 COLUMNS = {
     "op2_mixing": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
@@ -51,3 +52,39 @@ def test_digest_of_base_spans(spark, small):
         spans = r["spans"].split(",") if r["spans"] else []
         assert [x for x in spans if not x.startswith("crf")] == base
         assert [r[f"n_{k}"] for k in secrets.KINDS[:3]] == [sum(x.startswith(k + ":") for x in base) for k in secrets.KINDS[:3]]
+
+
+CLASHING = ("key", "size", "part", "n", "deal", "shard", "bin", "bucket", "ord", "ahead", "spans", "kind", "score", "lang_pred", "copies", "target", "taken", "source_size", "n_chars", "fingerprint", "id", "nth", "doc", "n_lines", "n_dropped", "gone", "made", "rest", "component", "r1", "rep")
+OPERATORS = {
+    "mix": mixing.mix,
+    "scan": lambda docs: secrets.scan(docs, None),
+    "pack": packing.pack,
+    "extract": lambda docs: html.extract(docs.withColumnsRenamed({"doc_id": "page_id", "text": "html"})),
+    "predict": lambda docs: language.predict(docs, None),
+    "edits": winnowing.fingerprints_and_edits,
+}
+
+
+def _odd_documents(spark):
+    rows = [(1, "one two", "en", "a"), (1, "one two", "en", "a"), (None, None, None, None), (3, "", "de", "a"), (4, "x " * 3000, "en", None)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_other_columns_change_nothing(spark, name):
+    docs = _odd_documents(spark)
+    more = docs.select("*", *(F.lit(k).alias(c) for k, c in enumerate(CLASHING)))
+    rows = lambda frame: sorted(map(repr, frame.drop("bin").collect()))
+    assert rows(OPERATORS[name](more)) == rows(OPERATORS[name](docs))
+    assert OPERATORS[name](more.limit(0)).count() == 0
+
+
+def test_stages_keep_other_columns(spark, small):
+    import corpus_pipeline
+
+    docs = _odd_documents(spark).select("*", *(F.lit(k).alias(c) for k, c in enumerate(CLASHING)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, small)
+        assert found.columns == docs.columns, name
+        assert all(r[c] == k for r in found.collect() for k, c in enumerate(CLASHING) if c != "n_chars"), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).agg(F.sum("length")).first()[0] == 3004
