@@ -123,9 +123,23 @@ def merge(named: DataFrame) -> DataFrame:
     return named.groupBy(*keys).agg(F.max("value").alias("value"), F.when(F.count("value") == 0, 0).when(F.max("value") == F.min("value"), 1).otherwise(2).cast("long").alias("n_values"))
 
 
-def combine_parts(surface: DataFrame, pressure: DataFrame) -> DataFrame:
-    """The full state of an init from two products: their rows under one key; what one lacks stays missing."""
-    return surface.unionByName(pressure, allowMissingColumns=True)
+def combine_parts(surface: DataFrame, pressure: DataFrame, strict: bool = False) -> DataFrame:
+    """The full state of an init from two products: their rows under one key; what one lacks stays missing.
+
+    With ``strict`` a cell that both have is one row, and reading it is an
+    error if they have unlike values.
+    """
+    both = surface.unionByName(pressure, allowMissingColumns=True)
+    if not strict:
+        return both
+    keys = [c for c in both.columns if c not in ("value", "n_values")]
+    clash = F.raise_error(F.concat(F.lit("unlike parts of "), F.col("variable"))).cast("double")
+    return both.groupBy(*keys).agg(F.when(F.min("value") != F.max("value"), clash).otherwise(F.max("value")).alias("value"))
+
+
+def in_order(product: DataFrame) -> DataFrame:
+    """A product as readers want it: by init, variable and level, then step, latitude and longitude upward."""
+    return product.orderBy(*INIT, "variable", *(c for c in ("pressure_level", "extra_level") if c in product.columns), "step_hours", "latitude", "longitude")
 
 
 def with_valid_time(product: DataFrame) -> DataFrame:

@@ -111,7 +111,8 @@ def validate_contract(contracts: DataFrame, full: DataFrame) -> DataFrame:
 
     contracts: contract_id, schema_version, policy, status, available and
     missing (maps of variable to sorted steps), missing_variables (sorted),
-    grid_resolution_degrees. ``full`` is the catalog (variable, step_hours).
+    grid_resolution_degrees, and maybe expected, a map too, which must be the
+    catalog. ``full`` is the catalog (variable, step_hours).
     """
     catalog = full.groupBy("variable").agg(F.sort_array(F.collect_set("step_hours")).alias("steps")).agg(F.map_from_entries(F.collect_list(F.struct("variable", "steps"))).alias("catalog"))  # the catalog's few hundred rows
     joined = contracts.crossJoin(F.broadcast(catalog))
@@ -125,6 +126,7 @@ def validate_contract(contracts: DataFrame, full: DataFrame) -> DataFrame:
     wrong_status = F.col("status") != F.when(F.size(absent) > 0, "partial").otherwise("complete")
     checks = {
         "version or policy": (F.col("schema_version") != 1) | (F.col("policy") != "historical_available"),
+        **({"expected": norm(F.map_entries(F.transform_values("expected", lambda k, v: F.sort_array(v)))) != norm(F.map_entries("catalog"))} if "expected" in contracts.columns else {}),
         "samples": bad_samples,
         "missing lists": wrong_missing | no_variables | wrong_status,
         "grid": F.col("grid_resolution_degrees").isNotNull() & ~F.col("grid_resolution_degrees").isin(0.25, 0.4),

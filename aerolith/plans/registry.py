@@ -201,6 +201,17 @@ def region_series(spark, d):
     return found.select(*fields.INIT, "variable", "step_hours", "valid_time", "latitude", "longitude", "value")
 
 
+@query(_on_product("SELECT source, init_date, cycle, variable, step_hours, latitude, longitude, value, row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY step_hours, latitude, longitude) AS nth FROM product WHERE variable = 'u10'"), "fx_raw")
+def o01_in_order(spark, d):
+    """The place of each row of a series is that of its step and axes."""
+    from pyspark.sql import Window
+
+    found = fields.in_order(fields.region(_product(spark, d), ["u10"], -90.0, 90.0, -180.0, 180.0))
+    numbered = found.withColumn("place", F.monotonically_increasing_id())
+    nth = F.row_number().over(Window.partitionBy(*fields.INIT).orderBy("place"))
+    return numbered.select(*fields.INIT, "variable", "step_hours", "latitude", "longitude", "value", nth.alias("nth"))
+
+
 @query(_on_product("SELECT source, init_date, cycle, step_hours, latitude, longitude, value FROM product WHERE variable = 't' AND pressure_level = 850"), "fx_raw")
 def p11_level_slice(spark, d):
     found = fields.region(_product(spark, d), ["t"], -90.0, 90.0, -180.0, 180.0, 850.0)

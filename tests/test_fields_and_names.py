@@ -221,3 +221,25 @@ def test_hooks_of_a_source(spark):
     static = fields.with_step(raw.drop("step_hours"))
     assert static.filter("step_hours IS NULL").count() == 2 and fields.with_step(raw) is raw
     assert set(naming.drop_level_columns(naming.apply_rules(raw, naming.rules(spark))).columns) == {"source", "init_date", "cycle", "step_hours", "file_step_hours", "msg_no", "cell_id", "value", "variable", "pressure_level"}
+
+
+def test_parts_are_combined_strictly(spark):
+    schema = "source string, init_date string, cycle int, variable string, step_hours int, latitude double, longitude double, value double, pressure_level double"
+    row = lambda value, level=None, name="t": ("s", "d", 0, name, 0, 1.0, 2.0, value, level)
+    surface = spark.createDataFrame([row(1.0), row(None, name="u")], schema)
+    pressure = spark.createDataFrame([row(5.0, 500.0), row(1.0), row(2.0, name="u")], schema)
+    assert fields.combine_parts(surface, pressure).count() == 5
+    found = fields.combine_parts(surface, pressure, strict=True).collect()
+    assert sorted((r["variable"], r["pressure_level"] or 0.0, r["value"]) for r in found) == [("t", 0.0, 1.0), ("t", 500.0, 5.0), ("u", 0.0, 2.0)]
+    with pytest.raises(Exception, match="unlike parts of t"):
+        fields.combine_parts(surface, pressure.withColumn("value", F.col("value") + 1), strict=True).collect()
+    mixed = fields.combine_parts(surface, pressure)
+    assert [r["variable"] for r in fields.in_order(mixed).collect()] == ["t", "t", "t", "u", "u"]
+
+
+def test_contract_of_another_catalog(spark):
+    full = spark.createDataFrame([("a", 24), ("a", 36)], "variable string, step_hours int")
+    schema = "contract_id int, schema_version int, policy string, status string, expected map<string,array<int>>, available map<string,array<int>>, missing map<string,array<int>>, missing_variables array<string>, grid_resolution_degrees double"
+    rows = [(k, 1, "historical_available", "partial", e, {"a": [24]}, {"a": [36]}, [], 0.25) for k, e in enumerate(({"a": [36, 24]}, {"a": [24]}, {"a": [24, 36], "b": [24]}))]
+    found = probability.validate_contract(spark.createDataFrame(rows, schema), full).collect()
+    assert sorted((r["contract_id"], r["check"]) for r in found) == [(1, "expected"), (2, "expected")]
