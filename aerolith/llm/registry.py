@@ -9,6 +9,7 @@ from .language import op8_language
 from .linededup import op1_lines
 from .mixing import op2_mixing
 from .packing import op4_packing
+from .phraseindex import OP11_SQL, op11_contamination
 from .secrets import op3_secrets
 from .urlfilter import OP6_SQL, op6_urls
 from .winnowing import op10_winnowing
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard": op9_jaccard,
     "op10_winnowing": op10_winnowing,
+    "op11_contamination": op11_contamination,
 }
-ORACLE_SQL: dict[str, str] = {"op6_urls": OP6_SQL, "op9_jaccard": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_urls": OP6_SQL, "op9_jaccard": OP9_SQL, "op11_contamination": OP11_SQL}
