@@ -119,9 +119,10 @@ def _build(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _paths(rows: pd.DataFrame, built: pd.DataFrame) -> pd.DataFrame:
-    """rows (tree, idx, total) with path: for each level the number of siblings before, that of all, and the siblings."""
+    """rows (tree, idx, total and others) with path and top instead of total: for each level the number of siblings before, that of all, and the siblings; the root of the tree."""
+    out = rows.drop(columns=["total", "block"])
     if rows.empty or built.empty:
-        return pd.DataFrame({"tree": [], "idx": [], "path": []}).astype({"tree": str, "idx": "int64", "path": object})
+        return out.head(0).assign(path=None, top=None)
     piece, above = bytes(built["piece"].iloc[0]), bytes(built["path"].iloc[0])
     n, levels = int(built["n_leaves"].iloc[0]), levels_of(int(rows["total"].iloc[0]))
     nodes = np.frombuffer(piece, np.uint8).reshape(-1, SIZE)
@@ -134,7 +135,7 @@ def _paths(rows: pd.DataFrame, built: pd.DataFrame) -> pd.DataFrame:
             low = at - at % FAN
             high = min(low + FAN, size)
             parts[k].append(bytes((at - low, high - low - 1)) + digests[low:at].tobytes() + digests[at + 1 : high].tobytes())
-    return pd.DataFrame({"tree": rows["tree"].to_numpy(), "idx": rows["idx"].to_numpy(), "path": [b"".join(p) + above for p in parts]})
+    return out.assign(path=[b"".join(p) + above for p in parts], top=[bytes(built["top"].iloc[0])] * len(out))
 
 
 def steps(path: bytes) -> list[tuple[int, list[str]]]:
@@ -225,23 +226,27 @@ def log_nodes(tiers: list[DataFrame]) -> DataFrame:
 
 
 def proofs(leaves: DataFrame, tiers: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
-    """(tree, idx, path) of every leaf; ``above`` (tree, path) is what follows the root of a tree."""
-    ends = roots(tiers).select("tree").withColumn("path", F.lit(b"")) if above is None else above
-    upper = None  # (tree, idx, path) of the blocks of the tier below
+    """leaves with path and top, the root of the tree; ``above`` (tree, path, top) is what follows the root of a tree and what stands for its top.
+
+    Paths are made where the leaves lie and are not shuffled.
+    """
+    ends = roots(tiers).select("tree", F.lit(b"").alias("path"), F.col("digest").alias("top")) if above is None else above
+    columns = ["tree", "block", "n_leaves", "piece", "path", "top"]
+    upper = None  # the blocks of the tier below, with their paths
     for k in range(len(tiers) - 1, -1, -1):
-        tier = tiers[k]
-        top = tier.filter(F.col("total") <= BLOCK).join(ends, "tree").select("tree", "block", "n_leaves", "piece", "path")
+        tops = tiers[k].filter(F.col("total") <= BLOCK).join(ends, "tree").select(*columns)
         if upper is not None:
-            rest = tier.filter(F.col("total") > BLOCK).join(upper.withColumnRenamed("idx", "block"), ["tree", "block"])
-            top = top.unionByName(rest.select("tree", "block", "n_leaves", "piece", "path"))
-        below = leaves.select("tree", "idx", "total") if k == 0 else tiers[k - 1].filter(F.col("total") > BLOCK).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / BLOCK).alias("total"))
+            rest = tiers[k].filter(F.col("total") > BLOCK).join(upper.withColumnRenamed("idx", "block"), ["tree", "block"])
+            tops = tops.unionByName(rest.select(*columns))
+        below = leaves if k == 0 else tiers[k - 1].filter(F.col("total") > BLOCK).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / BLOCK).alias("total"))
+        kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in below.schema if f.name != "total"]
         dealt = below.withColumn("block", F.floor(F.col("idx") / BLOCK))
-        upper = dealt.groupBy("tree", "block").cogroup(top.groupBy("tree", "block")).applyInPandas(_paths, "tree string, idx long, path binary")
+        upper = dealt.groupBy("tree", "block").cogroup(tops.groupBy("tree", "block")).applyInPandas(_paths, ", ".join([*kinds, "path binary", "top binary"]))
     return upper
 
 
 def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, tree: str = "lang", id_col: str = "doc_id", tampered: Column | None = None) -> DataFrame:
-    """Every row's leaf, the roots of its tree and of all, its path and what a leaf digested now gives: doc_id, leaf, now, subroot, root, path.
+    """Every row's leaf, what it is digested to now, the roots of its tree and of all, and its path: doc_id, leaf, now, subroot, root, path.
 
     A tree a value of ``tree``, null first, then by bytes. ``tampered`` is the
     digest that a row has now, if that is another.
@@ -253,17 +258,14 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, tree: str = "lan
     leaves = cut(numbered(digested, [F.col("doc_id").asc_nulls_first(), F.col("digest")]))
     tiers = build(leaves)
     if not tiers:
-        empty = leaves.withColumns({c: F.lit(None).cast("binary") for c in ("subroot", "root", "path")})
-        return empty.select("doc_id", F.col("digest").alias("leaf"), "now", "subroot", "root", "path")
-    subroots = cut(roots(tiers))
-    named = cut(numbered(subroots.select(F.lit("").alias("tree"), F.col("tree").alias("own"), "digest"), [F.col("own")]))
+        none = F.lit(None).cast("binary")
+        return leaves.select("doc_id", F.col("digest").alias("leaf"), "now", none.alias("subroot"), none.alias("root"), none.alias("path"))
+    named = cut(numbered(roots(tiers).select(F.lit("").alias("tree"), F.col("tree").alias("own"), "digest"), [F.col("own")]))
     upper = build(named)
-    root = roots(upper).first()["digest"]
-    ends = proofs(named, upper).join(named.select("idx", F.col("own"), F.col("digest").alias("subroot")), "idx").select(F.col("own").alias("tree"), "path", "subroot")
-    ends = cut(ends)
-    paths = proofs(leaves, tiers, ends.select("tree", "path"))
-    whole = leaves.select("tree", "idx", "doc_id", F.col("digest").alias("leaf"), "now").join(paths, ["tree", "idx"])
-    return whole.join(ends.select("tree", "subroot"), "tree").select("doc_id", "leaf", "now", "subroot", F.lit(bytes(root)).alias("root"), "path")
+    root = F.lit(bytes(roots(upper).first()["digest"]))
+    ends = cut(proofs(named, upper).select(F.col("own").alias("tree"), "path", F.col("digest").alias("top")))
+    found = proofs(leaves, tiers, ends)
+    return found.select("doc_id", F.col("digest").alias("leaf"), "now", F.col("top").alias("subroot"), root.alias("root"), "path")
 
 
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
