@@ -7,8 +7,8 @@ grows at its end, the place of any node in it is a closed form of the sizes of
 the complete subtrees before it, and the nodes of an aligned block of leaves lie
 in one piece.
 
-Builders are aligned: each gets the 8 ** 4 leaves below one node of the fourth
-level and writes that block's piece of the log. The blocks' own nodes are the
+Builders are aligned: each gets the 8 ** 4 leaves (``levels``) below one node of the
+fourth level and writes that block's piece of the log. The blocks' own nodes are the
 leaves of the next tier of builders, so a tree of n leaves takes log n / log 4096
 rounds, and no task holds more than a block of it. Proofs go the other way, from
 the highest tier down: a block's task finds the siblings of its leaves by their
@@ -40,7 +40,6 @@ from .storage import cut, table
 FAN = 8
 #: Levels that a builder completes.
 LEVELS = 4
-BLOCK = FAN**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 SIZE = 32
 
@@ -103,30 +102,30 @@ def piece_of(digests: list[bytes], levels: int) -> bytes:
     return b"".join(log)
 
 
-def levels_of(total: int) -> int:
+def levels_of(total: int, most: int) -> int:
     """Levels that the builders of a tier of ``total`` nodes complete: up to the root, if one block has them all."""
-    return len(heights(total)) - 1 if total <= BLOCK else LEVELS
+    return len(heights(total)) - 1 if total <= FAN**most else most
 
 
 # --- tasks -----------------------------------------------------------------
 
 
-def _build(rows: pd.DataFrame) -> pd.DataFrame:
+def _build(rows: pd.DataFrame, most: int) -> pd.DataFrame:
     rows = rows.sort_values("idx")
-    levels = levels_of(int(rows["total"].iloc[0]))
+    levels = levels_of(int(rows["total"].iloc[0]), most)
     piece = piece_of(list(map(bytes, rows["digest"])), levels)
     return pd.DataFrame({"tree": [rows["tree"].iloc[0]], "block": [rows["block"].iloc[0]], "n_leaves": [len(rows)], "total": [rows["total"].iloc[0]], "piece": [piece], "digest": [piece[-SIZE:]]})
 
 
-def _paths(rows: pd.DataFrame, built: pd.DataFrame) -> pd.DataFrame:
+def _paths(rows: pd.DataFrame, built: pd.DataFrame, most: int) -> pd.DataFrame:
     """rows (tree, idx, total and others) with path and top instead of total: for each level the number of siblings before, that of all, and the siblings; the root of the tree."""
     out = rows.drop(columns=["total", "block"])
     if rows.empty or built.empty:
         return out.head(0).assign(path=None, top=None)
     piece, above = bytes(built["piece"].iloc[0]), bytes(built["path"].iloc[0])
-    n, levels = int(built["n_leaves"].iloc[0]), levels_of(int(rows["total"].iloc[0]))
+    n, levels = int(built["n_leaves"].iloc[0]), levels_of(int(rows["total"].iloc[0]), most)
     nodes = np.frombuffer(piece, np.uint8).reshape(-1, SIZE)
-    own = rows["idx"].to_numpy(np.int64) % BLOCK
+    own = rows["idx"].to_numpy(np.int64) % FAN**most
     parts: list[list[bytes]] = [[] for _ in own]
     for level in range(levels):
         size = -(-n // FAN**level)
@@ -177,29 +176,29 @@ def numbered(nodes: DataFrame, order: list[Column]) -> DataFrame:
     return joined.withColumn("idx", F.col("place") + F.col("shift")).drop("place", "shift", "part")
 
 
-def build(leaves: DataFrame) -> list[DataFrame]:
+def build(leaves: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
     """The log of every tree of leaves (tree, idx, total, digest), a table a tier, lowest first: (tree, block, n_leaves, total, piece, digest)."""
-    tiers, nodes = [], leaves.select("tree", "idx", "total", "digest")
+    tiers, nodes, block = [], leaves.select("tree", "idx", "total", "digest"), FAN**levels
     most = leaves.agg(F.max("total")).first()[0]
     while most:
-        dealt = nodes.withColumn("block", F.floor(F.col("idx") / BLOCK))
-        built = cut(dealt.groupBy("tree", "block").applyInPandas(_build, "tree string, block long, n_leaves long, total long, piece binary, digest binary"))
+        dealt = nodes.withColumn("block", F.floor(F.col("idx") / block))
+        built = cut(dealt.groupBy("tree", "block").applyInPandas(lambda rows: _build(rows, levels), "tree string, block long, n_leaves long, total long, piece binary, digest binary"))
         tiers.append(built)
-        nodes = built.filter(F.col("total") > BLOCK).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / BLOCK).alias("total"), "digest")
-        most = -(-most // BLOCK) if most > BLOCK else 0
+        nodes = built.filter(F.col("total") > block).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / block).alias("total"), "digest")
+        most = -(-most // block) if most > block else 0
     return tiers
 
 
-def roots(tiers: list[DataFrame]) -> DataFrame:
+def roots(tiers: list[DataFrame], levels: int = LEVELS) -> DataFrame:
     """(tree, digest) of the root of every tree."""
-    tops = [t.filter(F.col("total") <= BLOCK).select("tree", "digest") for t in tiers]
+    tops = [t.filter(F.col("total") <= FAN**levels).select("tree", "digest") for t in tiers]
     out = tops[0]
     for t in tops[1:]:
         out = out.unionByName(t)
     return out
 
 
-def log_nodes(tiers: list[DataFrame]) -> DataFrame:
+def log_nodes(tiers: list[DataFrame], levels: int = LEVELS) -> DataFrame:
     """(tree, place, digest): the log of each tree, node by node."""
     out = None
     for k, tier in enumerate(tiers):
@@ -210,14 +209,13 @@ def log_nodes(tiers: list[DataFrame]) -> DataFrame:
     def spread(rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         for r in rows.itertuples():
-            base = r.tier * LEVELS
-            levels = levels_of(int(r.total))
+            base = r.tier * levels
             piece = bytes(r.piece)
-            for level in range(levels + 1):
+            for level in range(levels_of(int(r.total), levels) + 1):
                 if level == 0 and r.tier:
                     continue  # the root of a block below, which is in its piece
                 own = np.arange(-(-int(r.n_leaves) // FAN**level))
-                index = own + int(r.block) * FAN ** (LEVELS - level)
+                index = own + int(r.block) * FAN ** (levels - level)
                 at = places(int(r.n_leaves), level, own)
                 found += [(r.tree, int(p), piece[SIZE * a : SIZE * (a + 1)]) for p, a in zip(places(int(r.n), base + level, index), at, strict=True)]
         return pd.DataFrame(found, columns=["tree", "place", "digest"])
@@ -225,27 +223,28 @@ def log_nodes(tiers: list[DataFrame]) -> DataFrame:
     return out.join(sizes, "tree").mapInPandas(lambda frames: map(spread, frames), "tree string, place long, digest binary")
 
 
-def proofs(leaves: DataFrame, tiers: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
+def proofs(leaves: DataFrame, tiers: list[DataFrame], above: DataFrame | None = None, levels: int = LEVELS) -> DataFrame:
     """leaves with path and top, the root of the tree; ``above`` (tree, path, top) is what follows the root of a tree and what stands for its top.
 
     Paths are made where the leaves lie and are not shuffled.
     """
-    ends = roots(tiers).select("tree", F.lit(b"").alias("path"), F.col("digest").alias("top")) if above is None else above
+    block = FAN**levels
+    ends = roots(tiers, levels).select("tree", F.lit(b"").alias("path"), F.col("digest").alias("top")) if above is None else above
     columns = ["tree", "block", "n_leaves", "piece", "path", "top"]
     upper = None  # the blocks of the tier below, with their paths
     for k in range(len(tiers) - 1, -1, -1):
-        tops = tiers[k].filter(F.col("total") <= BLOCK).join(ends, "tree").select(*columns)
+        tops = tiers[k].filter(F.col("total") <= block).join(ends, "tree").select(*columns)
         if upper is not None:
-            rest = tiers[k].filter(F.col("total") > BLOCK).join(upper.withColumnRenamed("idx", "block"), ["tree", "block"])
+            rest = tiers[k].filter(F.col("total") > block).join(upper.withColumnRenamed("idx", "block"), ["tree", "block"])
             tops = tops.unionByName(rest.select(*columns))
-        below = leaves if k == 0 else tiers[k - 1].filter(F.col("total") > BLOCK).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / BLOCK).alias("total"))
+        below = leaves if k == 0 else tiers[k - 1].filter(F.col("total") > block).select("tree", F.col("block").alias("idx"), F.ceil(F.col("total") / block).alias("total"))
         kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in below.schema if f.name != "total"]
-        dealt = below.withColumn("block", F.floor(F.col("idx") / BLOCK))
-        upper = dealt.groupBy("tree", "block").cogroup(tops.groupBy("tree", "block")).applyInPandas(_paths, ", ".join([*kinds, "path binary", "top binary"]))
+        dealt = below.withColumn("block", F.floor(F.col("idx") / block))
+        upper = dealt.groupBy("tree", "block").cogroup(tops.groupBy("tree", "block")).applyInPandas(lambda rows, built: _paths(rows, built, levels), ", ".join([*kinds, "path binary", "top binary"]))
     return upper
 
 
-def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, tree: str = "lang", id_col: str = "doc_id", tampered: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, tree: str = "lang", id_col: str = "doc_id", tampered: Column | None = None, levels: int = LEVELS) -> DataFrame:
     """Every row's leaf, what it is digested to now, the roots of its tree and of all, and its path: doc_id, leaf, now, subroot, root, path.
 
     A tree a value of ``tree``, null first, then by bytes. ``tampered`` is the
@@ -256,15 +255,15 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, tree: str = "lan
     name = F.when(F.col(tree).isNull(), "").otherwise(F.concat(F.lit("="), F.col(tree).cast("string")))
     digested = cut(docs.select(name.alias("tree"), F.col(id_col).alias("doc_id"), F.unhex(leaf).alias("digest"), F.unhex(now).alias("now")))
     leaves = cut(numbered(digested, [F.col("doc_id").asc_nulls_first(), F.col("digest")]))
-    tiers = build(leaves)
+    tiers = build(leaves, levels)
     if not tiers:
         none = F.lit(None).cast("binary")
         return leaves.select("doc_id", F.col("digest").alias("leaf"), "now", none.alias("subroot"), none.alias("root"), none.alias("path"))
-    named = cut(numbered(roots(tiers).select(F.lit("").alias("tree"), F.col("tree").alias("own"), "digest"), [F.col("own")]))
-    upper = build(named)
-    root = F.lit(bytes(roots(upper).first()["digest"]))
-    ends = cut(proofs(named, upper).select(F.col("own").alias("tree"), "path", F.col("digest").alias("top")))
-    found = proofs(leaves, tiers, ends)
+    named = cut(numbered(roots(tiers, levels).select(F.lit("").alias("tree"), F.col("tree").alias("own"), "digest"), [F.col("own")]))
+    upper = build(named, levels)
+    root = F.lit(bytes(roots(upper, levels).first()["digest"]))
+    ends = cut(proofs(named, upper, levels=levels).select(F.col("own").alias("tree"), "path", F.col("digest").alias("top")))
+    found = proofs(leaves, tiers, ends, levels)
     return found.select("doc_id", F.col("digest").alias("leaf"), "now", F.col("top").alias("subroot"), root.alias("root"), "path")
 
 

@@ -128,8 +128,8 @@ def near_matches(index: DataFrame, known: DataFrame, phrases: DataFrame, within:
         """Rows (places, term) of ``wanted`` with a posting of the term close by."""
         around = F.sequence(block(F.col("position") - within), block(F.col("position") + within))
         a = wanted.select(*places, "term", F.explode(around).alias("block"))
-        b = lists.select("doc", "term", F.col("position").alias("other"), block(F.col("position")).alias("block"))
-        close = (a["doc"] == b["doc"]) & (a["term"] == b["term"]) & (a["block"] == b["block"]) & (F.abs(a["position"] - b["other"]) <= within)
+        b = lists.select(F.col("doc").alias("b_doc"), F.col("term").alias("b_term"), F.col("position").alias("other"), block(F.col("position")).alias("b_block"))
+        close = (F.col("doc") == F.col("b_doc")) & (F.col("term") == F.col("b_term")) & (F.col("block") == F.col("b_block")) & (F.abs(F.col("position") - F.col("other")) <= within)
         return a.join(b, close, "left_semi").drop("block").distinct()
 
     second = plans.filter(F.size("terms") > 1).select("phrase_id", F.col("terms")[1]["term"].alias("term"))

@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_language": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op9_jaccard": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op10_winnowing": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
+    "op11_contamination": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+    "op12_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op13_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
 }
 
 
@@ -33,7 +36,7 @@ def test_queries_equal_their_sql(spark, small, name):
     import duckdb
 
     base = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "benchmark"):
         base.sql(f"CREATE VIEW {table} AS SELECT * FROM '{small}/{table}.parquet'")
     found = registry.QUERIES[name](spark, small)
     want = base.sql(registry.ORACLE_SQL[name])
