@@ -32,14 +32,15 @@ def product_identity(names: DataFrame, column: str = "name") -> DataFrame:
 
 
 def definitions(product: DataFrame, boundaries: list[str] = ()) -> DataFrame:
-    """(source, init, name, base, level): exposed names; levelled variables once a level.
+    """(source, init, name, base, level): exposed names; levelled variables once a level; attrs too, if the product has them.
 
     Coordinates, boundary variables and variables without a present value are left out.
     """
+    more = [c for c in ("attrs",) if c in product.columns]
     present = product.filter(F.col("value").isNotNull() & ~F.col("variable").isin(*COORDINATES, *boundaries))
-    variables = with_init(present).select("source", "init", F.col("variable").alias("base"), "pressure_level").distinct()
+    variables = with_init(present).select("source", "init", F.col("variable").alias("base"), "pressure_level", *more).distinct()
     level = level_label(F.col("pressure_level"))
-    return variables.select("source", "init", F.when(level.isNull(), F.col("base")).otherwise(F.concat("base", F.lit("_"), level)).alias("name"), "base", level.alias("level"))
+    return variables.select("source", "init", F.when(level.isNull(), F.col("base")).otherwise(F.concat("base", F.lit("_"), level)).alias("name"), "base", level.alias("level"), *more)
 
 
 def membership(defined: DataFrame) -> DataFrame:
@@ -51,6 +52,16 @@ def coverage(members: DataFrame) -> DataFrame:
     return members.groupBy("source", "name").agg(F.min("init").alias("first_init"), F.max("init").alias("last_init"), F.count_distinct("init").alias("n_inits"))
 
 
+def updated_coverage(covered: DataFrame, members: DataFrame, touched: DataFrame) -> DataFrame:
+    """``covered`` after a change: names of ``touched`` (source, name) are computed anew from ``members`` as they are now, the others stay as they were.
+
+    Only the members of touched names are grouped, and a name that has none left goes.
+    """
+    names = touched.select("source", "name").distinct()
+    stay = covered.join(names, ["source", "name"], "left_anti")
+    return stay.unionByName(coverage(members.join(names, ["source", "name"], "left_semi")).select(*covered.columns))
+
+
 def catalog_state(products: DataFrame) -> DataFrame:
     return with_init(products).groupBy("source").agg(F.count_distinct("init").alias("total"), F.min("init").alias("first_init"), F.max("init").alias("last_init"))
 
@@ -121,13 +132,14 @@ def catalog_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
     return joined.select("id_source", "init", state.alias("state"))
 
 
-def reconcile(previous: DataFrame, current: DataFrame, usable: bool = True, force: bool = False, recent: DataFrame | None = None, bulk: int = 256) -> DataFrame:
+def reconcile(previous: DataFrame, current: DataFrame, usable: bool = True, force: bool = False, recent: DataFrame | None = None, bulk: int = 256, folders: DataFrame | None = None) -> DataFrame:
     """A report a source: action (error, deferred, rebuilt, repaired, unchanged), added, changed, removed, total.
 
     ``current`` is an inventory, whose inits without a signature are not yet
     whole; ``recent`` (id_source) names sources whose files are still changing.
     A source that is known and of which nothing is found any more is an error,
-    not a deletion: its catalog must stay as it is.
+    not a deletion: its catalog must stay as it is. ``folders`` (id_source) names
+    sources whose folder is there, if it is empty too; these may lose all.
     """
     whole = current.filter(F.col("signature").isNotNull())
     seen = current.groupBy("id_source").agg(F.count("signature").alias("total")).withColumn("here", F.lit(1))
@@ -136,6 +148,9 @@ def reconcile(previous: DataFrame, current: DataFrame, usable: bool = True, forc
     counted = diff.groupBy("id_source").agg(F.count_if(F.col("state") == "added").alias("added"), F.count_if(F.col("state").isin("added", "changed")).alias("changed"), F.count_if(F.col("state") == "removed").alias("removed"))
     known = previous.select("id_source").distinct().withColumns({"added": F.lit(0), "changed": F.lit(0), "removed": F.lit(0)})
     counted = counted.unionByName(known.join(counted, "id_source", "left_anti"))  # also if the catalog is not usable
+    if folders is not None:
+        empty = folders.select("id_source").distinct().join(seen, "id_source", "left_anti")
+        seen = seen.unionByName(empty.withColumns({"total": F.lit(0).cast("long"), "here": F.lit(1)}))
     out = seen.join(counted, "id_source", "full_outer").fillna(0, ["total", "added", "changed", "removed"])
     if rebuilding:
         out = out.withColumn("changed", F.col("total"))

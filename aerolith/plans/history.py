@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.archive import raw_violations
-from ..operators.catalog import definitions
+from ..operators.catalog import definitions, with_init
 from ..operators.probability import validate
 from ..operators.readiness import INIT, pending
 from ..sources.shared import kept
-from ..sources.catalog_store import products_of, upsert
+from ..sources.catalog_store import products_of, remove, upsert
 from ..sources.products import read_product, write_product
 
 
@@ -36,9 +37,16 @@ def restore_history(spark: SparkSession, manifests: DataFrame, outputs: DataFram
 
 
 def publish(spark: SparkSession, product: DataFrame, due: DataFrame, root: str, catalog: str, signatures: DataFrame) -> None:
-    """Write the runs ``due`` (INIT) of a product and bring their sources' catalog up to date; nothing changes the second time."""
+    """Withdraw the runs ``due`` (INIT), write them, and bring their sources' catalog up to date; runs without a signature stay out.
+
+    ``plans.publication.publish_runs`` also reads back what it has written.
+    """
+    due = kept(due.select(*INIT).distinct())
+    inits, sources = with_init(due), [r["source"] for r in due.select("source").distinct().collect()]  # the few sources of one call
+    for source in sources:
+        remove(spark, catalog, source, inits.filter(F.col("source") == source))
     write_product(product, root)
     built = read_product(spark, root).join(due, INIT, "left_semi")
-    rows = products_of(definitions(built), signatures)
-    for r in rows.select("source").distinct().collect():  # the few sources that were built
-        upsert(spark, catalog, rows, r["source"])
+    rows = kept(products_of(definitions(built), signatures))
+    for source in sources:
+        upsert(spark, catalog, rows, source, inits)

@@ -7,6 +7,7 @@ e event probabilities, c catalog.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import naming, scalars
 from ..operators import archive, catalog, fields, probability, readiness, tiles
+from ..sources import catalog_store, tile_store
+from ..sources.shared import shared_folder
+from . import publication
 from .fixtures import duck, view
 from .pipeline import build_product
 
@@ -413,6 +417,85 @@ def j11_catalog_diff(spark, d):
     return catalog.catalog_diff(before.filter("signature IS NOT NULL"), now.filter("signature IS NOT NULL"))
 
 
+# --- stored runs: written, read back, reconciled -----------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/query-{uuid.uuid4().hex}"
+
+
+@query(_on_product("SELECT source, init_date, cycle, variable, step_hours, valid_time, latitude, longitude, value FROM product WHERE variable IN ('u10', 'u100m') AND latitude BETWEEN 20 AND 45 AND longitude BETWEEN 70 AND 140"), "fx_raw")
+def s05_stored_region(spark, d):
+    """The region series from a product stored by tile; its cells are sparse, so tiles may be empty."""
+    root = _folder(spark)
+    tile_store.write_runs(_product(spark, d), root, tile_store.Sizes(3, 8), verify=False)
+    found = tile_store.read_region(spark, root, ["u10", "u100m"], 20.0, 45.0, 70.0, 140.0)
+    return found.select(*fields.INIT, "variable", "step_hours", "valid_time", "latitude", "longitude", "value")
+
+
+def _tile_sql(size: str, axis: str, tile: str) -> str:
+    """(init, axis, tile) of the points that each run of the product has."""
+    return f"{tile} AS (SELECT source, init_date, cycle, {axis}, CAST((row_number() OVER (PARTITION BY source, init_date, cycle ORDER BY {axis}) - 1) // {size} AS INT) AS {tile} FROM (SELECT DISTINCT source, init_date, cycle, {axis} FROM product WHERE {axis} IS NOT NULL))"
+
+
+_INDEX_SQL = (
+    ", " + ", ".join((_tile_sql("5", "latitude", "tile_latitude"), _tile_sql("13", "longitude", "tile_longitude"), _tile_sql("4", "step_hours", "tile_step"), _tile_sql("1", "pressure_level", "tile_level")))
+    + """, held AS (SELECT DISTINCT source, init_date, cycle, variable, pressure_level IS NOT NULL AS levelled FROM product WHERE value IS NOT NULL),
+    expected AS (SELECT * FROM held NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_step FROM tile_step) NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_latitude FROM tile_latitude)
+      NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_longitude FROM tile_longitude)
+      NATURAL JOIN (SELECT source, init_date, cycle, true AS levelled, tile_level FROM tile_level UNION ALL SELECT DISTINCT source, init_date, cycle, false, NULL::INT FROM product)),
+    present AS (SELECT DISTINCT source, init_date, cycle, variable, tile_step, tile_level, tile_latitude, tile_longitude FROM product JOIN tile_step USING (source, init_date, cycle, step_hours) JOIN tile_latitude USING (source, init_date, cycle, latitude)
+      JOIN tile_longitude USING (source, init_date, cycle, longitude) LEFT JOIN tile_level USING (source, init_date, cycle, pressure_level) WHERE value IS NOT NULL),
+    lost AS (SELECT source, init_date, cycle, variable, tile_step, tile_level, tile_latitude, tile_longitude FROM expected EXCEPT SELECT * FROM present) """
+)
+_SIZES = tile_store.Sizes(5, 13, 4, 1)
+
+
+@query(_on_product(_INDEX_SQL + "SELECT * FROM lost"), "fx_raw")
+def a09_missing_tiles(spark, d):
+    """The tiles that runs declare and lack, over all four chunked axes."""
+    product = _product(spark, d)
+    meta = tile_store.declaration(product, _SIZES)
+    return tiles.missing_tiles(tile_store._with_tiles(product, meta), tile_store.index_of(meta, _SIZES))
+
+
+@query(
+    _on_product(
+        _INDEX_SQL.replace("// 5 AS", "// 9 AS").replace("// 13 AS", "// 25 AS")
+        + """, whole AS (SELECT * FROM product ANTI JOIN lost USING (source, init_date, cycle))
+    SELECT DISTINCT source, CAST(init_date AS TIMESTAMP) + to_hours(cycle) AS init, variable || CASE WHEN pressure_level IS NULL THEN '' ELSE '_' || CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS name, variable AS base FROM whole WHERE value IS NOT NULL"""
+    ),
+    "fx_raw",
+)
+def c02_published(spark, d):
+    """What the catalog holds once all runs are written and read back: those without a missing tile."""
+    root, store = _folder(spark), _folder(spark)
+    product = _product(spark, d)
+    publication.publish_runs(product, product.select(*fields.INIT), root, store, tile_store.Sizes(9, 25, 4, 1))
+    entries = catalog_store.read_catalog(spark, store)
+    return entries.select("source", "init", F.explode("definitions").alias("d")).select("source", "init", "d.name", "d.base")
+
+
+@query(
+    """WITH members AS (SELECT DISTINCT source, CAST(init_date AS TIMESTAMP) + to_hours(cycle) AS init, 'v' || step_hours AS name FROM fx_step_files
+      WHERE CASE WHEN cycle = 18 THEN true WHEN day(init_date) % 5 = 0 THEN false WHEN cycle = 6 THEN step_hours = 0 ELSE true END)
+    SELECT source, name, min(init) AS first_init, max(init) AS last_init, count(*) AS n_inits FROM members GROUP BY ALL""",
+    "fx_step_files",
+)
+def c07_applied(spark, d):
+    """Coverage after a reconcile of a store that lost days, gained a cycle and had another rewritten since the last."""
+    root, store = _folder(spark), _folder(spark)
+    cell = [F.lit(None).cast("double").alias("pressure_level"), F.lit(0).alias("step_hours"), F.col("init_date").cast("timestamp_ntz").alias("valid_time"), F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude"), F.lit(1.0).alias("value")]
+    runs = view(spark, d, "fx_step_files").select("source", "init_date", "cycle", F.concat(F.lit("v"), "step_hours").alias("variable"), *cell).distinct()
+    tile_store.write_runs(runs.filter("cycle <> 18"), root)
+    publication.apply_reconcile(spark, root, store, apply=True, min_age_seconds=0)
+    tile_store.drop_runs(spark, root, runs.filter("day(init_date) % 5 = 0"))
+    tile_store.write_runs(runs.filter("cycle = 18 OR cycle = 6 AND variable = 'v0' AND day(init_date) % 5 <> 0"), root)
+    tile_store.drop_runs(spark, root, runs.filter("cycle = 6").join(runs.filter("variable = 'v0'"), fields.INIT, "left_anti"))
+    publication.apply_reconcile(spark, root, store, apply=True, min_age_seconds=0)
+    return catalog_store.read_coverage(spark, store).select("source", "name", "first_init", "last_init", "n_inits")
+
+
 # --- aggregations ------------------------------------------------------------
 
 
@@ -441,6 +524,14 @@ def a04_coverage(spark, d):
     return catalog.coverage(_members(spark, d))
 
 
+@query(_on_product(_MEMBERS_SQL + "SELECT source, name, min(init) AS first_init, max(init) AS last_init, count(DISTINCT init) AS n_inits FROM members WHERE year(init) <> 1995 AND year(init) <> 1992 GROUP BY ALL"), "fx_raw")
+def c02_coverage_update(spark, d):
+    """Coverage from which the runs of two years are retracted."""
+    members = _members(spark, d)
+    gone = F.year("init").isin(1992, 1995)
+    return catalog.updated_coverage(catalog.coverage(members), members.filter(~gone), members.filter(gone))
+
+
 @query(_on_product(_MEMBERS_SQL + "SELECT * FROM state"), "fx_raw")
 def a05_catalog_state(spark, d):
     return catalog.catalog_state(_members(spark, d))

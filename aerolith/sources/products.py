@@ -41,12 +41,13 @@ def without_nan(records: DataFrame) -> DataFrame:
 def write_product(product: DataFrame, root: str, codec: str = "zstd", level: int = 3) -> None:
     """Replace exactly the runs that ``product`` holds; other runs below root are not touched.
 
-    Rows are sorted so that a region read of a variable meets few row groups.
+    Rows are sorted so that a region read of a variable meets few row groups;
+    a task gets a band of a level, never a variable of a run whole.
     A product without extra_level has none.
     """
     product = product if "extra_level" in product.columns else product.withColumn("extra_level", F.lit(None).cast("double"))
     ready = product.select(*(f"`{f.split()[0]}`" for f in PRODUCT.replace("\n", " ").split(",")))
-    dealt = ready.repartition(*PARTITIONS, "variable").sortWithinPartitions(*PARTITIONS, "variable", "pressure_level", "latitude", "longitude", "step_hours")
+    dealt = ready.repartition(*PARTITIONS, "variable", "pressure_level", F.floor(F.col("latitude") / 4)).sortWithinPartitions(*PARTITIONS, "variable", "pressure_level", "latitude", "longitude", "step_hours")
     writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "uncompressed" if codec == "none" else codec)
     if codec == "zstd":
         writer = writer.option("parquet.compression.codec.zstd.level", str(level))

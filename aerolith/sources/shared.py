@@ -4,15 +4,37 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder of spark.checkpoint.dir, which all executors share; on one local machine a temporary folder does."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which the driver and all executors share; on one local machine a temporary folder does."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
         if not named and context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="aerolith-"))
+    return context.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _place(spark, path)
+    return store.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Whether there was something to delete."""
+    place, store = _place(spark, path)
+    return store.delete(place, True)
