@@ -439,7 +439,7 @@ def _tile_sql(size: str, axis: str, tile: str) -> str:
 
 
 _INDEX_SQL = (
-    ", " + ", ".join((_tile_sql("5", "latitude", "tile_latitude"), _tile_sql("13", "longitude", "tile_longitude"), _tile_sql("4", "step_hours", "tile_step"), _tile_sql("1", "pressure_level", "tile_level")))
+    ", " + ", ".join((_tile_sql("3", "latitude", "tile_latitude"), _tile_sql("13", "longitude", "tile_longitude"), _tile_sql("2", "step_hours", "tile_step"), _tile_sql("1", "pressure_level", "tile_level")))
     + """, held AS (SELECT DISTINCT source, init_date, cycle, variable, pressure_level IS NOT NULL AS levelled FROM product WHERE value IS NOT NULL),
     expected AS (SELECT * FROM held NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_step FROM tile_step) NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_latitude FROM tile_latitude)
       NATURAL JOIN (SELECT DISTINCT source, init_date, cycle, tile_longitude FROM tile_longitude)
@@ -448,7 +448,7 @@ _INDEX_SQL = (
       JOIN tile_longitude USING (source, init_date, cycle, longitude) LEFT JOIN tile_level USING (source, init_date, cycle, pressure_level) WHERE value IS NOT NULL),
     lost AS (SELECT source, init_date, cycle, variable, tile_step, tile_level, tile_latitude, tile_longitude FROM expected EXCEPT SELECT * FROM present) """
 )
-_SIZES = tile_store.Sizes(5, 13, 4, 1)
+_SIZES = tile_store.Sizes(3, 13, 2, 1)
 
 
 @query(_on_product(_INDEX_SQL + "SELECT * FROM lost"), "fx_raw")
@@ -461,7 +461,7 @@ def a09_missing_tiles(spark, d):
 
 @query(
     _on_product(
-        _INDEX_SQL.replace("// 5 AS", "// 9 AS").replace("// 13 AS", "// 25 AS")
+        _INDEX_SQL
         + """, whole AS (SELECT * FROM product ANTI JOIN lost USING (source, init_date, cycle))
     SELECT DISTINCT source, CAST(init_date AS TIMESTAMP) + to_hours(cycle) AS init, variable || CASE WHEN pressure_level IS NULL THEN '' ELSE '_' || CAST(CAST(pressure_level AS INT) AS VARCHAR) END AS name, variable AS base FROM whole WHERE value IS NOT NULL"""
     ),
@@ -471,7 +471,7 @@ def c02_published(spark, d):
     """What the catalog holds once all runs are written and read back: those without a missing tile."""
     root, store = _folder(spark), _folder(spark)
     product = _product(spark, d)
-    publication.publish_runs(product, product.select(*fields.INIT), root, store, tile_store.Sizes(9, 25, 4, 1))
+    publication.publish_runs(product, product.select(*fields.INIT), root, store, _SIZES)
     entries = catalog_store.read_catalog(spark, store)
     return entries.select("source", "init", F.explode("definitions").alias("d")).select("source", "init", "d.name", "d.base")
 
