@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +93,28 @@ def grid_violations(product: DataFrame, variables: list[str], declared: int, til
     return tiles.unionByName(names).unionByName(axes[0]).unionByName(axes[1])
 
 
+def gate(planned: DataFrame, manifests: DataFrame, outputs: DataFrame, listed: DataFrame, actual: DataFrame, bundles: DataFrame, product: DataFrame, expected: DataFrame, receipts: DataFrame, hot: DataFrame, cold: DataFrame, variables: list[str], declared: int, tile: int, spacing: float) -> DataFrame:
+    """All violations (VIOLATION) of the runs ``planned`` by the five gates: runs, raw files and bundles, products, grids, copies.
+
+    hot and cold: INIT, path, h of the originals and their copies; a run without
+    originals is a violation.
+    """
+    keyed = lambda f: f.withColumn("path", F.to_json(F.struct(*INIT, "path"))).select("path", "h")  # noqa: E731  one key of run and path
+    key = F.from_json("path", "source string, init_date date, cycle int, path string")
+    copies = tree_diff(keyed(hot), keyed(cold)).filter("state <> 'same'").select(key.alias("k"), "state").select("k.*", "state")
+    empty = planned.join(hot.select(*INIT).distinct(), INIT, "left_anti")
+    parts = [
+        run_violations(manifests, planned, outputs),
+        raw_violations(listed, actual),
+        bundle_violations(manifests, bundles),
+        product_violations(product, expected, receipts),
+        grid_violations(product, variables, declared, tile, spacing),
+        _rows(copies, F.concat(F.lit("copy "), F.col("state")), F.col("path")),
+        _rows(empty, "copy empty original", ""),
+    ]
+    return reduce(DataFrame.unionByName, parts).join(planned.select(*INIT).distinct(), INIT, "left_semi")
+
+
 def verify_days(violations: DataFrame, planned: DataFrame) -> DataFrame:
     """A row a planned (source, init_date): how many violations it has, and whether it passes."""
     days = planned.select("source", "init_date").distinct()

@@ -50,6 +50,29 @@ def slabs(cells: DataFrame) -> DataFrame:
     return found.select(*CUBE, "step_hours", "best", F.max("east").over(Window.partitionBy(*CUBE)).alias("east_most"))
 
 
+def header_slabs(headers: DataFrame) -> DataFrame:
+    """``slabs`` from headers (CUBE, step_hours, file_step_hours, east), a row a message: no cells are needed."""
+    found = headers.groupBy(*CUBE, "step_hours").agg(F.max("file_step_hours").alias("best"), F.max("east").alias("east"))
+    return found.select(*CUBE, "step_hours", "best", F.max("east").over(Window.partitionBy(*CUBE)).alias("east_most"))
+
+
+def needed_messages(headers: DataFrame, west: float, east: float, south: float, north: float) -> DataFrame:
+    """Of headers (path, msg_no, CUBE, step_hours, file_step_hours, west, east, south, north) those whose cells a product of the box can need.
+
+    These are the messages of the latest pass of each step that meet the box;
+    files that only hold earlier passes, or nothing of the box, have none.
+    """
+    check_box(west, east, south, north)
+    best = header_slabs(headers)
+    joined = headers.join(best, [headers[c].eqNullSafe(best[c]) for c in [*CUBE, "step_hours"]]).select(headers["*"], "best", "east_most").filter(F.col("file_step_hours").eqNullSafe(F.col("best")))
+    # A cube that goes beyond 180 is wrapped: what lies east of it comes from the west, and a message across it meets any box.
+    wrapped = F.col("east_most") > 180
+    low = F.when(wrapped, F.when(F.col("west") > 180, F.col("west") - 360).when(F.col("east") > 180, F.lit(-180.0)).otherwise(F.col("west"))).otherwise(F.col("west"))
+    high = F.when(wrapped, F.when(F.col("west") > 180, F.col("east") - 360).when(F.col("east") > 180, F.lit(180.0)).otherwise(F.col("east"))).otherwise(F.col("east"))
+    meets = (low <= east) & (high >= west) & (F.col("south") <= north) & (F.col("north") >= south)
+    return joined.filter(meets).select(*headers.columns)
+
+
 def latest_in_box(cells: DataFrame, headers: DataFrame, west: float, east: float, south: float, north: float) -> DataFrame:
     """``crop`` and ``authoritative`` in one pass over the cells, which meet the small table of their ``slabs`` once.
 
@@ -259,4 +282,4 @@ def _around(inside: DataFrame, aims: DataFrame, bucket: float) -> DataFrame:
 
 def regrid(cells: DataFrame, remap: DataFrame) -> DataFrame:
     """Values of cells by id, moved to the targets that each is nearest to; all other columns stay."""
-    return cells.join(remap.select("cell_id", F.col("tlat").alias("latitude"), F.col("tlon").alias("longitude")), "cell_id").drop("cell_id")
+    return cells.drop("latitude", "longitude").join(remap.select("cell_id", F.col("tlat").alias("latitude"), F.col("tlon").alias("longitude")), "cell_id").drop("cell_id")

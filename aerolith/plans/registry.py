@@ -20,6 +20,7 @@ from ..sources.shared import shared_folder
 from . import publication
 from .fixtures import duck, view
 from .pipeline import build_product
+from .sources import Source, Sources, boxed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -496,6 +497,27 @@ def c07_applied(spark, d):
     return catalog_store.read_coverage(spark, store).select("source", "name", "first_init", "last_init", "n_inits")
 
 
+@query(
+    _on_product("SELECT source, init_date, cycle, variable, pressure_level, extra_level, step_hours, latitude, longitude, value FROM product").replace("AS slab FROM moved)", "AS slab FROM moved WHERE source <> 'graphcast' OR longitude BETWEEN 70 AND 140)"),
+    "fx_raw",
+)
+def j01_by_source(spark, d):
+    """Each source with hooks of its own in one plan: one comes in a box of its own."""
+    known = Sources(boxed("graphcast", 70.0, 140.0, 15.0, 55.0), *(Source(s) for s in ("aifs-single", "dwd-icon", "gfs-0p25", "ifs-hres")))
+    built = known.build(_raw(spark, d), -180.0, 180.0, 15.0, 55.0)
+    return built.select(*fields.INIT, "variable", "pressure_level", "extra_level", "step_hours", "latitude", "longitude", "value")
+
+
+@query(_on_product("SELECT source, init_date, cycle, variable, pressure_level, extra_level, step_hours, latitude, longitude, value, n_values, valid_time FROM product"), "fx_raw")
+def j01_from_headers(spark, d):
+    """The product of those messages only that the headers, a row each, tell to be needed."""
+    raw = _raw(spark, d)
+    headers = raw.select(*fields.CUBE, "step_hours", "file_step_hours", "msg_no", F.lit("").alias("path"), F.col("longitude").alias("west"), F.col("longitude").alias("east"), F.col("latitude").alias("south"), F.col("latitude").alias("north"))
+    wanted = fields.needed_messages(headers, -180.0, 180.0, 15.0, 55.0).select(*fields.CUBE, "step_hours", "file_step_hours", "msg_no").distinct()
+    cells = raw.join(wanted, [raw[c].eqNullSafe(wanted[c]) for c in wanted.columns], "left_semi")
+    return build_product(cells, -180.0, 180.0, 15.0, 55.0, headers=fields.header_slabs(headers))
+
+
 # --- aggregations ------------------------------------------------------------
 
 
@@ -831,3 +853,52 @@ def e07_verify_days(spark, d):
     manifests = _manifests(spark, d)
     planned = manifests.select("source").distinct().crossJoin(manifests.select("init_date").distinct()).select("source", "init_date", F.explode(F.array(*map(F.lit, (0, 6, 12, 18)))).alias("cycle"))
     return archive.verify_days(archive.run_violations(manifests, planned, view(spark, d, "fx_outputs")), planned)
+
+
+_GATE_SQL = (
+    "WITH "
+    + _CATALOG_SQL
+    + """, days AS (SELECT DISTINCT source, init_date, 0 AS cycle, month(init_date) AS m FROM fx_prob),
+    cells AS (SELECT source, init_date, variable, step_hours, value, msg_no % 4 AS latitude, msg_no // 4 % 4 AS longitude FROM fx_prob),
+    have AS (SELECT DISTINCT source, init_date, variable, step_hours FROM fx_prob WHERE value IS NOT NULL),
+    tiled AS (SELECT source, init_date, variable, count(DISTINCT (CASE WHEN value IS NOT NULL THEN 4 * y + x END)) AS k FROM (SELECT c.*,
+        (SELECT count(DISTINCT b.latitude) FROM cells b WHERE b.init_date = c.init_date AND b.latitude < c.latitude) // 2 AS y, (SELECT count(DISTINCT b.longitude) FROM cells b WHERE b.init_date = c.init_date AND b.longitude < c.longitude) // 2 AS x FROM cells c) GROUP BY ALL),
+    wrong AS (
+      SELECT init_date, CASE m WHEN 1 THEN 'missing cycle' WHEN 2 THEN 'not_ready' WHEN 3 THEN 'incomplete product' WHEN 4 THEN 'product older than manifest' WHEN 5 THEN 'raw hash' WHEN 6 THEN 'raw absent' WHEN 7 THEN 'raw unfinished' WHEN 8 THEN 'bundle index hash' WHEN 10 THEN 'copy changed' WHEN 11 THEN 'copy only_hot' END AS "check" FROM days WHERE m NOT IN (9, 12)
+      UNION ALL SELECT init_date, 'product missing window' FROM (SELECT d.source, init_date, variable, step_hours FROM days d, catalog EXCEPT SELECT * FROM have)
+      UNION ALL SELECT init_date, 'product unexpected window' FROM (SELECT * FROM have EXCEPT SELECT d.source, init_date, variable, step_hours FROM days d, catalog)
+      UNION ALL SELECT init_date, 'product out of range' FROM (SELECT DISTINCT init_date, variable FROM fx_prob WHERE value < 0 OR value > 100)
+      UNION ALL SELECT init_date, 'receipt' FROM (SELECT DISTINCT init_date, variable FROM catalog, days WHERE m = 9)
+      UNION ALL SELECT init_date, 'tiles' FROM tiled WHERE k < 4
+      UNION ALL SELECT init_date, 'axis' FROM (SELECT init_date, 'y' AS a, latitude AS v FROM cells UNION SELECT init_date, 'x', longitude FROM cells) GROUP BY init_date, a HAVING count(*) < 2 OR count(*) <> max(v) - min(v) + 1)
+    SELECT source, init_date, cycle, coalesce("check", 'passes') AS "check", count("check") AS n FROM days LEFT JOIN wrong USING (init_date) GROUP BY ALL"""
+)
+
+
+@query(_GATE_SQL, "fx_prob")
+def e07_archive_gate(spark, d):
+    """All gates over the days of a source, with one thing wrong in most months; days without a violation pass."""
+    month = F.month("init_date")
+    prob = view(spark, d, "fx_prob").withColumns({"cycle": F.lit(0), "latitude": F.col("msg_no") % 4, "longitude": F.floor(F.col("msg_no") / 4) % 4, "pressure_level": F.lit(None).cast("double")})
+    planned = prob.select(*readiness.INIT).distinct()
+    at = F.col("init_date").cast("timestamp")
+    index = F.when(month == 8, F.lit("changed")).otherwise(F.lit("i"))
+    bundle = lambda b: F.struct(F.lit(b).alias("bundle"), F.lit("available").alias("status"), F.lit(1).alias("selected_records"), F.lit("i").alias("index_sha256"), F.array(F.array(F.lit("e"))).alias("available_events"))
+    manifests = planned.filter(month != 1).select(
+        *readiness.INIT, F.lit(2).alias("n_files"), F.when(month == 2, 1).otherwise(0).alias("n_failures"), F.lit(None).cast("string").alias("contract_status"), at.alias("completed_at"), at.alias("manifest_time"), F.struct(F.array(bundle(240), bundle(360)).alias("bundles")).alias("probability_availability")
+    )
+    outputs = planned.select(*readiness.INIT, F.when(month == 3, 0).otherwise(1).alias("complete"), (at + F.when(month == 4, F.expr("INTERVAL '-1' DAY")).otherwise(F.expr("INTERVAL '1' DAY"))).alias("marker_time"))
+    raw = lambda names: planned.withColumn("path", F.explode(names)).withColumns({"size_bytes": F.lit(1).cast("long"), "h": F.lit("a")})
+    both = F.array(F.lit("f240"), F.lit("f360"))
+    actual = raw(F.when(month == 6, F.array(F.lit("f240"))).when(month == 7, F.concat(both, F.array(F.lit("f999.part")))).otherwise(both))
+    actual = actual.withColumn("h", F.when((month == 5) & (F.col("path") == "f240"), "b").otherwise(F.col("h")))
+    bundles = planned.withColumn("bundle", F.explode(F.array(F.lit(240), F.lit(360)))).withColumn("index_sha256", F.when(F.col("bundle") == 360, F.lit("i")).otherwise(index))
+    expected = _catalog(spark)
+    receipts = probability.receipt(prob, expected, readiness.INIT).select(*readiness.INIT, "variable", (F.col("n_actual") + (month == 9).cast("int")).alias("n_actual"))
+    hot = raw(both).select(*readiness.INIT, "path", "h")
+    cold = hot.filter((month != 11) | (F.col("path") != "f240")).withColumn("h", F.when((month == 10) & (F.col("path") == "f360"), "b").otherwise(F.col("h")))
+    declared = list(probability.IFS)
+    found = archive.gate(planned, manifests, outputs, raw(both), actual, bundles, prob, expected, receipts, hot, cold, declared, 4, 2, 1.0)
+    counted = found.groupBy(*readiness.INIT, "check").agg(F.count("*").alias("n"))
+    passes = planned.join(found, readiness.INIT, "left_anti").select(*readiness.INIT, F.lit("passes").alias("check"), F.lit(0).cast("long").alias("n"))
+    return counted.unionByName(passes)

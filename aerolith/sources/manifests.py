@@ -28,7 +28,7 @@ def shaped(raw: DataFrame) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, root: str, source: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(manifests, rejected) below root, or below one source's folder; a missing folder has none."""
+    """(manifests, rejected) below root, or below one source's folder, by path; a missing folder has none."""
     path = f"{root}/{source}" if source else root
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
@@ -37,7 +37,7 @@ def read_manifests(spark: SparkSession, root: str, source: str | None = None) ->
         return shaped(empty), shaped(empty)
     raw = spark.read.schema(MANIFEST).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.manifest.json").json(path)
     known = F.col("schema_version").eqNullSafe(F.lit(1))
-    return shaped(raw.filter(known)), shaped(raw.filter(~known))
+    return shaped(raw.filter(known)).orderBy("manifest_path"), shaped(raw.filter(~known)).orderBy("manifest_path")
 
 
 def manifest_files(manifests: DataFrame) -> DataFrame:
@@ -47,6 +47,63 @@ def manifest_files(manifests: DataFrame) -> DataFrame:
     return out.withColumn("records_selected", F.coalesce("records_selected", F.lit(0)))
 
 
+# How raw files of a run are named below a root, as (day, cycle, step); sources without a form of their own have the first.
+RAW_NAMES = {
+    "": r"^[^/]+/(\d{8})/(\d{2})z/f(\d{3})\.subset\.grib2$",
+}
+
+
+def grammars(spark: SparkSession, more: dict[str, str] | None = None) -> DataFrame:
+    """(grammar_source, pattern): the forms of raw names, those of ``more`` (source to pattern with groups day, cycle, step) besides or instead."""
+    return spark.createDataFrame(sorted((RAW_NAMES | (more or {})).items()), "grammar_source string, pattern string")
+
+
+def named_files(listing: DataFrame, forms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files, rejected) of a storage listing (path, size_bytes) by the grammar of each path's source, its first folder.
+
+    files: source, init_date, cycle, step_hours, path, size_bytes. A name that is
+    of no form, or tells no day, is rejected, as are unfinished files.
+    """
+    of = listing.select("path", "size_bytes", F.element_at(F.split("path", "/"), 1).alias("source"))
+    own = forms.filter("grammar_source <> ''")
+    known = of.join(F.broadcast(own), F.col("source") == F.col("grammar_source"), "left")  # a row a source
+    common = forms.filter("grammar_source = ''").select(F.col("pattern").alias("common"))
+    known = known.join(F.broadcast(common), F.col("pattern").isNull(), "left").withColumn("form", F.coalesce("pattern", "common"))  # one row
+    piece = lambda k: F.expr(f"regexp_extract(path, coalesce(form, '$.'), {k})")
+    read = known.withColumns({"day": F.try_to_date(piece(1), "yyyyMMdd"), "hour": piece(2).try_cast("int"), "step": piece(3).try_cast("int")})
+    whole = F.col("day").isNotNull() & F.col("hour").between(0, 23) & F.col("step").isNotNull()
+    files = read.filter(whole).select("source", F.col("day").alias("init_date"), F.col("hour").alias("cycle"), F.col("step").alias("step_hours"), "path", "size_bytes")
+    return files, read.filter(~F.coalesce(whole, F.lit(False))).select("path", "size_bytes")
+
+
+def manifest_name() -> Column:
+    """Where the manifest of a run stands below the root of its files."""
+    day, hour = F.date_format("init_date", "yyyyMMdd"), F.lpad(F.col("cycle").cast("string"), 2, "0")
+    return F.concat_ws("/", "source", day, F.concat(hour, F.lit("z")), F.concat(day, F.lit("_"), hour, F.lit("z_"), "source", F.lit(".manifest.json")))
+
+
+def write_manifests(made: DataFrame, root: str) -> int:
+    """One JSON file a run of ``build_manifests`` below root, written by the tasks; how many there are.
+
+    A task that runs again writes the same files again, each complete or not there under its name.
+    """
+
+    def run(frames):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        for frame in frames:
+            for name, text in zip(frame["name"], frame["manifest"], strict=True):
+                path = f"{base.rstrip('/')}/{name}"
+                store.create_dir(path.rsplit("/", 1)[0])
+                with store.open_output_stream(f"{path}.part") as out:
+                    out.write(text.encode())
+                store.move(f"{path}.part", path)
+            yield frame[["name"]]
+
+    return made.select(manifest_name().alias("name"), "manifest").mapInPandas(run, "name string").count()
+
+
 def build_manifests(listing: DataFrame, existing: DataFrame, first: Column, last: Column, cycles: tuple[int, ...] = (0, 6, 12, 18)) -> DataFrame:
     """Manifests, as JSON text, for inits of a range of days (both ends, every day) that have files and no manifest.
 

@@ -33,6 +33,42 @@ def load_fields(spark: SparkSession, path: str, decoder: Callable[[str, bytes],
     return without_nan(spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema))
 
 
+def load_headers(spark: SparkSession, path: str, decoder: Callable[[str, bytes], pd.DataFrame], schema: str) -> DataFrame:
+    """A row a message: what ``decoder(path, content)`` finds in the headers of a file, with the file's path. No field is decoded.
+
+    ``schema`` names path, msg_no and whatever tells messages apart.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                yield decoder(name, content)
+
+    return without_nan(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content").mapInPandas(run, schema))
+
+
+def load_messages(wanted: DataFrame, decoder: Callable[[str, bytes, list[int]], pd.DataFrame], schema: str) -> DataFrame:
+    """The cells of the messages ``wanted`` (path, msg_no), as ``decoder(path, content, numbers)`` gives them.
+
+    Files without a wanted message are not opened, other messages not decoded.
+    The paths of the files, not their messages, pass through the driver, as they
+    do when a folder is listed.
+    """
+    spark = wanted.sparkSession
+    numbers = wanted.groupBy("path").agg(F.sort_array(F.collect_set("msg_no")).alias("numbers"))  # the messages of one file
+    paths = [r["path"] for r in numbers.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content, of in zip(frame["path"], frame["content"], frame["numbers"], strict=True):
+                yield decoder(name, content, list(of))
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return without_nan(files.join(F.broadcast(numbers), "path").mapInPandas(run, schema))  # a row a file
+
+
 def without_nan(records: DataFrame) -> DataFrame:
     """records with null for NaN, which decoders use for what is missing."""
     return records.withColumns({c: missing_as_null(F.col(c)) for c, kind in records.dtypes if kind in ("double", "float")})
@@ -60,7 +96,7 @@ def read_product(spark: SparkSession, root: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, size_bytes, modified) of the files below root; contents are not read."""
+    """(path, size_bytes, modified) of the files below root; contents are not read, and empty files have no row."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select(_below(root), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
