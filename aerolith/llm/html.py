@@ -8,8 +8,10 @@ indented by depth, the cells of tables aligned in columns, preformatted text as
 it stands. Hidden is what ``display: none``, ``hidden`` or its element hides;
 ``visibility`` goes down the tree until an element sets it anew; of ``details``
 that are not open the summary shows, of a ``dialog`` that is not open nothing.
-Cells that span columns or rows keep their columns. Cells wider than ``WIDEST``
-do not widen a column, so that lines stay in proportion to the page.
+Cells that span columns or rows keep their columns. A text's length follows its
+page's: cells wider than ``WIDEST`` do not widen a column, a cell that stands
+more than ``GAP`` blanks behind the one before has the number of its column in
+place of blanks, and items deeper than ``DEEP`` have that of their depth.
 
 Defined cases: a null or empty page gives an empty text; markup that does not
 close, end tags without a start and unknown tags are read as browsers do in
@@ -23,7 +25,7 @@ from __future__ import annotations
 import html as entities
 import re
 import unicodedata
-from bisect import bisect
+from bisect import bisect, bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .storage import table
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)                                            # comment
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))                                  # comment, also one that ends where it begins or with a mark
       | <[!?][^>]*(?:>|\Z)                                           # declaration
       | <(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)
         (?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))       # tag, also with a quote that stays open
@@ -68,16 +70,16 @@ IMPLIED_END = {
 _NO_BOX = re.compile(r"display\s*:\s*none", re.I)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _CELLS, _PARTS = frozenset({"td", "th"}), frozenset("table tr td th thead tbody tfoot body html".split())
-#: The widest cell that widens its column.
-WIDEST = 100
+#: The widest cell that widens its column, the most blanks between cells, and the most levels of a list that are shown by blanks.
+WIDEST, GAP, DEEP = 100, 200, 24
 
 
 class Node:
-    """An element: ``seen`` is its own visibility, None where it takes that of its parent; ``spans`` are columns and rows of a cell."""
+    """An element: ``seen`` is its own visibility, None where it takes that of its parent; ``spans`` are columns and rows of a cell; ``start`` is a list's first number, an item's own number, if it has one, and 0 for details that are closed."""
 
     __slots__ = ("tag", "hidden", "start", "children", "seen", "spans")
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1, seen: bool | None = None, spans: tuple[int, int] = (1, 1)):
+    def __init__(self, tag: str, hidden: bool = False, start: int | None = 1, seen: bool | None = None, spans: tuple[int, int] = (1, 1)):
         self.tag, self.hidden, self.start, self.children, self.seen, self.spans = tag, hidden, start, [], seen, spans
 
 
@@ -152,9 +154,10 @@ def parse(page: str) -> Node:
         closed = tag in ("details", "dialog") and "open" not in known
         hidden = tag in HIDDEN or foreign and tag in FOREIGN_HIDDEN or "hidden" in known or bool(_NO_BOX.search(style)) or closed and tag == "dialog"
         shown = _VISIBILITY.findall(style)
-        number = known.get("start", known.get("value", "1")) if tag in ("ol", "li") else "1"
+        number = known.get({"ol": "start", "li": "value"}.get(tag, ""), "").strip()
+        own = int(number) if re.fullmatch(r"[-+]?\d{1,9}", number, re.A) else None if tag == "li" else 1
         spans = (max(1, _number(known.get("colspan", "1"), 1000)), _number(known.get("rowspan", "1"), 65534)) if tag in _CELLS else (1, 1)
-        node = Node(tag, hidden, (0 if closed else 1) if tag == "details" else int(number) if re.fullmatch(r"-?\d{1,9}", number, re.A) else 1, shown[-1].lower() == "visible" if shown else None, spans)
+        node = Node(tag, hidden, (0 if closed else 1) if tag == "details" else own, shown[-1].lower() == "visible" if shown else None, spans)
         stack.nodes[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -257,20 +260,29 @@ def _width(s: str) -> int:
 
 def _placed(rows: list[list[tuple[str, int, int]]]) -> list[dict[int, tuple[list[str], int]]]:
     """For each row its cells, as lines and columns spanned, by first column; rows that cells reach into leave their columns free."""
-    out, taken = [], {}  # taken: by column, the rows for which a cell above still stands there, and to which column
-    for row in rows:
+    out: list[dict[int, tuple[list[str], int]]] = []
+    free: list[int] = []  # of the columns before ``limit`` those into which no cell from above reaches
+    limit, busy, ends = 0, defaultdict(int), defaultdict(list)
+    for r, row in enumerate(rows):
+        for column in ends.pop(r, ()):
+            busy[column] -= 1
+            if not busy[column]:
+                insort(free, column)
         at, placed = 0, {}
         for text, wide, high in row:
-            while at in taken:
-                at = taken[at][1]
+            k = bisect_left(free, at)
+            at = free[k] if k < len(free) else max(at, limit)
             placed[at] = (text.split("\n"), wide)
             if high != 1:
-                taken[at] = [high or len(rows), at + wide]
+                free.extend(range(limit, at + wide))
+                limit = max(limit, at + wide)
+                for column in range(at, at + wide):
+                    busy[column] += 1
+                    if busy[column] == 1:
+                        del free[bisect_left(free, column)]
+                    if high:
+                        ends[r + high].append(column)
             at += wide
-        for column in [c for c, x in taken.items() if x[0] <= 1]:
-            del taken[column]
-        for x in taken.values():
-            x[0] -= 1
         out.append(placed)
     return out
 
@@ -302,7 +314,7 @@ def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
                 if n < len(lines) and lines[n]:
                     # Where a cell before is wider than its columns, two blanks at least.
                     gap = max(edges[k] - end, 2 if parts else 0)
-                    parts.append(" " * gap + lines[n])
+                    parts.append((" " * gap if gap <= GAP else f"  [{k + 1}] ") + lines[n])
                     end += gap + _width(lines[n])
             out.append("".join(parts))
     return out
@@ -335,8 +347,11 @@ def render(root: Node) -> str:
             elif tag in ("ul", "ol", "menu"):
                 lists.append([tag == "ol", node.start, out.prefix])
             elif tag == "li":
+                if lists and node.start is not None:
+                    lists[-1][1] = node.start
                 numbered, number, _ = lists[-1] if lists else (False, 1, "")
-                out.prefix = "  " * (len(lists) - 1) + (f"{number}. " if numbered else "- ")
+                depth = len(lists) - 1
+                out.prefix = "  " * min(depth, DEEP) + (f"({depth + 1}) " if depth > DEEP else "") + (f"{number}. " if numbered else "- ")
                 if lists:
                     lists[-1][1] += 1
             elif tag == "table":
