@@ -6,7 +6,8 @@ day. Entries become validity intervals, from one addition to the next entry of
 the same rule, and every capture is held against the entries active on the day
 it was fetched. All of it is DataFrame operations.
 
-Defined cases: a null URL, or one without scheme and host, matches nothing; a
+Defined cases: blanks around a URL, escapes in its host and a dot at the host's end
+do not tell hosts apart; a null URL, or one without scheme and host, matches nothing; a
 capture without a fetch day meets no active entry; of entries of one rule on
 one day a removal counts last; repeated additions change nothing; captures that
 repeat keep their row each; an entry with a null value or day is void. The most
@@ -26,8 +27,20 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)"
 
 
+def _clean(url: Column) -> Column:
+    """url without the blanks and control characters around it, which browsers drop."""
+    return F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def host_of(url: Column) -> Column:
-    return F.lower(F.nullif(F.regexp_extract(url, HOST, 1), F.lit("")))
+    """The host in lower case, with escapes read and without the dot of the root at its end; null if there is none."""
+    host = F.regexp_extract(_clean(url), HOST, 1)
+    read = F.when(host.contains("%"), F.coalesce(F.try_url_decode(F.replace(host, F.lit("+"), F.lit("%2B"))), host)).otherwise(host)
+    return F.nullif(F.lower(F.regexp_replace(read, r"\.$", "")), F.lit(""))
+
+
+def path_of(url: Column) -> Column:
+    return F.regexp_extract(_clean(url), PATH, 1)
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -37,16 +50,35 @@ def intervals(entries: DataFrame) -> DataFrame:
     return daily.withColumn("valid_to", following).filter("removed = 0").select("kind", "value", F.col("at").alias("valid_from"), "valid_to")
 
 
-def _candidates(host: Column, path: Column) -> Column:
-    """The rules that could name a URL, one for each label of its host and each part of its path: (kind, value, rank), a higher rank being more specific."""
-    labels = F.split(host, r"\.")
-    count = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), count), lambda i: F.struct(F.lit("domain").alias("kind"), F.array_join(F.slice(labels, count - i + 1, i), ".").alias("value"), i.alias("rank")))
-    steps = F.filter(F.split(path, "/"), lambda s: s != "")
-    parts = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps))).otherwise(F.array().cast("array<int>"))
-    prefixes = F.transform(parts, lambda i: F.struct(F.lit("prefix").alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/")).alias("value"), (count + 1 + i).alias("rank")))
-    whole = F.array(F.struct(F.lit("host").alias("kind"), host.alias("value"), (count + 1).alias("rank")))
-    return F.concat(domains, whole, prefixes)
+def _rules(named: DataFrame, keys: list[str], depths: dict[str, list[int]] | None = None) -> DataFrame:
+    """The rules that could name each URL of ``named`` (keys, host, path): keys, kind, value, rank, a higher rank being more specific.
+
+    One row for each label of the host, one for the host, one for each part of
+    the path; with ``depths`` only of numbers of labels and parts that entries
+    have. Rows are made one by one, so a URL of very many parts is never held
+    once for each of them.
+    """
+    parted = named.select(*keys, "host", F.split("host", r"\.").alias("labels"), F.filter(F.split("path", "/"), lambda s: s != "").alias("steps"))
+
+    def numbers(kind: str, size: Column) -> Column:
+        all_ = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+        some = all_ if depths is None else F.array_intersect(all_, F.array(*map(F.lit, depths.get(kind, []))).cast("array<int>"))
+        return F.transform(some, lambda i: F.struct(F.lit(kind).alias("kind"), i.alias("n")))
+
+    whole = F.array(F.struct(F.lit("host").alias("kind"), F.lit(1).alias("n")))
+    each = parted.select(*keys, "host", "labels", "steps", F.explode(F.concat(numbers("domain", F.size("labels")), whole, numbers("prefix", F.size("steps")))).alias("c"))
+    n, count = F.col("c.n"), F.size("labels")
+    of = F.when(F.col("c.kind") == "domain", F.array_join(F.slice("labels", count - n + 1, n), ".")).when(F.col("c.kind") == "host", F.col("host"))
+    value = of.otherwise(F.concat("host", F.lit("/"), F.array_join(F.slice("steps", F.lit(1), n), "/")))
+    rank = F.when(F.col("c.kind") == "domain", n).when(F.col("c.kind") == "host", count + 1).otherwise(count + 1 + n)
+    return each.select(*keys, F.col("c.kind").alias("kind"), value.alias("value"), rank.alias("rank"))
+
+
+def entry_depths(entries: DataFrame) -> dict[str, list[int]]:
+    """How many labels domain entries have, and how many parts path entries: a few numbers."""
+    parts = F.when(F.col("kind") == "domain", F.size(F.split("value", r"\."))).when(F.col("kind") == "prefix", F.size(F.split("value", "/")) - 1)
+    found = entries.filter("kind IN ('domain', 'prefix')").select("kind", parts.alias("n")).filter("n IS NOT NULL").distinct().collect()
+    return {kind: sorted(r["n"] for r in found if r["kind"] == kind) for kind in ("domain", "prefix")}
 
 
 def as_of(captures: DataFrame, entries: DataFrame) -> DataFrame:
@@ -59,9 +91,8 @@ def as_of(captures: DataFrame, entries: DataFrame) -> DataFrame:
     captures = captures.select("page_id", "url", "fetched_on")
     pairs = captures.filter("url IS NOT NULL AND fetched_on IS NOT NULL").select("url", "fetched_on").distinct()
     named = pairs.withColumn("host", host_of(F.col("url"))).filter("host IS NOT NULL")
-    path = F.coalesce(F.nullif(F.regexp_extract("url", PATH, 1), F.lit("")), F.lit(""))
-    rules = named.select("url", "fetched_on", F.explode(_candidates(F.col("host"), path)).alias("c")).select("url", "fetched_on", "c.*").filter("value IS NOT NULL")
     valid = intervals(entries)
+    rules = _rules(named.withColumn("path", path_of(F.col("url"))), ["url", "fetched_on"], entry_depths(entries))
     active = (F.col("fetched_on") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to")))
     hits = rules.join(valid, ["kind", "value"]).filter(active)
     best = F.max(F.struct("rank", "kind", "value", "valid_from")).alias("best")
@@ -72,10 +103,8 @@ def as_of(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
 def dated_list(pages: DataFrame) -> DataFrame:
     """A dated list over the domains, hosts and path starts that pages have, drawn by a hash of each: added once, some removed later, some of these added again."""
-    host = host_of(F.col("url"))
-    path = F.coalesce(F.nullif(F.regexp_extract("url", PATH, 1), F.lit("")), F.lit(""))
-    rules = pages.filter("url IS NOT NULL").select(host.alias("host"), path.alias("path")).filter("host IS NOT NULL").select(F.explode(_candidates(F.col("host"), F.col("path"))).alias("c"))
-    rules = rules.select("c.kind", "c.value").filter("value IS NOT NULL").distinct()
+    named = pages.filter("url IS NOT NULL").select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).filter("host IS NOT NULL")
+    rules = _rules(named, []).select("kind", "value").distinct()
     drawn = rules.withColumn("v", F.conv(F.substring(F.md5(F.concat_ws(" ", "kind", "value").cast("binary")), 1, 6), 16, 10).cast("int")).filter("v % 7 = 0")
     first = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.floor(F.col("v") / 7), F.lit(600)).cast("int"))
     entries = F.array(
@@ -95,9 +124,9 @@ def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH captures AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 730 AS INTEGER) AS fetched_on,
-         lower(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)', 1), '')) AS host,
-         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)', 1), '/'), lambda s: s <> '') AS steps
-  FROM pages),
+         nullif(lower(regexp_replace(CASE WHEN contains(h, '%') THEN url_decode(replace(h, '+', '%2B')) ELSE h END, '\.$', '')), '') AS host,
+         list_filter(string_split(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*)', 1), '/'), lambda s: s <> '') AS steps
+  FROM (SELECT *, regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)', 1) AS h FROM (SELECT page_id, url, regexp_replace(url, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS u FROM pages))),
 rules AS (
   SELECT page_id, url, fetched_on, 'domain' AS kind, i AS rank, array_to_string(list_slice(string_split(host, '.'), -i, -1), '.') AS value
   FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM captures WHERE host IS NOT NULL)

@@ -373,3 +373,44 @@ def test_urls_meet_rules_of_any_depth_and_behind_users(spark):
     assert [r["rule"] for r in sorted(found, key=lambda r: r["page_id"])] == [deep, "h.example/1/2/3/4/5", "listed.example/a", "listed.example", None]
     drawn = urlfilter.dated_list(spark.createDataFrame([("https://h.example/" + "/".join(map(str, range(200))),)], "url string")).filter("kind = 'prefix'").collect()
     assert any(r["value"].count("/") > 3 for r in drawn)
+
+
+def test_urls_of_other_spellings_and_very_long_ones(spark):
+    day = datetime.date(2024, 1, 5)
+    long = "https://h.example/" + "/".join("p" * 8000)
+    urls = ["http://evil.com./x", "http://evil%2Ecom/", "  \thttp://evil.com/ ", "http://EVIL.com:80", "http://notevil.com/", "http://./", "http://a%zz.example/", long]
+    entries = [("domain", "evil.com", day, "add"), ("prefix", "h.example/p/p/p", day, "add")]
+    frame = spark.createDataFrame([(k, u, day) for k, u in enumerate(urls)], "page_id long, url string, fetched_on date")
+    listed = spark.createDataFrame(entries, "kind string, value string, at date, action string")
+    found = sorted((r["page_id"], r["host"], r["rule"]) for r in urlfilter.as_of(frame, listed).collect())
+    assert [x[2] for x in found] == ["evil.com"] * 4 + [None] * 3 + ["h.example/p/p/p"]
+    assert [x[1] for x in found] == ["evil.com"] * 4 + ["notevil.com", None, "a%zz.example", "h.example"]
+    assert urlfilter.entry_depths(listed) == {"domain": [2], "prefix": [3]}
+    assert urlfilter.as_of(frame, listed.limit(0)).filter("blocked").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<!-->x", "x"), ("a<!-- b --!>c", "ac"), ("a<!--->b", "ab"), ("a<!---->b", "ab"), ("a<!-- x -- y -->b", "ab"), ("a<!-- open", "a"),
+        ("<ol><li>a<li value=5>b<li>c</ol>", "1. a\n5. b\n6. c"), ("<ul><li value=5>a</ul>", "- a"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"), ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+        ("<table><tr><td>a<td rowspan=3>b<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i</table>", "a  b  c\nd     e\nf     g\nh  i"),
+    ],
+)
+def test_pages_that_browsers_read_alike(page, text):
+    assert html.visible_text(page) == text
+
+
+def test_text_and_time_follow_the_page():
+    """Ten times the page takes about ten times the text and time, whatever nests or spans."""
+    makers = [lambda n: "<ul><li>a" * n, lambda n: "<table>" + "<tr><td rowspan=0>a" * n + "</table>", lambda n: "<table><tr>" + "".join(f"<td rowspan={k + 1}>a" for k in range(n)) + "<tr><td>b" * n + "</table>", lambda n: "<div>" * n + "a" + "<p>b" * n]
+    for make in makers:
+        began = time.thread_time()
+        small, spent = len(html.visible_text(make(2000))), time.thread_time() - began
+        began = time.thread_time()
+        text = html.visible_text(make(20_000))
+        assert len(text) < 15 * small + 10_000 and time.thread_time() - began < 40 * spent + 1
+        assert text.count("a") in (1, 20_000)
+    deep = html.visible_text("<ul><li>a" * 30).split("\n")
+    assert deep[24] == " " * 48 + "- a" and deep[25] == " " * 48 + "(26) - a"
