@@ -3,9 +3,10 @@
 Documents are counted by exact length (words) in each source. A source takes
 all its documents as often as its target holds its whole size, then a part of
 them for what remains of the target: the same share of the documents of every
-length, rounded down, and for the budget still open a bounded-knapsack dynamic
-program over the lengths left. Which documents of a length are taken follows
-from a seeded hash of their ids.
+length, rounded along the lengths so that any band of them keeps the share, and
+for the budget still open, a few times the longest document at every size, a
+bounded-knapsack dynamic program over the lengths left. Which documents of a
+length are taken follows from a seeded hash of their ids.
 
 Defined cases: a null or empty text has size 0 and takes nothing; a null
 source is one source, ordered last; rows that repeat an id are rows of their
@@ -27,8 +28,8 @@ from .storage import cut, table
 from .textarrays import Words, slices, text_buffers
 
 WEIGHTS, SHARE, REPEATS, SEED = (5.0, 2.0, 1.0), 1.0, 3, 17
-#: Words of open budget that the dynamic program fits exactly; what is beyond it is taken from the longest documents on.
-PROGRAM_WORDS = 1 << 16
+#: The budget that shares leave to the dynamic program, in longest documents. Rounding is off by two of them at most, so it never takes too much.
+OPEN = 8
 #: Documents of one length in one source are dealt to so many hash parts before they are numbered.
 PARTS = 1024
 
@@ -67,38 +68,32 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: flo
     return capped.withColumn("level", level).select(*sources.columns, F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("level") * F.col("weight"))).alias("target"))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, program_words: int = PROGRAM_WORDS) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near below ``budget`` as the program finds."""
+def shared_out(counts: np.ndarray, words: int, total: int, seed: int = SEED) -> np.ndarray:
+    """The share words / total of the documents of every length, rounded so that the sum over the first lengths is off by less than one, whichever they are."""
+    start = int(np.random.default_rng(seed).integers(total)) if total else 0
+    upto = [0, *((words * n + start) // total for n in map(int, np.cumsum(counts)))]
+    return np.diff(np.array([start // total, *upto[1:]], np.int64))
+
+
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
+    """How many documents of each length (ascending) to take so that their words come as near below ``budget`` as the program finds."""
     total = int((lengths * counts).sum())
     if budget >= total:
         return counts.copy()
     take = np.zeros(len(lengths), np.int64)
     if budget <= 0 or not total:
         return take
-    take = np.array([int(c) * budget // total for c in counts], np.int64)
+    by_share = budget - OPEN * int(lengths.max())
+    if by_share > 0:
+        take = shared_out(counts, by_share, total, seed)
     left, open_ = counts - take, budget - int((lengths * take).sum())
-    # More than the program covers: one more of lengths in a seeded order, whose shares were rounded down.
-    for i in np.random.default_rng(SEED).permutation(len(lengths)):
-        if open_ <= program_words:
-            break
-        if left[i] and 0 < lengths[i] <= open_ - program_words // 2:
-            take[i] += 1
-            left[i] -= 1
-            open_ -= int(lengths[i])
-    for i in np.argsort(-lengths, kind="stable"):
-        if open_ <= program_words:
-            break
-        n = min(int(left[i]), max(0, open_ - program_words // 2) // int(lengths[i])) if lengths[i] else 0
-        take[i] += n
-        left[i] -= n
-        open_ -= n * int(lengths[i])
     # Lots of 1, 2, 4 ... documents of a length; ``made_by`` is the lot by which a sum was first made.
     bound = min(open_, int((lengths * left).sum()))
-    made_by = np.full(bound + 1, -1, np.int64)
+    made_by = np.full(bound + 1, -1, np.int32)
     reached = np.zeros(bound + 1, bool)
     reached[0] = True
     lots: list[tuple[int, int]] = []
-    for i in np.argsort(-lengths, kind="stable"):
+    for i in np.random.default_rng(seed).permutation(len(lengths)):
         more, lot = int(left[i]), 1
         while more and lengths[i] and not reached[bound]:
             n = min(lot, more)
