@@ -26,6 +26,8 @@ from .products import PRODUCT
 from .shared import delete, exists, kept
 
 FOLDERS = [*INIT, "variable", "tile_latitude"]
+#: Cells that the runs of a call can have, up to which they are dealt to all cores whatever their bytes: there opening folders takes the time.
+FEW_CELLS = 16_000_000
 META = "axis string, coordinate double, tile int, variable string, levels array<double>, attributes string, source string, init_date date, cycle int"
 #: Axis, column of a product, column of its tile.
 AXES = (("latitude", "latitude", "tile_latitude"), ("longitude", "longitude", "tile_longitude"), ("step", "step_hours", "tile_step"), ("level", "pressure_level", "tile_level"))
@@ -92,6 +94,15 @@ def index_of(meta: DataFrame, sizes: Sizes) -> DataFrame:
     return expected_tiles(shape, variables, sizes.latitude, sizes.longitude, sizes.step, sizes.level)
 
 
+def declared_size(meta: DataFrame) -> tuple[int, int]:
+    """The number of declared runs and the most cells that they can have."""
+    points = [F.greatest(F.count_if(F.col("axis") == a), F.lit(1)).cast("double") for a in ("latitude", "longitude", "step")]
+    fields = F.sum(F.when(F.col("variable").isNotNull(), F.greatest(F.size("levels"), F.lit(1))))
+    each = meta.groupBy(*INIT).agg((points[0] * points[1] * points[2] * F.coalesce(fields, F.lit(0))).alias("cells"))
+    runs, cells = each.agg(F.count("*"), F.coalesce(F.sum("cells"), F.lit(0.0))).first()
+    return runs, int(cells)
+
+
 def _with_tiles(product: DataFrame, meta: DataFrame) -> DataFrame:
     for axis, column, tile in AXES:
         points = meta.filter(F.col("axis") == axis).select(*INIT, F.col("coordinate").cast(product.schema[column].dataType).alias(column), F.col("tile").alias(tile))
@@ -118,8 +129,9 @@ def write_runs(product: DataFrame, root: str, sizes: Sizes = Sizes(), meta: Data
     product holds does. The product is read once for its declaration, if there
     is none, and once to be written. Rows are dealt by run, variable and tile;
     where one of these is large, Spark splits it, so that no task gets a
-    variable of a run whole. Without ``verify``, as for stations or tracks whose
-    cells leave tiles empty by nature, every run is declared.
+    variable of a run whole. Calls of FEW_CELLS at most are dealt to all cores.
+    Without ``verify``, as for stations or tracks whose cells leave tiles empty by
+    nature, every run is declared.
     """
     spark = product.sparkSession
     product = product if "extra_level" in product.columns else product.withColumn("extra_level", F.lit(None).cast("double"))
@@ -127,14 +139,18 @@ def write_runs(product: DataFrame, root: str, sizes: Sizes = Sizes(), meta: Data
     runs = meta.select(*INIT).distinct()
     drop_runs(spark, root, runs)
     tiled = _with_tiles(product, meta).select(*_names(CELLS))
-    dealt = spark.sql(f"SELECT /*+ REBALANCE({', '.join([*FOLDERS, 'tile_longitude'])}) */ * FROM {{tiled}}", tiled=tiled)
+    cores, (n_runs, n_cells) = spark.sparkContext.defaultParallelism, declared_size(meta)
+    if n_cells <= FEW_CELLS:
+        dealt = tiled.repartition(cores, *FOLDERS)  # a file a folder
+    else:
+        dealt = spark.sql(f"SELECT /*+ REBALANCE({', '.join([*FOLDERS, 'tile_longitude'])}) */ * FROM {{tiled}}", tiled=tiled)
     ordered = dealt.sortWithinPartitions(*FOLDERS, "tile_longitude", "tile_level", "tile_step", "pressure_level", "latitude", "longitude", "step_hours")
     writer = ordered.write.mode("append").option("compression", "uncompressed" if codec == "none" else codec)
     writer = writer.option("parquet.compression.codec.zstd.level", str(level)) if codec == "zstd" else writer
     writer.partitionBy(*FOLDERS).parquet(f"{root}/cells")
     missing = kept(missing_in_store(spark, root, meta, sizes) if verify else index_of(meta.limit(0), sizes))
     drop_runs(spark, root, missing)
-    declare(meta.join(missing.select(*INIT).distinct(), INIT, "left_anti"), root)
+    declare(meta.join(missing.select(*INIT).distinct(), INIT, "left_anti"), root, min(n_runs, cores))
     return missing
 
 
@@ -144,9 +160,9 @@ def missing_in_store(spark: SparkSession, root: str, meta: DataFrame, sizes: Siz
     return missing_tiles(stored, index_of(meta, sizes))
 
 
-def declare(meta: DataFrame, root: str) -> None:
+def declare(meta: DataFrame, root: str, tasks: int) -> None:
     """Mark runs as finished: their declarations, a file a run."""
-    meta.repartition(*INIT).write.mode("append").partitionBy(*INIT).parquet(f"{root}/meta")
+    meta.repartition(max(1, tasks), *INIT).write.mode("append").partitionBy(*INIT).parquet(f"{root}/meta")
 
 
 def read_region(spark: SparkSession, root: str, variables: list[str], south: float, north: float, west: float, east: float, pressure_level: float | None = None) -> DataFrame:
