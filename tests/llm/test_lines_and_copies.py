@@ -260,6 +260,45 @@ def test_recall_of_scattered_letters(words, share, least):
     assert np.mean(found) >= least
 
 
+def test_simhash_has_the_bits_of_more_than_half_of_the_runs():
+    rng = np.random.default_rng(5)
+    counts = np.array([0, 1, 2, 3, 15, 16, 17, 0, 33, 64, 300, 1000, 5, 0])
+    hashes, rows = rng.integers(0, 2**64, counts.sum(), dtype=np.uint64), np.repeat(np.arange(len(counts)), counts)
+    bits = np.unpackbits(linededup._BITS.view(np.uint8).reshape(-1, 16), axis=1, bitorder="little")[hashes >> np.uint64(51)].astype(int)
+    want = [2 * bits[rows == k].sum(0) > n for k, n in enumerate(counts.tolist())]
+    found = linededup.Lines._simhash(hashes, rows, len(counts))
+    assert (np.unpackbits(found.view(np.uint8), axis=1, bitorder="little").astype(bool) == np.array(want)).all()
+    assert not linededup.Lines._simhash(hashes[:0], rows[:0], 3).any()
+
+
+@pytest.mark.parametrize("most", [2048, 3])
+@pytest.mark.parametrize("batch", ["10000", "1", "7"])
+def test_blocks_of_the_same_lines_are_one_bucket(spark, monkeypatch, most, batch):
+    """No pair of a block is lost, none is made, and blocks that the same lines share are kept once."""
+    monkeypatch.setattr(linededup, "BUCKET", most)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    rng = random.Random(9)
+    rows = [(block, k, 100 + k % 3) for block in range(1, 9) for k in (1, 2, 3)]  # the same three lines in eight blocks
+    rows += [(9, k, 50) for k in range(10, 30)] + [(10, k, length) for k, length in ((1, 101), (40, 60), (41, 300), (42, 310))] + [(11, 43, 10)]
+    rows += [(12 + rng.randrange(20), k, 20 + 17 * k) for k in range(50, 90)]
+    length = {k: n for _, k, n in rows}
+    near = lambda a, b: abs(length[a] - length[b]) <= 0.2 * max(length[a], length[b]) + 1e-9
+    pairs = lambda found: {(a, b) for x in found.values() for a, b in combinations(sorted(x), 2) if near(a, b)}
+    want, got = {}, {}
+    for block, k, n in rows:
+        want.setdefault(block, set()).add(k)
+    blocks = spark.createDataFrame([(block << 24 | n, k) for block, k, n in rows * 2], "bucket long, id long")
+    try:
+        found = [tuple(r) for r in linededup._shared(blocks, 0.8).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for bucket, k in found:
+        got.setdefault(bucket, set()).add(k)
+    assert len(found) == len(set(found)) and pairs(got) == pairs(want)
+    assert not {40, 43} & {k for _, k in found}
+    assert most < 2048 or len(found) == len({k for _, k in found})
+
+
 def test_runs_shared_never_rule_out_a_near_pair():
     rng = random.Random(4)
     for _ in range(300):
