@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -138,6 +139,61 @@ def test_edit_distance_bound():
         assert _distance(a, b) <= min(linededup.at_most(a, b, m) for m in (0, 5, 99))
 
 
+def _edited(rng, line, share, letters):
+    out = list(line)
+    for _ in range(round(share * len(line))):
+        k, kind = rng.randrange(len(out) + 1), rng.randrange(3)
+        out[k : k + (kind != 1)] = rng.choice(letters) * (kind != 2)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("at_once", [2048, 50])
+def test_many_pairs_are_judged_as_each_of_them(monkeypatch, at_once):
+    """Lengths about those of whole words of 64 rows, edits at an end, lines of one kind among those of another."""
+    monkeypatch.setattr(linededup, "PAIRS_AT_ONCE", at_once)
+    rng = random.Random(12)
+    one, two = ["", "", "a"], ["", "a", ""]
+    for letters in ("abcd ", "etaoin shrdlu", "éß漢字\U0001f600xy "):
+        for _ in range(500):
+            size = rng.choice([1, 2, 5, 63, 64, 65, 127, 128, 129, 192, 193, rng.randint(1, 400)])
+            line = "".join(rng.choice(letters) for _ in range(size))
+            near = _edited(rng, line, rng.choice([0, 0.1, 0.2, 0.25, 0.4]), letters)
+            moved = near[size // 10 :] + "".join(rng.choice(letters) for _ in range(size // 10))
+            one.append(line)
+            two.append(rng.choice([near, moved, line[::-1]]))
+    want = [linededup.similar(a, b, 0.8) for a, b in zip(one, two, strict=True)]
+    assert 300 < sum(want) < 1200
+    assert linededup.all_similar(pa.array(one), pa.array(two), 0.8).tolist() == want
+    assert linededup.all_similar(pa.array(["x"] + one).slice(1), pa.array(two), 0.8).tolist() == want
+
+
+def test_distances_of_many_pairs():
+    rng = random.Random(13)
+    pairs = [("".join(rng.choice("abc") for _ in range(rng.randint(0, 150))), rng.randint(0, 40)) for _ in range(120)]
+    pairs = [(a, _edited(rng, a, 0.2, "abc") if k % 3 else a[::-1], m) for k, (a, m) in enumerate(pairs)]
+    pairs = sorted(((*sorted((a, b), key=len), m) for a, b, m in pairs), key=lambda x: -len(x[1]))
+    texts = [x[0] for x in pairs] + [x[1] for x in pairs]
+    sizes = np.array([len(x) for x in texts])
+    places = (np.cumsum(sizes) - sizes).reshape(2, -1)
+    codes = np.array([ord(c) for x in texts for c in x], np.uint32)
+    found = linededup.all_within(codes, *places, *sizes.reshape(2, -1), np.array([x[2] for x in pairs]))
+    want = [_distance(a, b) <= m for a, b, m in pairs]
+    assert found.tolist() == want and 20 < sum(want) < 100
+
+
+def test_pairs_just_beyond_the_similarity_take_little_time():
+    """They share too many runs to be ruled out without an edit distance; on 0.5 GB most of the time went to them."""
+    rng = random.Random(14)
+    letters = "etaoinshrdlu    "
+    one = ["".join(rng.choice(letters) for _ in range(rng.randint(400, 500))) for _ in range(2000)]
+    two = [_edited(rng, x, 0.3, letters) for x in one]
+    began = time.process_time()
+    one_by_one = [linededup.similar(a, b, 0.8) for a, b in zip(one[:200], two, strict=False)]
+    between = time.process_time()
+    assert linededup.all_similar(pa.array(one), pa.array(two), 0.8)[:200].tolist() == one_by_one
+    assert (time.process_time() - between) / 2000 < 0.5 * (between - began) / 200
+
+
 def _near_by_bits(simhash, a, b, longer):
     bits = [int(x).bit_count() for x in (simhash[a] ^ simhash[b]).view(np.uint64)]
     return bits[0] + bits[1] <= 44 - 2 * max(0, np.log2(longer / 24)) or bits[2] <= 20
