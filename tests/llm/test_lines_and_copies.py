@@ -363,3 +363,38 @@ def test_runs_shared_never_rule_out_a_near_pair():
         d = _distance(a, b)
         assert not linededup.too_far(a, b, d)
     assert linededup.too_far("abcdefghij" * 3, "zyxwvutsrq" * 3, 5)
+
+
+@pytest.mark.parametrize("held", [1 << 17, 500])
+def test_near_pairs_come_a_few_at_a_time(monkeypatch, held):
+    """A bucket of near lines is not held as all its pairs, and none is lost."""
+    monkeypatch.setattr(linededup, "PAIRS_HELD", held)
+    bucket, length = np.repeat([0, 1, 2], [1500, 3, 40]), np.full(1543, 100)
+    found = list(linededup._near_pairs(bucket, np.zeros((1543, 3), np.uint64), length, 0.8))
+    assert max(len(x) for x, _, _ in found) <= held + 128 * 1500
+    pairs = {(a, b) for x, y, _ in found for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    assert len(pairs) == sum(len(x) for x, _, _ in found) == sum(n * (n - 1) // 2 for n in (1500, 3, 40)) and all(a < b and bucket[a] == bucket[b] for a, b in pairs)
+
+
+def test_candidates_of_common_blocks_are_no_table(spark):
+    """Lines near by SimHash of which few are similar: no join makes rows of their pairs, and the groups are those of all pairs."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrst") for _ in range(6))
+    common, texts = [word() for _ in range(14)], []
+    for _ in range(160):
+        line = [*common[:8], *(word() if rng.random() < 0.5 else w for w in common[8:])]
+        texts.append(" ".join(line))
+    made, seen = [], spark._jsparkSession.sharedState().statusStore()
+    before = seen.executionsCount()
+    want, links = _brute_lines([(k, t) for k, t in enumerate(texts)])
+    found = linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    for k in range(before, seen.executionsCount()):
+        run = seen.executionsList(k, 1).apply(0).executionId()
+        values, nodes = seen.executionMetrics(run), seen.planGraph(run).allNodes()
+        for n in (nodes.apply(i) for i in range(nodes.size())):
+            for m in (n.metrics().apply(i) for i in range(n.metrics().size())):
+                if "Join" in n.name() and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    made.append(int(values.apply(m.accumulatorId()).replace(",", "")))
+    assert {r["doc_id"]: r["text"] for r in found} == want and links > 500
+    assert made and max(made) <= 160 * 2 * linededup.BLOCKS
