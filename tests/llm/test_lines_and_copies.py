@@ -194,6 +194,26 @@ def test_pairs_just_beyond_the_similarity_take_little_time():
     assert (time.process_time() - between) / 2000 < 0.5 * (between - began) / 200
 
 
+def test_stretches_that_a_line_has_not_never_rule_out_a_near_pair():
+    """No pair that the edit distance allows is ruled out, and lines of the same syllables, which share too many runs of three, are."""
+    rng = random.Random(15)
+    parts = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 4))) for _ in range(60)] + [" "] * 25
+    for letters in (parts, list("ab"), list("éß漢字\U0001f600xy ")):
+        one = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 90))) for _ in range(120)]
+        two = [_edited(rng, x, rng.choice([0, 0.1, 0.2, 0.3]), "".join(letters)) if k % 3 and x else "".join(rng.choice(letters) for _ in range(len(x) // 2)) for k, x in enumerate(one)]
+        sizes = np.array([len(x) for x in one + two])
+        codes, places = np.array([ord(c) for x in one + two for c in x], np.uint32), (np.cumsum(sizes) - sizes).reshape(2, -1)
+        exact = np.array([_distance(a, b) for a, b in zip(one, two, strict=True)])
+        for most in (exact, exact - 1, exact // 2, exact * 0 + 3):
+            apart = linededup.all_apart(codes, *places, *sizes.reshape(2, -1), np.maximum(most, 0))
+            assert not (apart & (exact <= np.maximum(most, 0))).any()
+        want = [linededup.similar(a, b, 0.8) for a, b in zip(one, two, strict=True)]
+        may = linededup.may_be_similar(pa.array(one), pa.array(two), 0.8)
+        assert may[want].all() and sum(want) > 10
+    lines = ["".join(rng.choice(parts) for _ in range(150)) for _ in range(200)]
+    assert linededup.may_be_similar(pa.array(lines[:100]), pa.array([x[: len(y)] for x, y in zip(lines[100:], lines, strict=False)]), 0.8).mean() < 0.2
+
+
 def _near_by_bits(simhash, a, b, longer):
     bits = [int(x).bit_count() for x in (simhash[a] ^ simhash[b]).view(np.uint64)]
     return bits[0] + bits[1] <= 44 - 2 * max(0, np.log2(longer / 24)) or bits[2] <= 20
@@ -231,6 +251,21 @@ def test_lines_equal_brute_force(spark, corpus, monkeypatch):
     assert links > 20 and sum(r["n_dropped"] for r in found) > 30
 
 
+def test_lines_move_in_rounds(spark, corpus, monkeypatch):
+    """However many lines are near, a round moves a part of the rows and of the characters of all classes, and all rounds together find what one does."""
+    monkeypatch.setattr(linededup, "BUCKET", 8)
+    monkeypatch.setattr(linededup, "ROWS_A_ROUND", 0.5)
+    monkeypatch.setattr(linededup, "CHARS_A_ROUND", 0.25)
+    searched, judged, mates, links = [], [], linededup._with_mates, linededup._links
+    monkeypatch.setattr(linededup, "_with_mates", lambda rows, similarity: searched.append(rows.count()) or mates(rows, similarity))
+    monkeypatch.setattr(linededup, "_links", lambda rows, similarity: judged.append(sum(len(r["of"]) for r in rows.select("of").collect())) or links(rows, similarity))
+    lines = {linededup.normal(x) for _, t, *_ in corpus for x in (t or "").split("\n")} - {""}
+    want, _ = _brute_lines(corpus)
+    assert {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(corpus, DOCS)).collect()} == want
+    assert len(searched) > 2 and max(searched) < 0.5 * sum(searched) and sum(searched) > len(lines)
+    assert len(judged) > 2 and max(judged) < 0.5 * sum(judged) and sum(judged) > 0.5 * sum(map(len, lines))
+
+
 def test_lines_of_documents_equal_brute_force(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
