@@ -256,6 +256,8 @@ def test_lines_move_in_rounds(spark, corpus, monkeypatch):
     monkeypatch.setattr(linededup, "BUCKET", 8)
     monkeypatch.setattr(linededup, "ROWS_A_ROUND", 0.5)
     monkeypatch.setattr(linededup, "CHARS_A_ROUND", 0.25)
+    monkeypatch.setattr(linededup, "LEAST_ROWS", 0)
+    monkeypatch.setattr(linededup, "LEAST_CHARS", 0)
     searched, judged, mates, links = [], [], linededup._with_mates, linededup._links
     monkeypatch.setattr(linededup, "_with_mates", lambda rows, similarity: searched.append(rows.count()) or mates(rows, similarity))
     monkeypatch.setattr(linededup, "_links", lambda rows, similarity: judged.append(sum(len(r["of"]) for r in rows.select("of").collect())) or links(rows, similarity))
